@@ -3,8 +3,10 @@
 from veriframe.llm.bpe import op7_bpe
 from veriframe.llm.decontam import op4_decontaminate
 from veriframe.llm.line_dedup import OP9_SQL, op9_line_dedup
+from veriframe.llm.lm import op2_lm_score
 
 QUERIES = {
+    "op2_lm_score": op2_lm_score,
     "op4_decontaminate": op4_decontaminate,
     "op7_bpe": op7_bpe,
     "op9_line_dedup": op9_line_dedup,
