@@ -175,7 +175,7 @@ def scan(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, text_col: s
     context = docs.sparkSession.sparkContext
     base = docs.drop(*FOUND)
     schema = T.StructType([*base.schema, T.StructField("__spans", SPAN), T.StructField("__items", T.ArrayType(T.StringType())), T.StructField("__words", T.LongType())])
-    text_at = base.columns.index(text_col)
+    text_at, width, names_out = base.columns.index(text_col), len(base.columns), schema.names
 
     def one_pass(df: DataFrame, block: list, first: bool) -> DataFrame:
         shared = context.broadcast(block)
@@ -191,12 +191,12 @@ def scan(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, text_col: s
                     names.append(i)
                     counts.append(len(words))
                 if not first:
-                    for k, (s, i) in enumerate(zip(batch.column(len(base.columns)).to_pylist(), batch.column(len(base.columns) + 1).to_pylist(), strict=True)):
+                    for k, (s, i) in enumerate(zip(batch.column(width).to_pylist(), batch.column(width + 1).to_pylist(), strict=True)):
                         spans[k] = joined([*spans[k], *((x["start"], x["end"]) for x in s)])
                         names[k] = names[k] | set(i)
                 spans = [[{"start": a, "end": b} for a, b in s] for s in spans]
                 new = [pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array([sorted(i) for i in names], pa.list_(pa.string())), pa.array(counts, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(base.columns)], *new], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:width], *new], names=names_out)
 
         return df.mapInArrow(run, schema)
 
@@ -235,7 +235,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, max_coverage: float = 0.
     hit = F.aggregate("__spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
     kept = found.where(hit <= F.lit(max_coverage) * F.col("__words"))
     at, span_at = found.columns.index(text_col), found.columns.index("__spans")
-    n = len(docs.columns)
+    n, names_out = len(docs.columns), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,7 +244,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, max_coverage: float = 0.
             if any(spans):
                 texts = columns[at].to_pylist()
                 columns[at] = pa.array([cut_words(t, [(x["start"], x["end"]) for x in s]) if s else t for t, s in zip(texts, spans, strict=True)], columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names_out)
 
     return kept.mapInArrow(run, docs.schema)
 
