@@ -15,7 +15,6 @@ need nothing; extra columns are ignored by `encode`/`decode`, which return the i
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 from array import array
@@ -53,13 +52,9 @@ def byte_letters() -> dict[str, int]:
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary. Memory is bounded: caches are emptied when full."""
-
-    CACHE = 600_000
+    """Decoder of one vocabulary, and the tables that its encoder starts from."""
 
     def __init__(self, path: str):
-        import ahocorasick
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
@@ -71,17 +66,36 @@ class Codec:
             self.bytes_of[i] = b
         for s, i in special.items():
             self.bytes_of[i] = s.encode()
+        self.special = special
+        self.spec = spec
+
+    def decode(self, ids: bytes) -> str:
+        numbers = array("I")
+        numbers.frombytes(ids)
+        return b"".join(map(self.bytes_of.__getitem__, numbers)).decode("utf-8", "replace")
+
+
+class Encoder(Codec):
+    """Encoder of one vocabulary. Memory is bounded: when a cache is full, half of it goes, the older one."""
+
+    CACHE = 120_000
+
+    def __init__(self, path: str):
+        import ahocorasick
+
+        super().__init__(path)
+        letters = byte_letters()
+        as_bytes = lambda s: bytes(letters[c] for c in s)
         #: (left id, right id) -> (merge rank, id of the merged token)
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, m in enumerate(spec["model"]["merges"]):
+        for rank, m in enumerate(self.spec["model"]["merges"]):
             left, right = (as_bytes(x) for x in (m if isinstance(m, list) else m.split(" ")))
             self.merges[self.ids[left], self.ids[right]] = (rank, self.ids[left + right])
         self.never = len(self.merges)
         #: merged token -> (merge rank, (left id, right id))
         self.parts = {t: (rank, pair) for pair, (rank, t) in self.merges.items()}
         self.edges: dict[int, tuple] = {}
-        self.special = special
-        self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
+        self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.split = regex.compile(SPLIT)
         self.automaton = ahocorasick.Automaton()
         for b, i in self.ids.items():
@@ -89,6 +103,8 @@ class Codec:
         self.automaton.make_automaton()
         self.pair_ok: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        del self.spec
 
     def merged(self, ids: list[int]) -> list[int]:
         """The merge procedure on a few tokens: lowest rank first, leftmost on ties."""
@@ -140,7 +156,7 @@ class Codec:
                         break
                 if not ok:
                     break
-            if len(self.pair_ok) >= 2 * self.CACHE:
+            if len(self.pair_ok) >= 3 * self.CACHE:
                 self.pair_ok.clear()
             self.pair_ok[key] = ok
         return ok
@@ -200,25 +216,34 @@ class Codec:
             for p in pieces:
                 ids = known.get(p)
                 if ids is None:
-                    ids = array("I", self.piece(p.encode())).tobytes()
+                    ids = self.older.get(p)
+                    if ids is None:
+                        ids = array("I", self.piece(p.encode())).tobytes()
                     if len(p) <= 64:
                         if len(known) >= self.CACHE:
-                            known.clear()
+                            self.older, self.known = known, (known := {})
                         known[p] = ids
                 out.append(ids)
         return b"".join(out)
 
-    def decode(self, ids: bytes) -> str:
-        numbers = array("I")
-        numbers.frombytes(ids)
-        return b"".join(map(self.bytes_of.__getitem__, numbers)).decode("utf-8", "replace")
-
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that few texts are held as Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def encode(docs: DataFrame, vocabulary: str | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids): ids is binary, the little-endian unsigned 32-bit integers one after another.
 
@@ -228,8 +253,8 @@ def encode(docs: DataFrame, vocabulary: str | None = None, *, id_col: str = "doc
     schema = T.StructType([T.StructField(id_col, field_type(docs, id_col)), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path)
-        for batch in batches:
+        c = encoder(path)
+        for batch in slices(batches):
             ids = [c.encode(t) if t else b"" for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=[id_col, "n_tokens", "ids"])
 
@@ -245,7 +270,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, *, ids_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [None if x is None else c.decode(x) for x in batch.column(where).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(texts, pa.string())], names=schema.names)
 
@@ -262,7 +287,3 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     both = decode(encode(table(spark, sf_dir, "documents")))
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
-
-
-def digest(ids: bytes) -> str:
-    return hashlib.sha256(ids).hexdigest()
