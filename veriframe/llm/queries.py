@@ -2,6 +2,7 @@
 
 from veriframe.llm.bpe import op7_bpe
 from veriframe.llm.decontam import op4_decontaminate
+from veriframe.llm.importance import op10_importance
 from veriframe.llm.line_dedup import OP9_SQL, op9_line_dedup
 from veriframe.llm.lm import op2_lm_score
 from veriframe.llm.simhash import op5_simhash
@@ -12,6 +13,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op7_bpe": op7_bpe,
     "op9_line_dedup": op9_line_dedup,
+    "op10_importance": op10_importance,
 }
 
 ORACLE_SQL = {"op9_line_dedup": OP9_SQL}
