@@ -5,10 +5,12 @@ from veriframe.llm.decontam import op4_decontaminate
 from veriframe.llm.importance import op10_importance
 from veriframe.llm.line_dedup import OP9_SQL, op9_line_dedup
 from veriframe.llm.lm import op2_lm_score
+from veriframe.llm.quality_rules import op3_quality_rules
 from veriframe.llm.simhash import op5_simhash
 
 QUERIES = {
     "op2_lm_score": op2_lm_score,
+    "op3_quality_rules": op3_quality_rules,
     "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
     "op7_bpe": op7_bpe,
