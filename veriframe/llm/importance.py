@@ -185,7 +185,7 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
 
     only_kept: just the kept rows, with the columns of docs.
     """
-    base = docs.drop(*SCORES)
+    base = docs if only_kept else docs.drop(*SCORES)
     schema = base.schema if only_kept else T.StructType([*base.schema, *(T.StructField(n, t) for n, t in zip(SCORES, [T.LongType(), *[T.DoubleType()] * 3, T.BooleanType()], strict=True))])
     shared = docs.sparkSession.sparkContext.broadcast(model)
     id_at, text_at, names = base.columns.index(id_col), base.columns.index(text_col), schema.names
