@@ -39,6 +39,13 @@ BEYOND_LATIN = re.compile(r"[^\x00-\u024f]")
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 
+ANY_SPLIT = regex.compile(SPLIT)
+
+
+def pre_tokens(text: str) -> list[str]:
+    return (ANY_SPLIT if BEYOND_LATIN.search(text) else LATIN_SPLIT).findall(text)
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -96,7 +103,6 @@ class Encoder(Codec):
         self.parts = {t: (rank, pair) for pair, (rank, t) in self.merges.items()}
         self.edges: dict[int, tuple] = {}
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.split = regex.compile(SPLIT)
         self.automaton = ahocorasick.Automaton()
         for b, i in self.ids.items():
             self.automaton.add_word(b.decode("latin-1"), (len(b), i))
@@ -207,7 +213,7 @@ class Encoder(Codec):
             if part in self.special:
                 out.append(array("I", [self.special[part]]).tobytes())
                 continue
-            pieces = (self.split if BEYOND_LATIN.search(part) else LATIN_SPLIT).findall(part)
+            pieces = pre_tokens(part)
             try:
                 out += [known[p] for p in pieces]  # nearly always all are known
                 continue

@@ -7,8 +7,10 @@ from veriframe.llm.line_dedup import OP9_SQL, op9_line_dedup
 from veriframe.llm.lm import op2_lm_score
 from veriframe.llm.quality_rules import op3_quality_rules
 from veriframe.llm.simhash import op5_simhash
+from veriframe.llm.unigram import op1_token_counts
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_lm_score": op2_lm_score,
     "op3_quality_rules": op3_quality_rules,
     "op4_decontaminate": op4_decontaminate,
