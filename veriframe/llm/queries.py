@@ -8,6 +8,8 @@ from veriframe.llm.lm import op2_lm_score
 from veriframe.llm.quality_rules import op3_quality_rules
 from veriframe.llm.simhash import op5_simhash
 from veriframe.llm.unigram import op1_token_counts
+from veriframe.llm.url_filter import op6_url_filter
+from veriframe.llm.url_filter import oracle as url_filter_sql
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
@@ -15,9 +17,10 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
+    "op6_url_filter": op6_url_filter,
     "op7_bpe": op7_bpe,
     "op9_line_dedup": op9_line_dedup,
     "op10_importance": op10_importance,
 }
 
-ORACLE_SQL = {"op9_line_dedup": OP9_SQL}
+ORACLE_SQL = {"op6_url_filter": url_filter_sql(), "op9_line_dedup": OP9_SQL}
