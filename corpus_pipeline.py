@@ -40,7 +40,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids: packed little-endian unsigned 32-bit integers, decoded: the text that they stand for)."""
-    return bpe.decode(bpe.encode(docs))
+    return bpe.round_trip(docs)
 
 
 STAGES = [

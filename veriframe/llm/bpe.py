@@ -283,6 +283,22 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, *, ids_col: str =
     return encoded.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, vocabulary: str | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids, decoded): `encode` and `decode` in one Python worker, to which each text goes once."""
+    path = vocabulary or default_vocabulary()
+    schema = T.StructType([T.StructField(id_col, field_type(docs, id_col)), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = encoder(path)
+        for batch in slices(batches, 500):
+            ids = [c.encode(t) if t else b"" for t in batch.column(1).to_pylist()]
+            columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(map(c.decode, ids), pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, schema)
+
+
 def unpack(ids: F.Column) -> F.Column:
     """Packed ids as array<bigint>, by built-in functions."""
     one = lambda k: F.conv(F.hex(F.reverse(F.substring(ids, k * 4 + 1, 4))), 16, 10).cast("bigint")
@@ -291,5 +307,5 @@ def unpack(ids: F.Column) -> F.Column:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    both = decode(encode(table(spark, sf_dir, "documents")))
+    both = round_trip(table(spark, sf_dir, "documents"))
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
