@@ -6,6 +6,7 @@ from veriframe.llm.importance import op10_importance
 from veriframe.llm.line_dedup import OP9_SQL, op9_line_dedup
 from veriframe.llm.lm import op2_lm_score
 from veriframe.llm.quality_rules import op3_quality_rules
+from veriframe.llm.secrets import op8_secrets
 from veriframe.llm.simhash import op5_simhash
 from veriframe.llm.unigram import op1_token_counts
 from veriframe.llm.url_filter import op6_url_filter
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_url_filter": op6_url_filter,
     "op7_bpe": op7_bpe,
+    "op8_secrets": op8_secrets,
     "op9_line_dedup": op9_line_dedup,
     "op10_importance": op10_importance,
 }
