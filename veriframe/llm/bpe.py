@@ -301,7 +301,8 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None, *, id_col: str =
 
 def unpack(ids: F.Column) -> F.Column:
     """Packed ids as array<bigint>, by built-in functions."""
-    one = lambda k: F.conv(F.hex(F.reverse(F.substring(ids, k * 4 + 1, 4))), 16, 10).cast("bigint")
+    pair = lambda k, n: F.hex(F.substring(ids, k * 4 + n, F.lit(1)))
+    one = lambda k: F.conv(F.concat(pair(k, 4), pair(k, 3), pair(k, 2), pair(k, 1)), 16, 10).cast("bigint")
     return F.when(F.length(ids) == 0, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(0), (F.length(ids) / 4).cast("int") - 1), one))
 
 
