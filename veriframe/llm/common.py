@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,13 +38,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """df, computed once and written to the shared checkpoint folder; its lineage ends there.
+    """df, computed once and written as a table to the shared checkpoint folder; its lineage ends there.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where none is set
-    (tests, notebooks on one machine) a temporary folder is used.
+    (`checkpoint()` would compute it twice: once to count it and once to write it.) The folder is the one
+    that the cluster names in ``spark.checkpoint.dir``. Only where none is set (tests, notebooks on one
+    machine) a temporary folder is used.
     """
-    context = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    context = spark.sparkContext
     if not context.getCheckpointDir():
         named = context.getConf().get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+    path = f"{context.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
