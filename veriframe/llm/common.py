@@ -52,3 +52,8 @@ def saved(df: DataFrame) -> DataFrame:
     path = f"{context.getCheckpointDir()}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """df with its columns named c0, c1 and so on, so that working columns can't clash with them."""
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns))))

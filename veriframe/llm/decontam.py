@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriframe.llm.common import ascii_lower, table
+from veriframe.llm.common import ascii_lower, numbered, table
 
 #: Words: digits, a-z and everything beyond ASCII.
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -171,7 +171,7 @@ FOUND = "__spans", "__items", "__words"
 
 
 def scan(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = 500_000) -> DataFrame:
-    """The rows of docs with __spans (word spans hit, in order), __items (sorted item ids) and __words (count)."""
+    """The rows of docs (columns of these names are replaced) with __spans (word spans hit, in order), __items (sorted item ids) and __words (count)."""
     context = docs.sparkSession.sparkContext
     base = docs.drop(*FOUND)
     schema = T.StructType([*base.schema, T.StructField("__spans", SPAN), T.StructField("__items", T.ArrayType(T.StringType())), T.StructField("__words", T.LongType())])
@@ -231,6 +231,9 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
 def decontaminate(docs: DataFrame, items: DataFrame, *, max_coverage: float = 0.5, text_col: str = "text", **options) -> DataFrame:
     """docs without test material: hit spans are cut out of the text; a document of whose words more than
     ``max_coverage`` are hit goes as a whole. Columns and types stay as they are; clean rows are untouched."""
+    names = docs.columns
+    docs = numbered(docs)
+    text_col = f"c{names.index(text_col)}"
     found = scan(docs, items, text_col=text_col, **options)
     hit = F.aggregate("__spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
     kept = found.where(hit <= F.lit(max_coverage) * F.col("__words"))
@@ -246,7 +249,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, max_coverage: float = 0.
                 columns[at] = pa.array([cut_words(t, [(x["start"], x["end"]) for x in s]) if s else t for t, s in zip(texts, spans, strict=True)], columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=names_out)
 
-    return kept.mapInArrow(run, docs.schema)
+    return kept.mapInArrow(run, docs.schema).toDF(*names)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

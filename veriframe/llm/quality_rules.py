@@ -150,7 +150,7 @@ def labelled_statistics(docs: DataFrame, known: Labels, id_col: str, text_col: s
 
     rows = sorted(docs.select(id_col, text_col).mapInArrow(run, "at bigint, x array<double>").dropDuplicates(["at"]).collect())
     at = np.array([r[0] for r in rows], np.int64)
-    return np.array([r[1] for r in rows], float).reshape(len(rows), -1), known.good[at], known.fit[at]
+    return np.array([r[1] for r in rows], float).reshape(len(rows), len(statistics(None)[1])), known.good[at], known.fit[at]
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_labels: int = 20_000, trees: int = 100, sample: int = 256, reject_clean: float = 0.003, seed: int = 5) -> Forest | None:
