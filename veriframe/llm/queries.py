@@ -7,6 +7,7 @@ from veriframe.llm.line_dedup import OP9_SQL, op9_line_dedup
 from veriframe.llm.lm import op2_lm_score
 from veriframe.llm.quality_rules import op3_quality_rules
 from veriframe.llm.secrets import op8_secrets
+from veriframe.llm.secrets import oracle as secrets_sql
 from veriframe.llm.simhash import op5_simhash
 from veriframe.llm.unigram import op1_token_counts
 from veriframe.llm.url_filter import op6_url_filter
@@ -25,4 +26,4 @@ QUERIES = {
     "op10_importance": op10_importance,
 }
 
-ORACLE_SQL = {"op6_url_filter": url_filter_sql(), "op9_line_dedup": OP9_SQL}
+ORACLE_SQL = {"op6_url_filter": url_filter_sql(), "op8_secrets": secrets_sql(), "op9_line_dedup": OP9_SQL}

@@ -134,3 +134,27 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.concat(*(tagged(k, F.col(k)) for k, *_ in BASE))
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k, *_ in BASE]
     return found.select("doc_id", *counts, F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.concat(base, "weak")).alias("spans"))
+
+
+def oracle(scope: int = SCOPE) -> str:
+    def matches(kind: str, pattern: str, group: int = 0, least: int = 0) -> str:
+        p = "'" + pattern.replace("'", "''") + "'"
+        found = f"select id, string_split_regex(t, {p}) pieces, regexp_extract_all(t, {p}) ms, regexp_extract_all(t, {p}, {group}) gs from d where regexp_matches(t, {p})"
+        each = f"select *, unnest(range(1, len(ms) + 1)) i from ({found})"
+        start = "list_sum(list_transform(pieces[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0)"
+        return f"select id, '{kind}' kind, ({start})::bigint s, ({start})::bigint + length(ms[i]) e from ({each}) where length(gs[i]) >= {least}"
+
+    rank = "case kind " + " ".join(f"when '{k}' then {n}" for k, n in ORDER.items()) + " end"
+    joined = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' order by s, " + rank + "), '')"
+    role = "case when kind in ('access', 'weak_id') then 'identifier' when kind in ('assign', 'hex', 'weak_secret') then 'secret' else 'endpoint' end"
+    return f"""
+with d as (select row_number() over () id, doc_id, coalesce(text, '') t from documents),
+base as ({" union all ".join(matches(k, FASTER.get(k, p), 0 if k in FASTER else g, 0 if k in FASTER else n) for k, p, g, n in BASE)}),
+weak as (select * from ({" union all ".join(matches(k, p) for k, p in WEAK)}) w where not exists (select 1 from base b where b.id = w.id and b.s < w.e and w.s < b.e)),
+part as (select distinct *, {role} as role from (select * from base union all select * from weak)),
+linked as (select id, kind, s, e from part a where kind in ('weak_id', 'weak_secret') and exists (select 1 from part p where p.id = a.id and abs(p.s - a.s) <= {scope} and (p.role = 'secret') = (a.kind = 'weak_id'))),
+counts as (select id, count(*) filter (kind = 'assign') n_assign, count(*) filter (kind = 'access') n_access, count(*) filter (kind = 'hex') n_hex, {joined} written from base group by 1),
+spans as (select id, {joined} spans from (select * from base union all select * from linked) group by 1)
+select doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access, coalesce(n_hex, 0) n_hex, sha256(coalesce(written, '')) base_sha256, coalesce(spans, '') spans
+from d left join counts using (id) left join spans using (id)
+"""
