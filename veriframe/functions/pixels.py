@@ -57,9 +57,9 @@ def equalised(y: np.ndarray, clip: float = 2.0, tiles: int = 8) -> np.ndarray:
     return (1 - wy) * ((1 - wx) * at(y0, x0) + wx * at(y0, x1)) + wy * ((1 - wx) * at(y1, x0) + wx * at(y1, x1))
 
 
-def gradient_energy(y: np.ndarray) -> float:
-    """Root mean square of the 3x3 Sobel gradient, with edges mirrored."""
-    p = np.pad(y, 1, mode="reflect") if min(y.shape) > 1 else np.pad(y, 1, mode="edge")
+def gradient_energy(y: np.ndarray, *, border: bool = True) -> float:
+    """Root mean square of the 3x3 Sobel gradient, with edges mirrored, or of the inner pixels alone."""
+    p = y if not border else np.pad(y, 1, mode="reflect") if min(y.shape) > 1 else np.pad(y, 1, mode="edge")
     gx = (p[:-2, 2:] + 2 * p[1:-1, 2:] + p[2:, 2:]) - (p[:-2, :-2] + 2 * p[1:-1, :-2] + p[2:, :-2])
     gy = (p[2:, :-2] + 2 * p[2:, 1:-1] + p[2:, 2:]) - (p[:-2, :-2] + 2 * p[:-2, 1:-1] + p[:-2, 2:])
     return float(np.sqrt((gx * gx + gy * gy).mean()))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from veriframe.functions.status import FAIL, PASS
+from veriframe.functions.status import FAIL, PASS, lookup
 from veriframe.operators.filenames import PALM_KEYS
 
 VIEWS = ("F", "S")
@@ -108,3 +108,23 @@ def duration_text(seconds: Column) -> Column:
     """Seconds below a minute, else minutes and seconds."""
     whole = F.floor(seconds)
     return F.when(seconds < 60, F.concat(F.format_string("%.1f", seconds), F.lit("s"))).otherwise(F.concat(F.floor(whole / 60).cast("string"), F.lit("m "), (whole % 60).cast("string"), F.lit("s")))
+
+
+# The dashboards' own order of checks; unknown ones come last, by name.
+DASHBOARD_ORDER = {
+    "check_container": 10, "check_fps": 20, "check_duration": 30, "check_resolution": 40, "frames_sampled": 50, "frame_checks": 60,
+    "check_face_detected": 100, "check_head_fully": 110, "check_face_size": 200, "check_eyes_open": 210, "check_brightness": 220, "check_face_blur": 230,
+    "check_turn_left": 300, "check_turn_right": 310, "check_turn_down": 320, "check_turn_up": 330, "check_turn_sequence": 340,
+}
+
+
+def dashboard_order(checks: DataFrame) -> DataFrame:
+    """The distinct checks with their place on a dashboard."""
+    place = lookup(DASHBOARD_ORDER, F.col("check_name"), 9999)
+    return checks.select("check_name").distinct().select("check_name", place.alias("place")).orderBy("place", "check_name")
+
+
+def overlay_spec(det: DataFrame) -> DataFrame:
+    """What an overlay shows per box: its label with the confidence, and the colour of its verdict. det: with ``hits``."""
+    colour = F.when(F.col("hits").isNull(), "grey").when(F.col("hits"), "red").otherwise("green")
+    return det.select("filename", "frame_index", "x", "y", "w", "h", F.concat("cls_name", F.lit(" "), F.bround(F.col("conf") * 100).cast("int").cast("string"), F.lit("%")).alias("label"), colour.alias("colour"))
