@@ -7,8 +7,11 @@ are a sample without replacement in proportion to the weights. k follows from th
 of documents whose key reaches the one that all but ``reject_clean`` of held-out good documents reach, so the top k
 are the rows at or above that key and need no global sort. `gumbel_top_k` takes any k.
 
-A second ratio, toxic against all labelled text over n-grams that are far more frequent in toxic documents, is
-cut in the same way.
+A second score is the sum over a document's distinct words of the smoothed log-odds of their presence in toxic against
+other labelled documents. Words count whose log-odds, less ``ERRORS`` standard errors, exceed a gate, so that a word in five
+toxic documents and in no other can tell as well as a frequent one; of the ``GATES``, the one is taken with which most
+held-out toxic documents exceed the limit. The limit is set in the same way as for the keys. (`toxic_recall` gives
+the share of held-out toxic documents that are rejected.)
 
 Cost: one pass that counts (a vector of ``BUCKETS`` counts per task, added up by slices), one over the labelled sample,
 one that scores. No text is shuffled. The labelled rows used are at most ``max_labels``, those with the smallest
@@ -33,15 +36,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriframe.llm.common import table
+from veriframe.llm.common import saved, table
 
 BUCKETS, SLICES = 1 << 16, 64
 #: Runs of letters and digits, and runs of other characters.
 TOKEN = re.compile(rb"[A-Za-z0-9_\x80-\xff]+|[^A-Za-z0-9_\x80-\xff\s]+")
 SMOOTH, SEED = 1.0, 17
-#: An n-gram tells of toxicity if its count there exceeds what is expected by so many standard deviations; it counts
-#: this often a document at most.
-SURE, OFTEN = 6.0, 3
+#: A word tells of toxicity if its log-odds less so many standard errors exceed the gate.
+ERRORS, GATES = 2.0, (1.0, 1.5, 2.0, 2.5, 3.0)
 
 
 class Hashes(dict):
@@ -64,6 +66,11 @@ def buckets_of(text: bytes | None, hashes: Hashes) -> np.ndarray:
     return (np.concatenate([one, two]) >> np.uint64(48)).astype(np.int64)
 
 
+def words_of(buckets: np.ndarray) -> np.ndarray:
+    """The distinct unigrams' buckets of buckets_of's."""
+    return np.unique(buckets[: (len(buckets) + 1) // 2])
+
+
 @dataclass
 class Labels:
     """A bounded sample of labelled documents: sorted ids, and whether good, toxic, and for fitting."""
@@ -98,9 +105,9 @@ class Model:
     least_key: float = -np.inf
     most_toxic: float = np.inf
 
-    def score(self, text: bytes | None, hashes: Hashes) -> tuple[int, float, float]:
+    def score(self, text: bytes | None, hashes: Hashes) -> tuple[int, float, float | np.ndarray]:
         f = buckets_of(text, hashes)
-        return len(f), float(self.ratio[f].sum()), float(self.toxic[f].sum())
+        return len(f), float(self.ratio[f].sum()), self.toxic[words_of(f)].sum(axis=0)
 
 
 def noise(doc_id) -> float:
@@ -110,30 +117,34 @@ def noise(doc_id) -> float:
 
 
 def count_ngrams(docs: DataFrame, labels: Labels, id_col: str, text_col: str) -> np.ndarray:
-    """Counts by bucket of raw, target, toxic and all labelled text: 4 x BUCKETS."""
+    """5 x BUCKETS: n-grams by bucket of raw and target text; toxic and all labelled documents by bucket of their words; in
+    the first two places of the last row, toxic and all labelled documents."""
     shared = docs.sparkSession.sparkContext.broadcast(labels)
     kinds = [pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hashes = shared.value, Hashes()
-        counts = np.zeros((4, BUCKETS), np.int64)
+        counts = np.zeros((5, BUCKETS), np.int64)
         for batch in batches:
             at = known.find(batch.column(0))
             for start in range(0, batch.num_rows, 1000):
                 for k, text in enumerate(batch.column(1).slice(start, 1000).cast(pa.binary()).to_pylist(), start):
-                    c = np.bincount(buckets_of(text, hashes), minlength=BUCKETS) if text else None
-                    if c is None:
+                    if not text:
                         continue
+                    found = buckets_of(text, hashes)
+                    c = np.bincount(found, minlength=BUCKETS)
                     counts[0] += c
                     if at[k] >= 0 and known.fit[at[k]]:
                         if known.good[at[k]] and not known.toxic[at[k]]:
                             counts[1] += c
-                        c = np.minimum(c, OFTEN)
-                        counts[3] += c
+                        words = words_of(found)
+                        counts[3, words] += 1
+                        counts[4, 1] += 1
                         if known.toxic[at[k]]:
-                            counts[2] += c
+                            counts[2, words] += 1
+                            counts[4, 0] += 1
         if counts[0].any():
-            parts = counts.reshape(4, SLICES, -1)
+            parts = counts.reshape(5, SLICES, -1)
             yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), kinds[0]), pa.array([parts[:, s].tobytes() for s in range(SLICES)], kinds[1])], names=["slice", "counts"])
 
     def add(group: pa.Table) -> pa.Table:
@@ -141,22 +152,25 @@ def count_ngrams(docs: DataFrame, labels: Labels, id_col: str, text_col: str) ->
         return pa.table([group.column("slice")[:1].cast(pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slice", "counts"])
 
     schema = "slice int, counts binary"
-    out = np.zeros((4, SLICES, BUCKETS // SLICES), np.int64)
+    out = np.zeros((5, SLICES, BUCKETS // SLICES), np.int64)
     for row in docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, schema).groupBy("slice").applyInArrow(add, schema).collect():  # SLICES rows
-        out[:, row.slice] = np.frombuffer(row.counts, np.int64).reshape(4, -1)
-    return out.reshape(4, BUCKETS)
+        out[:, row.slice] = np.frombuffer(row.counts, np.int64).reshape(5, -1)
+    return out.reshape(5, BUCKETS)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_labels: int = 40_000, reject_clean: float = 0.003) -> Model:
     known = labelled(labels, max_labels)
-    raw, target, toxic, both = count_ngrams(docs, known, id_col, text_col).astype(float)
+    raw, target, toxic, both, docs_of = count_ngrams(docs, known, id_col, text_col).astype(float)
     model = Model(np.zeros(BUCKETS), np.zeros(BUCKETS))
     if not target.any():
         return model
     share = lambda c: np.log((c + SMOOTH) / (c.sum() + SMOOTH * BUCKETS))
     model.ratio = share(target) - share(raw)
-    expected = both * (toxic.sum() / max(1.0, both.sum()))
-    model.toxic = np.where(toxic - expected > SURE * np.sqrt(expected + 1), np.log((toxic + 0.5) / (expected + 0.5)), 0.0)
+    n_toxic, other, n_other = docs_of[0], both - toxic, docs_of[1] - docs_of[0]
+    odds = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((other + 0.5) / (n_other + 1))
+    errors = np.sqrt(1 / (toxic + 0.5) + 1 / (other + 0.5))
+    gated = [np.where((odds - ERRORS * errors > g) & (n_toxic > 0), odds, 0.0) for g in GATES]
+    model.toxic = np.stack(gated, axis=1)
     shared = docs.sparkSession.sparkContext.broadcast((known, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,15 +179,24 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         for batch in batches:
             at = known.find(batch.column(0))
             mine = np.flatnonzero((at >= 0) & ~known.fit[np.maximum(at, 0)]) if len(known.ids) else np.array([], int)
-            mine = mine[(known.good & ~known.toxic)[at[mine]]]
+            mine = mine[(known.good | known.toxic)[at[mine]]]
             if len(mine):
                 some = batch.take(pa.array(mine))
                 found = [(model.score(t, hashes), i) for t, i in zip(some.column(1).cast(pa.binary()).to_pylist(), some.column(0).to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([x[1] + noise(i) for x, i in found]), pa.array([x[2] for x, _ in found])], names=["key", "toxic"])
-
-    rows = docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, "key double, toxic double").agg(F.percentile("key", reject_clean), F.percentile("toxic", 1 - reject_clean)).first()
+                bad = known.toxic[at[mine]]
+                scores = [pa.array([x[2][k] for x, _ in found]) for k in range(len(GATES))]
+                yield pa.RecordBatch.from_arrays([pa.array(bad), pa.array([x[1] + noise(i) for x, i in found]), *scores], names=names)
+
+    names = ["bad", "key", *(f"s{k}" for k in range(len(GATES)))]
+    held = saved(docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, "bad boolean, " + ", ".join(f"{n} double" for n in names[1:])))
+    rows = held.where("not bad").agg(F.percentile("key", reject_clean), *(F.percentile(n, 1 - reject_clean) for n in names[2:])).first()
+    best = 0
     if rows[0] is not None:
-        model.least_key, model.most_toxic = rows[0] - 1e-9, rows[1] + 1e-9
+        limits = [x + 1e-9 for x in rows[1:]]
+        caught = held.where("bad").agg(*(F.count_if(F.col(n) > F.lit(x)) for n, x in zip(names[2:], limits, strict=True))).first()
+        best = int(np.argmax(caught))
+        model.least_key, model.most_toxic = rows[0] - 1e-9, limits[best]
+    model.toxic = gated[best]
     return model
 
 
@@ -197,16 +220,27 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
                 batch = whole.slice(at, 1000)
                 found = [model.score(t, hashes) for t in batch.column(text_at).cast(pa.binary()).to_pylist()]
                 keys = [x[1] + noise(i) for x, i in zip(found, batch.column(id_at).to_pylist(), strict=True)]
-                kept = pa.array([k >= model.least_key and x[2] <= model.most_toxic for k, x in zip(keys, found, strict=True)], pa.bool_())
+                kept = pa.array([k >= model.least_key and bool(x[2] <= model.most_toxic) for k, x in zip(keys, found, strict=True)], pa.bool_())
                 if only_kept:
                     yield pa.RecordBatch.from_arrays(batch.filter(kept).columns, names=names)
                     continue
-                new = [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.float64()), pa.array(keys, pa.float64()), pa.array([x[2] for x in found], pa.float64()), kept]
+                new = [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.float64()), pa.array(keys, pa.float64()), pa.array([float(x[2]) for x in found], pa.float64()), kept]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=names)
 
     return base.mapInArrow(run, schema)
 
 
+def toxic_recall(docs: DataFrame, labels: DataFrame, *by: str, max_labels: int = 40_000, **options) -> DataFrame:
+    """(by, toxic, caught, rejected: of any reason) of the toxic documents, and (clean, lost) of the good and clean ones, that the
+    fit of these labels holds out."""
+    known = labelled(labels, max_labels)
+    model = fit(docs, labels, max_labels=max_labels, **options)
+    held = [(int(i), bool(g), bool(t)) for i, g, t, f in zip(known.ids, known.good, known.toxic, known.fit, strict=True) if not f]  # max_labels at most
+    marked = scored(docs, model).join(docs.sparkSession.createDataFrame(held, "doc_id long, __good boolean, __is_toxic boolean"), "doc_id")
+    t, clean, over = F.col("__is_toxic"), F.col("__good") & ~F.col("__is_toxic"), F.col("__toxic") > F.lit(float(model.most_toxic))
+    return marked.groupBy(*by).agg(F.count_if(t).alias("toxic"), F.count_if(t & over).alias("caught"), F.count_if(t & ~F.col("__kept")).alias("rejected"), F.count_if(clean).alias("clean"), F.count_if(clean & ~F.col("__kept")).alias("lost"))
+
+
 def gumbel_top_k(keyed: DataFrame, k: int, *, key_col: str = "__key", bins: int = 4096) -> DataFrame:
     """The rows with the k largest keys, and any that tie with the k-th. The k-th key is found by histograms that
     close in on it, each one aggregation of ``bins`` rows, so nothing is sorted as a whole."""
