@@ -7,22 +7,23 @@ under the cells of ``SCOPE`` characters that it begins in, and the neighbouring
 cell and lie within ``SCOPE`` of each other complement one another if their kinds differ. A weak secret is reported if an
 identifier (weak or strong) or an endpoint is in its scope, a weak identifier if a secret (weak or strong) is.
 
-Where something is, is worked out from the pieces between the matches: `split` gives the pieces, `regexp_extract_all` the matches,
-and running sums of their lengths the places, in code points. Documents without any candidate skip all of it, and
-only the parts of the others are shuffled, a few short rows a document. The join is on the document and the cell and asks only
-whether a partner exists (partners are reduced to the first and the last one per document, cell and kind), so a
-document crowded with parts costs no more than its number of parts.
-
-Defined cases: a null or empty text has no findings; repeated rows get the same findings each; overlapping weak and strong
-spans: weak ones that overlap a base span are left out; a null id is an id like others; extra columns don't matter.
+Where something is, is worked out from the pieces between the matches: `split` gives the pieces, `regexp_extract_all` the matches;
+their lengths become one row a match, and a running sum over a document's rows of one kind gives the places, in code points.
+Whether a weak part overlaps a strong one is told by two more running windows. So the work on a text grows with its length and, but
+for sorting, its number of matches. No pattern repeats a group, which Java's matcher would do by recursion. Texts without any
+candidate stay where they are; of the others only numbers are shuffled, and they are written once to the shared folder.
+The join asks only whether a partner exists (partners are reduced to the first and the last one per document, cell and kind).
+
+Defined cases: a null or empty text has no findings; repeated rows get the same findings each; weak spans that overlap a base
+span are left out; a null id is an id like others; ids may be of any type; extra columns don't matter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veriframe.llm.common import table
+from veriframe.llm.common import saved, table
 
 SCOPE = 200
 
@@ -45,71 +46,75 @@ FASTER = {"access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}"}
 WEAK = [
     ("weak_id", r"AKIA[A-Z0-9]{8,}"),
     ("weak_secret", r"[A-Za-z0-9+/]{32,}"),
-    ("endpoint", r"(?:://|@)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+    ("endpoint", r"(?:://|@)[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z0-9-]"),
 ]
-
-
-def places(text: Column, pattern: str, *, group: int = 0, least: int = 0) -> Column:
-    """array<struct<s, e>> of the pattern's matches, in code points, less those whose group is too short."""
-    between, whole = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    size = F.transform(whole, lambda x: F.length(x))
-    gap = F.transform(between, lambda x: F.length(x))
-    # running sums: after each step, the last end and what has been found
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("found"))
-    step = lambda acc, i: F.struct(
-        (acc["at"] + F.get(gap, i) + F.get(size, i)).alias("at"),
-        F.concat(acc["found"], F.array(F.struct((acc["at"] + F.get(gap, i)).alias("s"), (acc["at"] + F.get(gap, i) + F.get(size, i)).alias("e")))).alias("found"),
-    )
-    found = F.aggregate(F.sequence(F.lit(0), F.size(whole) - 1), start, step, lambda acc: acc["found"])
-    if least:
-        counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-        found = F.filter(found, lambda x, i: F.length(F.get(counted, i)) >= least)
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<s:int,e:int>>"))
-
-
-def base_findings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: str = "text") -> DataFrame:
-    """(id, text, one array of places for each base kind) of each row."""
-    out = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    for kind, pattern, group, least in BASE:
-        faster = FASTER.get(kind)
-        out = out.withColumn(kind, places(F.col("text"), faster) if faster else places(F.col("text"), pattern, group=group, least=least))
-    return out
+KINDS = [b[0] for b in BASE]
+#: Texts that this doesn't match have neither base findings nor weak parts that could be reported.
+ANY = "|".join([rf"""(?:{NAMES})["']?\x20*[:=]""", "AKIA[A-Z0-9]{8}", "[0-9a-f]{24}", "[A-Za-z0-9+/]{32}"])
+#: Weak parts are looked for in texts that this matches; endpoints alone are of no use.
+HAS_WEAK = "AKIA[A-Z0-9]{8}|[A-Za-z0-9+/]{32}"
+PIECE = "array<struct<gap:int,size:int,counted:int>>"
+
+
+def pieces(text: Column, kind: str, pattern: str, group: int = 0, within: str | None = None) -> Column:
+    """array<struct<kind, gap, size, counted>>: of each match, the lengths of what stands before it, of itself and of its group; a
+    last element without size. Each array is worked out once a text, outside of lambdas, and zipped."""
+    lengths = lambda x: F.transform(x, lambda y: F.length(y))
+    gap, size = lengths(F.split(text, pattern, -1)), lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    counted = lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(group))) if group else F.array().cast("array<int>")
+    found = F.when(text.rlike(within or pattern), F.arrays_zip(gap, size, counted).cast(PIECE)).otherwise(F.array().cast(PIECE))
+    return F.transform(found, lambda x: F.struct(F.lit(kind).alias("kind"), x["gap"].alias("gap"), x["size"].alias("size"), x["counted"].alias("counted")))
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(__id, __text, __digest of the text)."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.col(id_col).alias("__id"), text.alias("__text"), F.xxhash64(text).alias("__digest"))
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """(__id, __digest, kind, s, e) of the base findings, and of the weak parts clear of them, of `keyed` rows."""
+    text = F.col("__text")
+    kinds = [pieces(text, kind, FASTER.get(kind, pattern), 0 if kind in FASTER else group) for kind, pattern, group, _ in BASE]
+    kinds += [pieces(text, kind, pattern, within=HAS_WEAK) for kind, pattern in WEAK]
+    rows = docs.where(text.rlike(ANY)).select("__id", "__digest", F.posexplode(F.flatten(F.array(*kinds))).alias("at", "x"))
+    rows = rows.select("__id", "__digest", "at", "x.*").where("size is not null").distinct()  # repeated rows once
+    so_far = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("__id", "__digest", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
+    least = {kind: n for kind, _, _, n in BASE if kind not in FASTER}
+    enough = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for pair in least.items() for x in pair)), F.col("kind")) <= F.col("counted"), F.lit(True))
+    spans = rows.withColumn("e", so_far.cast("int")).where(enough).select("__id", "__digest", "kind", (F.col("e") - F.col("size")).alias("s"), "e")
+    base, one = F.col("kind").isin(KINDS), Window.partitionBy("__id", "__digest")
+    before = F.max(F.when(base, F.col("e"))).over(one.orderBy("s").rangeBetween(Window.unboundedPreceding, 0))
+    after = F.min(F.when(base, F.col("s"))).over(one.orderBy(F.desc("s")).rangeBetween(Window.unboundedPreceding, 0))
+    spans = spans.withColumns({"before": before, "after": after})
+    clear = F.coalesce(F.col("before") <= F.col("s"), F.lit(True)) & F.coalesce(F.col("after") >= F.col("e"), F.lit(True))
+    return spans.where(base | clear).drop("before", "after")
 
 
 def tagged(kind: str, found: Column) -> Column:
     return F.transform(found, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("kind")))
 
 
-def weak_parts(found: DataFrame, id_col: str) -> DataFrame:
-    """(id, text digest, s, e, kind) of the weak parts clear of base spans, and of the base parts that can complement them."""
-    kinds = [k for k, *_ in BASE]
-    strong = F.concat(*(tagged(k, F.col(k)) for k in kinds))
-    has_weak = F.col("text").rlike("AKIA[A-Z0-9]{8}|[A-Za-z0-9+/]{32}")
-    weak = F.concat(*(tagged(k, places(F.col("text"), p)) for k, p in WEAK))
-    rows = found.where(has_weak).select(id_col, F.xxhash64("text").alias("digest"), strong.alias("strong"), weak.alias("weak"))
-    clear = F.filter("weak", lambda w: ~F.exists("strong", lambda b: (b["s"] < w["e"]) & (w["s"] < b["e"])))
-    return rows.select(id_col, "digest", F.inline(F.concat("strong", clear)))
-
-
-def linked(parts: DataFrame, id_col: str, *, scope: int = SCOPE) -> DataFrame:
-    """(id, digest, s, e, kind) of weak secrets and identifiers that a complementary part is near."""
+def linked(parts: DataFrame, *, scope: int = SCOPE) -> DataFrame:
+    """The weak secrets and identifiers among (__id, __digest, kind, s, e) that a complementary part is near."""
     role = F.when(F.col("kind").isin("access", "weak_id"), "identifier").when(F.col("kind").isin("assign", "hex", "weak_secret"), "secret").otherwise("endpoint")
-    parts = parts.distinct().withColumn("role", role)
+    parts = parts.withColumn("role", role)
     cell = F.floor(F.col("s") / scope)
     # partners by cell: of each role the first and the last start are enough to know whether one is in scope
-    near = parts.select(id_col, "digest", "role", "s", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    near = near.select(F.col(id_col).alias("__id"), F.col("digest").alias("__digest"), F.col("role").alias("__role"), F.col("cell").alias("__cell"), F.floor(F.col("s") / scope).alias("own"), "s")
-    near = near.groupBy("__id", "__digest", "__role", "__cell").agg(*(F.min(F.when(w, F.col("s"))).alias(f"min_{n}") for n, w in (("after", F.col("own") > F.col("__cell")), ("same", F.col("own") == F.col("__cell")))), F.max(F.when(F.col("own") < F.col("__cell"), F.col("s"))).alias("max_before"))
-    asking = parts.where(F.col("kind").isin("weak_id", "weak_secret")).withColumn("cell", cell)
+    near = parts.select(F.col("__id").alias("id"), F.col("__digest").alias("digest"), F.col("role").alias("with"), "s", cell.alias("own"), F.explode(F.array(cell - 1, cell, cell + 1)).alias("near_cell"))
+    near = near.groupBy("id", "digest", "with", "near_cell").agg(
+        F.min(F.when(F.col("own") > F.col("near_cell"), F.col("s"))).alias("min_after"),
+        F.min(F.when(F.col("own") == F.col("near_cell"), F.col("s"))).alias("min_same"),
+        F.max(F.when(F.col("own") < F.col("near_cell"), F.col("s"))).alias("max_before"),
+    )
     wanted = F.when(F.col("role") == "identifier", F.array(F.lit("secret"))).otherwise(F.array(F.lit("identifier"), F.lit("endpoint")))
-    asking = asking.withColumn("wanted", F.explode(wanted))
-    s = F.col("asking.s")
-    in_scope = F.col("min_same").isNotNull() | (F.col("min_after") - s <= scope) | (s - F.col("max_before") <= scope)
-    keys = F.col(f"asking.{id_col}").eqNullSafe(F.col("__id")) & (F.col("asking.digest") == F.col("__digest")) & (F.col("asking.wanted") == F.col("__role")) & (F.col("asking.cell") == F.col("__cell"))
-    return asking.alias("asking").join(near, keys & in_scope, "left_semi").select(id_col, "digest", "s", "e", "kind").distinct()
+    asking = parts.where(F.col("kind").isin("weak_id", "weak_secret")).withColumns({"cell": cell, "wanted": F.explode(wanted)})
+    in_scope = F.col("min_same").isNotNull() | (F.col("min_after") - F.col("asking.s") <= scope) | (F.col("asking.s") - F.col("max_before") <= scope)
+    keys = F.col("__id").eqNullSafe(F.col("id")) & (F.col("__digest") == F.col("digest")) & (F.col("wanted") == F.col("with")) & (F.col("cell") == F.col("near_cell"))
+    return asking.alias("asking").join(near, keys & in_scope, "left_semi").select("__id", "__digest", "kind", "s", "e").distinct()
 
 
-ORDER = {k: n for n, k in enumerate([*(b[0] for b in BASE), *(w[0] for w in WEAK)])}
+ORDER = {k: n for n, k in enumerate([*KINDS, *(w[0] for w in WEAK)])}
 
 
 def written(spans: Column) -> Column:
@@ -121,18 +126,21 @@ def written(spans: Column) -> Column:
 
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """(id, assign, access, hex: places, weak: array of reported weak spans) of each row of docs."""
-    found = base_findings(docs, id_col=id_col, text_col=text_col)
-    extra = linked(weak_parts(found, id_col), id_col, scope=scope).groupBy(F.col(id_col).alias("__id"), F.col("digest").alias("__digest")).agg(F.sort_array(F.collect_list(F.struct("s", "e", "kind"))).alias("weak"))
-    kinds = [k for k, *_ in BASE]
-    slim = found.select(id_col, F.xxhash64("text").alias("digest"), *kinds)
-    joined = slim.join(extra, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest")), "left")
-    return joined.select(id_col, *kinds, F.coalesce("weak", F.array().cast("array<struct<s:int,e:int,kind:string>>")).alias("weak"))
+    rows = keyed(docs, id_col, text_col)
+    parts = saved(placed(rows))
+    all_spans = parts.where(F.col("kind").isin(KINDS)).union(linked(parts, scope=scope).select(parts.columns))
+    kept = [F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.struct("s", "e")))).alias(k) for k in KINDS]
+    weak = F.sort_array(F.collect_list(F.when(~F.col("kind").isin(KINDS), F.struct("s", "e", "kind")))).alias("weak")
+    found = all_spans.groupBy(F.col("__id").alias("id"), F.col("__digest").alias("digest")).agg(*kept, weak)
+    joined = rows.select("__id", "__digest").join(found, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__digest") == F.col("digest")), "left")
+    none = {k: F.array().cast("array<struct<s:int,e:int>>") for k in KINDS} | {"weak": F.array().cast("array<struct<s:int,e:int,kind:string>>")}
+    return joined.select(F.col("__id").alias(id_col), *(F.coalesce(F.col(k), n).alias(k) for k, n in none.items()))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"))
-    base = F.concat(*(tagged(k, F.col(k)) for k, *_ in BASE))
-    counts = [F.size(k).cast("long").alias(f"n_{k}") for k, *_ in BASE]
+    base = F.concat(*(tagged(k, F.col(k)) for k in KINDS))
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.concat(base, "weak")).alias("spans"))
 
 
