@@ -19,7 +19,6 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriframe.llm.common import field_type, table
+from veriframe.llm.common import field_type, held, slices, table
 
 #: Fixed values of the byte-level scheme: the split pattern and the bytes that stand for themselves.
 W = r"\p{White_Space}"
@@ -233,21 +232,12 @@ class Encoder(Codec):
         return b"".join(out)
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    return Codec(path)
+    return held(("codec", path), lambda: Codec(path))
 
 
-@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """The batches in smaller ones, so that few texts are held as Python objects at once."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def encode(docs: DataFrame, vocabulary: str | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,9 +5,9 @@ are streamed through it: the state is the longest suffix read so far that occurs
 length. Where that length reaches the window (10 words) the words of the window are hit; an item shorter
 than the window counts as a whole. `scan` gives the hit spans and the items; `decontaminate` removes them.
 
-The automaton is broadcast, so its size is bounded: items are put into blocks of at most ``block_words`` words
-(one longer item is a block of its own); with several blocks the documents pass through one automaton after
-another. Nothing is shuffled, and each document is handled alone, however long.
+The items are broadcast, so their size is bounded: they are hashed into blocks of about ``block_words`` words each, in a table of
+the shared folder; the driver reads one block at a time, and with several of them the documents pass through one automaton
+after another. Documents aren't shuffled, and each is handled alone, however long.
 
 Defined cases: a null or empty text has no words and no hits; null or empty items have no window; a null
 item_id is written ``null``; repeated item ids count once; repeated rows give repeated results; without
@@ -17,18 +17,21 @@ items nothing is hit; other columns of either table don't matter.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriframe.llm.common import ascii_lower, numbered, table
+from veriframe.llm.common import ascii_lower, ascii_lower_col, held, numbered, saved, slices, table
 
 #: Words: digits, a-z and everything beyond ASCII.
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 10
+#: Words of the items of one automaton.
+BLOCK_WORDS = 250_000
 
 
 class SuffixAutomaton:
@@ -149,63 +152,73 @@ def words_of(text: bytes | str | None) -> list[bytes]:
     return (text.encode() if isinstance(text, str) else text).translate(TO_WORDS).split()
 
 
-def blocks_of(items: DataFrame, block_words: int, id_col: str, text_col: str) -> list[list[tuple[str, list[bytes]]]]:
-    """The items as word lists, in blocks of bounded size. The items are read one partition at a time."""
-    rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), text_col).distinct()
-    blocks: list[list[tuple[str, list[bytes]]]] = [[]]
-    size = 0
-    for item, text in rows.toLocalIterator():
-        words = words_of(text)
-        if not words:
-            continue
-        if blocks[-1] and size + len(words) > block_words:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((item, words))
-        size += len(words)
-    return blocks if blocks[0] else []
+def blocks_of(items: DataFrame, block_words: int, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """(item, text, block) of the distinct items, as a table in the shared folder, and the number of blocks: as many as it takes for
+    ``block_words`` each, on average. A block is a hash bucket, so Spark makes them all at once."""
+    rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null").distinct()
+    rows = saved(rows)
+    size = rows.agg(F.sum(F.regexp_count(ascii_lower_col(F.col("text")), F.lit(ITEM_WORD.pattern)))).first()[0] or 0
+    n = max(1, -(-size // block_words))
+    return rows.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int")), n
 
 
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 FOUND = "__spans", "__items", "__words"
+Rows = list[tuple[list[tuple[int, int]], set[str], int]]
 
 
-def scan(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = 500_000) -> DataFrame:
-    """The rows of docs (columns of these names are replaced) with __spans (word spans hit, in order), __items (sorted item ids) and __words (count)."""
-    context = docs.sparkSession.sparkContext
-    base = docs.drop(*FOUND)
-    schema = T.StructType([*base.schema, T.StructField("__spans", SPAN), T.StructField("__items", T.ArrayType(T.StringType())), T.StructField("__words", T.LongType())])
-    text_at, width, names_out = base.columns.index(text_col), len(base.columns), schema.names
+def with_found(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema, T.StructField("__spans", SPAN), T.StructField("__items", T.ArrayType(T.StringType())), T.StructField("__words", T.LongType())])
+
+
+def finds(columns: list[pa.Array], rows: Rows) -> list[pa.Array]:
+    """The columns, and those of FOUND."""
+    spans = [[{"start": a, "end": b} for a, b in s] for s, _, _ in rows]
+    return [*columns, pa.array(spans, SPANS), pa.array([sorted(i) for _, i, _ in rows], pa.list_(pa.string())), pa.array([k for _, _, k in rows], pa.int64())]
+
+
+def passed(docs: DataFrame, items: DataFrame, last: Callable[[list[pa.Array], Rows], list[pa.Array]], schema: T.StructType, *, window: int, text_col: str, item_id: str, item_text: str, block_words: int) -> DataFrame:
+    """What ``last`` makes of each batch's columns and (spans, items, number of words) of its texts, after all blocks of items.
+
+    One block (a quarter of a million words) is read by the driver, broadcast, and made into an automaton once in each
+    Python worker. With more blocks, the finds of each pass but the last are written beside the documents before the next."""
+    spark, width, text_at = docs.sparkSession, len(docs.columns), docs.columns.index(text_col)
+    between = with_found(docs.schema)
+    table_, n = blocks_of(items, block_words, item_id, item_text)
 
-    def one_pass(df: DataFrame, block: list, first: bool) -> DataFrame:
-        shared = context.broadcast(block)
+    def one_pass(df: DataFrame, k: int) -> DataFrame:
+        block = table_.where(F.col("block") == k).select("item", "text").collect()  # about block_words words
+        shared, key = spark.sparkContext.broadcast([(r.item, w) for r in sorted(block) if (w := words_of(r.text))]), ("automaton", uuid.uuid4().hex)
+        finish, out = (last, schema) if k == n - 1 else (finds, between)
+        names = out.names
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton = SuffixAutomaton(shared.value, window)
-            for batch in batches:
-                spans, names, counts = [], [], []
+            automaton = held(key, lambda: SuffixAutomaton(shared.value, window))
+            for batch in slices(batches):
+                rows = []
                 for text in batch.column(text_at).cast(pa.binary()).to_pylist():
                     words = words_of(text)
-                    s, i = automaton.scan(words)
-                    spans.append(s)
-                    names.append(i)
-                    counts.append(len(words))
-                if not first:
-                    for k, (s, i) in enumerate(zip(batch.column(width).to_pylist(), batch.column(width + 1).to_pylist(), strict=True)):
-                        spans[k] = joined([*spans[k], *((x["start"], x["end"]) for x in s)])
-                        names[k] = names[k] | set(i)
-                spans = [[{"start": a, "end": b} for a, b in s] for s in spans]
-                new = [pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array([sorted(i) for i in names], pa.list_(pa.string())), pa.array(counts, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:width], *new], names=names_out)
-
-        return df.mapInArrow(run, schema)
-
-    out = base
-    for k, block in enumerate(blocks_of(items, block_words, item_id, item_text) or [[]]):
-        out = one_pass(out, block, k == 0)
+                    rows.append((*automaton.scan(words), len(words)))
+                if k:
+                    earlier = zip(batch.column(width).to_pylist(), batch.column(width + 1).to_pylist(), strict=True)
+                    rows = [(joined([*s, *((x["start"], x["end"]) for x in before)]), i | set(names_before), m) for (s, i, m), (before, names_before) in zip(rows, earlier, strict=True)]
+                yield pa.RecordBatch.from_arrays(finish(batch.columns[:width], rows), names=names)
+
+        return df.mapInArrow(run, out)
+
+    out = docs
+    for k in range(n):
+        out = one_pass(saved(out) if k else out, k)
     return out
 
 
+def scan(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of docs (columns of these names are replaced) with __spans (word spans hit, in order), __items (sorted item ids) and __words (count)."""
+    base = docs.drop(*FOUND)
+    return passed(base, items, finds, with_found(base.schema), window=window, text_col=text_col, item_id=item_id, item_text=item_text, block_words=block_words)
+
+
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -228,28 +241,24 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, *, max_coverage: float = 0.5, text_col: str = "text", **options) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, *, max_coverage: float = 0.5, window: int = WINDOW, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """docs without test material: hit spans are cut out of the text; a document of whose words more than
-    ``max_coverage`` are hit goes as a whole. Columns and types stay as they are; clean rows are untouched."""
+    ``max_coverage`` are hit goes as a whole. Columns and types stay as they are; clean rows are untouched.
+    Texts are scanned and cut in one pass, in one Python worker."""
     names = docs.columns
     docs = numbered(docs)
-    text_col = f"c{names.index(text_col)}"
-    found = scan(docs, items, text_col=text_col, **options)
-    hit = F.aggregate("__spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
-    kept = found.where(hit <= F.lit(max_coverage) * F.col("__words"))
-    at, span_at = found.columns.index(text_col), found.columns.index("__spans")
-    n, names_out = len(docs.columns), docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = batch.column(span_at).to_pylist()
-            columns = list(batch.columns[:n])
-            if any(spans):
-                texts = columns[at].to_pylist()
-                columns[at] = pa.array([cut_words(t, [(x["start"], x["end"]) for x in s]) if s else t for t, s in zip(texts, spans, strict=True)], columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, names=names_out)
-
-    return kept.mapInArrow(run, docs.schema).toDF(*names)
+    at = names.index(text_col)
+
+    def cut(columns: list[pa.Array], rows: Rows) -> list[pa.Array]:
+        kept = [sum(b - a for a, b in spans) <= max_coverage * n for spans, _, n in rows]
+        if any(spans for (spans, _, _), k in zip(rows, kept, strict=True) if k):
+            texts = columns[at].to_pylist()
+            columns = [*columns]
+            columns[at] = pa.array([cut_words(t, r[0]) if k and r[0] else t for t, r, k in zip(texts, rows, kept, strict=True)], columns[at].type)
+        return columns if all(kept) else [c.filter(pa.array(kept, pa.bool_())) for c in columns]
+
+    out = passed(docs, items, cut, docs.schema, window=window, text_col=f"c{at}", item_id=item_id, item_text=item_text, block_words=block_words)
+    return out.toDF(*names)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Quality rules with an isolation forest over their statistics.
 
 Each text gets rule statistics. Those of length and of repeated lines and word windows feed two plain rules that fail a
-document outright; the shares of symbols, capitals, stuttered words and marks go to an isolation forest, which judges them together: trees of random splits isolate unusual
-documents after few steps, so a short mean path means an anomaly. The forest is grown on, and its
+document outright; the shares of symbols, capitals, stuttered words and marks, in steps of ``STEP``, go to an isolation forest, which
+judges them together: trees of random splits isolate unusual documents after few steps, so a short mean path means an anomaly. (Unrounded, or
+with shares of repeated lines and words, length and word length as well, the forest spends its splits on what varies among good documents: on
+labelled rows held out it then finds 3 % to 48 % of the bad ones that pass the plain rules, as against all of them.) The forest is grown on, and its
 threshold set from, at most ``max_labels`` labelled rows (those with the smallest hashes): the threshold is the
 anomaly score that all but ``reject_clean`` of held-out good rows stay under.
 
@@ -10,7 +12,7 @@ Statistics and verdicts of a document depend on it alone, so nothing is shuffled
 Repeated windows are found exactly, by ranking words, then pairs, fours and eights of them.
 
 Defined cases: a null or empty text has zero statistics and fails the length rule; rows with null ids or labels don't teach;
-contradictory labels of a document count as bad; without good labels the forest rejects nothing; repeated rows
+contradictory labels of a document count as bad; of rows that share a labelled id the smallest statistics teach; ids may be of any type; without good labels the forest rejects nothing; repeated rows
 are judged each; extra columns don't matter; no rows give no rows.
 """
 
@@ -22,10 +24,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriframe.llm.common import field_type, table
-from veriframe.llm.importance import Labels, labelled
+from veriframe.llm.common import field_type, held, slices, table
+from veriframe.llm.importance import Labels, key_of, labelled
 
 SYMBOLS = b"#*$%&|<>"
 UPPER = bytes(range(65, 91))
@@ -140,15 +143,17 @@ def labelled_statistics(docs: DataFrame, known: Labels, id_col: str, text_col: s
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         known = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             at = known.find(batch.column(0))
             mine = np.flatnonzero(at >= 0)
             some = [statistics(t) for t in batch.column(1).take(pa.array(mine, pa.int64())).cast(pa.binary()).to_pylist()]
             keep = [k for k, (c, _) in enumerate(some) if not base_failed(c)]
             yield pa.RecordBatch.from_arrays([pa.array(at[mine[keep]], pa.int64()), pa.array([some[k][1] for k in keep], pa.list_(pa.float64()))], names=["at", "x"])
 
-    rows = sorted(docs.select(id_col, text_col).mapInArrow(run, "at bigint, x array<double>").dropDuplicates(["at"]).collect())
+    found = docs.select(key_of(F.col(id_col)), F.col(text_col).cast("string")).mapInArrow(run, "at bigint, x array<double>")
+    rows = sorted(found.groupBy("at").agg(F.min("x")).collect())  # of rows that share an id, the smallest statistics
     at = np.array([r[0] for r in rows], np.int64)
     return np.array([r[1] for r in rows], float).reshape(len(rows), len(statistics(None)[1])), known.good[at], known.fit[at]
 
@@ -171,18 +176,17 @@ def judge(docs: DataFrame, forest: Forest | None, *, id_col: str = "doc_id", tex
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
         forest = shared.value
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
-                found = [statistics(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-                failed = np.array([base_failed(c) for c, _ in found], bool)
-                odd = forest.score(np.array([f for _, f in found])) if forest else np.zeros(len(found))
-                kept = ~failed & (odd <= forest.limit if forest else True)
-                counts = [pa.array([c[k] for c, _ in found], pa.int64()) for k in range(len(COUNTS))]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array(failed), pa.array(odd, pa.float64()), pa.array(kept)], names=names)
-
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+        for batch in slices(batches, 2000):
+            found = [statistics(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            failed = np.array([base_failed(c) for c, _ in found], bool)
+            odd = forest.score(np.array([f for _, f in found])) if forest else np.zeros(len(found))
+            kept = ~failed & (odd <= forest.limit if forest else True)
+            counts = [pa.array([c[k] for c, _ in found], pa.int64()) for k in range(len(COUNTS))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array(failed), pa.array(odd, pa.float64()), pa.array(kept)], names=names)
+
+    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,15 +22,14 @@ import base64
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriframe.llm.bpe import pre_tokens, slices
-from veriframe.llm.common import field_type, table
+from veriframe.llm.bpe import pre_tokens
+from veriframe.llm.common import field_type, held, slices, table
 
 #: Scores are multiples of 1 / UNIT; a score and a token count share one integer: score * COUNT - tokens.
 UNIT, COUNT = 1 << 20, 1 << 40
@@ -102,9 +101,8 @@ class Unigram:
         return out
 
 
-@lru_cache(maxsize=1)
 def unigram(path: str) -> Unigram:
-    return Unigram(path)
+    return held(("unigram", path), lambda: Unigram(path))
 
 
 def token_counts(docs: DataFrame, vocabulary: str | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
