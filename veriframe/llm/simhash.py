@@ -16,9 +16,9 @@ by links form a group, named by its smallest id. No link between different finge
 5. Links are contracted to stars by repeated minimum steps (joins with partial aggregation, written to
    the shared checkpoint folder each time) until nothing changes.
 
-Defined cases: a null or empty text has the fingerprint zero, which is linked like any other; a row with a null id has a
-fingerprint but takes no part in links (its component_id is null); rows that share an id are one document;
-fewer words than a shingle make one shingle; no rows give no rows; extra columns don't matter.
+Defined cases: a null or empty text has the fingerprint zero, which is linked like any other; a row with a null id is linked like
+others and named by the smallest id of its group, null if none has one; rows that share an id but not a fingerprint are
+documents of their own; ids may be of any type; fewer words than a shingle make one shingle; no rows give no rows; extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriframe.llm.common import field_type, saved, shuffle_partitions, table
+from veriframe.llm.common import held, numbered, saved, shuffle_partitions, slices, table
 
 DISTANCE, SHINGLE = 4, 4
 #: Widths of the fields, from the lowest bit; two of them are looked up at a time.
@@ -73,18 +73,6 @@ def fingerprint(text: bytes | None) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): fp is the fingerprint's 64 bits as a signed long."""
-    schema = T.StructType([T.StructField(id_col, field_type(docs, id_col)), T.StructField("fp", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.array([fingerprint(t) for t in batch.column(1).cast(pa.binary()).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=schema.names)
-
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, schema)
-
-
 def gray_rank(fp: Column) -> Column:
     """The place of a bit pattern in the Gray sequence."""
     for shift in (1, 2, 4, 8, 16, 32):
@@ -306,21 +294,55 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
+def prints_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(__id, __digest of the text, fp) of each row, as a table in the shared folder."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("__digest"), text)
+    schema = T.StructType([*rows.schema[:2], T.StructField("fp", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held(None)
+        for batch in slices(batches):
+            found = np.array([fingerprint(t) for t in batch.column(2).cast(pa.binary()).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], names=schema.names)
+
+    return saved(rows.mapInArrow(run, schema))
+
+
+def groups_of(prints: DataFrame, **options) -> DataFrame:
+    """(fp, root: its group's smallest fingerprint, rep: its smallest id). The nodes of the search are fingerprints, so that rows
+    without an id connect others too, and ids may be of any type."""
+    reps = saved(prints.groupBy("fp").agg(F.min("__id").alias("rep")))
+    groups = components(links_between(reps.select("fp", F.col("fp").alias("rep")), **options))
+    return reps.join(groups, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("root"), "rep")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None, chunk: int = CHUNK) -> DataFrame:
-    """(id, fp, component_id) of each row of docs. Ids are integers."""
-    fps = saved(fingerprints(docs, id_col=id_col, text_col=text_col))
-    reps = saved(fps.where(F.col(id_col).isNotNull()).groupBy("fp").agg(F.min(F.col(id_col).cast("long")).alias("rep")))
-    groups = components(links_between(reps, partitions=partitions, chunk=chunk))
-    named = reps.join(groups, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    out = fps.join(named, "fp", "left")
-    return out.select(id_col, "fp", F.when(F.col(id_col).isNotNull(), F.col("component_id")).alias("component_id"))
+    """(id, fp, component_id) of each row of docs."""
+    prints = prints_of(docs, id_col, text_col)
+    groups = saved(groups_of(prints, partitions=partitions, chunk=chunk))
+    named = groups.join(groups.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("fp", "component_id")
+    return prints.join(named, "fp", "left").select(F.col("__id").alias(id_col), "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs without the documents that aren't the first of their group."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    """docs with one row of each group: the one with the smallest id (rows without one last), of these the one with the smallest
+    digest of its text, and of rows equal in both any one. Columns stay as they are, whatever their names."""
+    names, docs = docs.columns, numbered(docs)
+    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
+    prints = prints_of(docs, id_col, text_col)
+    rows = prints.groupBy("fp", "__id", "__digest").agg(F.count("*").alias("n"))
+    rows = saved(rows.join(groups_of(prints, **options).select("fp", "root"), "fp"))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("__id").isNull().alias("no_id"), "__id", "__digest")).alias("first"))
+    judged = rows.join(first, "root").withColumn("stays", F.col("__id").eqNullSafe(F.col("first.__id")) & (F.col("__digest") == F.col("first.__digest")))
+    judged = saved(judged.where(~F.col("stays") | (F.col("n") > 1)).select("__id", "__digest", "stays"))  # what isn't simply kept
+    docs = docs.withColumn("__own", F.coalesce(F.xxhash64(F.col(text_col).cast("string")), F.lit(0)))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
+    out = docs.join(judged, same, "left_anti")
+    again = judged.where("stays").drop("stays")
+    if not again.isEmpty():
+        out = out.union(docs.join(again, same, "left_semi").dropDuplicates([id_col, "__own"]))
+    return out.drop("__own").toDF(*names)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

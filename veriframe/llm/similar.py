@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriframe.llm.common import saved, shuffle_partitions
+from veriframe.llm.common import held, numbered, saved, shuffle_partitions, slices
 from veriframe.llm.simhash import components
 
 SHINGLE, LEAST, BANDS, ROWS = 5, 0.8, 20, 5
@@ -65,15 +65,14 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     names, types = ["id", "digest", "size", "bands"], [pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                rows = []
-                for i, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                    found = shingles(text)
-                    if len(found):
-                        rows.append((i, xxhash.xxh3_128_digest(found.tobytes()), len(found), band_keys(found)))
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
+        held(None)
+        for batch in slices(batches):
+            rows = []
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                found = shingles(text)
+                if len(found):
+                    rows.append((i, xxhash.xxh3_128_digest(found.tobytes()), len(found), band_keys(found)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
 
     some = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).where(F.col(id_col).isNotNull())
     return some.mapInArrow(run, "id bigint, digest binary, size int, bands array<bigint>")
@@ -83,11 +82,10 @@ def sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> Data
     """(id, hashes: packed) of the documents with these ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                found = [shingles(t).tobytes() for t in batch.column(1).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "hashes"])
+        held(None)
+        for batch in slices(batches):
+            found = [shingles(t).tobytes() for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "hashes"])
 
     some = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")
     return some.mapInArrow(run, "id bigint, hashes binary").where(F.length("hashes") > 0)
@@ -153,5 +151,7 @@ def similar_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the documents that aren't the first of their group."""
-    gone = components(similar_links(docs, id_col=id_col, text_col=text_col)).select(F.col("node").alias("__gone"))
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    names, docs = docs.columns, numbered(docs)
+    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
+    gone = components(similar_links(docs, id_col=id_col, text_col=text_col)).select("node")
+    return docs.join(gone, F.col(id_col) == F.col("node"), "left_anti").toDF(*names)
