@@ -16,7 +16,7 @@ standard errors, exceed a gate, so that a word in five toxic documents and in no
 for the weights. (`toxic_recall` gives the share of held-out toxic documents that are rejected.)
 
 Cost: one pass that counts (a vector of ``BUCKETS`` counts per task, added up by slices), one over the labelled sample,
-one that scores and writes keys beside the rows. No text is shuffled. The labelled rows used are at most ``max_labels``, those with
+one that scores and writes the keys; for whole rows, one more that scores again. No text is shuffled. The labelled rows used are at most ``max_labels``, those with
 the smallest hashes; half of them fit the models, the others set the limits. The raw model counts every document.
 
 Defined cases: null and empty texts have no n-grams and weight 0; ids may be of any type; a null id has the noise of the id
@@ -219,8 +219,15 @@ SCORES = "__n_ngrams", "__weight", "__key", "__toxic"
 KINDS = [pa.int64(), pa.float64(), pa.float64(), pa.float64()]
 
 
+def score_batch(batch: pa.RecordBatch, model: Model, hashes: Hashes, id_at: int, text_at: int) -> list[pa.Array]:
+    """The columns SCORES."""
+    found = [model.score(t, hashes) for t in batch.column(text_at).cast(pa.binary()).to_pylist()]
+    keys = [SHARP * normal(w, n) + noise(i) for (n, w, _), i in zip(found, batch.column(id_at).to_pylist(), strict=True)]
+    return [pa.array(c, k) for c, k in zip(([x[0] for x in found], [x[1] for x in found], keys, [float(x[2]) for x in found]), KINDS, strict=True)]
+
+
 def weighed(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFrame:
-    """docs with the columns SCORES, as a table in the shared folder."""
+    """docs with the columns SCORES."""
     schema = T.StructType([*docs.schema, *(T.StructField(n, T.LongType() if n == "__n_ngrams" else T.DoubleType()) for n in SCORES)])
     shared = docs.sparkSession.sparkContext.broadcast(model)
     id_at, text_at, names = docs.columns.index(id_col), docs.columns.index(text_col), schema.names
@@ -229,12 +236,9 @@ def weighed(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFr
         held(None)
         model, hashes = shared.value, Hashes()
         for batch in slices(batches):
-            found = [model.score(t, hashes) for t in batch.column(text_at).cast(pa.binary()).to_pylist()]
-            keys = [SHARP * normal(w, n) + noise(i) for (n, w, _), i in zip(found, batch.column(id_at).to_pylist(), strict=True)]
-            new = [[x[0] for x in found], [x[1] for x in found], keys, [float(x[2]) for x in found]]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(new, KINDS, strict=True))], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *score_batch(batch, model, hashes, id_at, text_at)], names=names)
 
-    return saved(docs.mapInArrow(run, schema))
+    return docs.mapInArrow(run, schema)
 
 
 def least_key(scores: DataFrame, model: Model) -> float:
@@ -248,15 +252,25 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
     """docs with __n_ngrams, __weight (log importance), __key (sharpened normalised weight, with noise), __toxic and __kept; columns
     of docs with these names are replaced. only_kept: just the kept rows, with the columns of docs, whatever their names.
 
-    Kept are the k largest keys, as far as the toxicity filter lets them pass."""
+    Kept are the k largest keys, as far as the toxicity filter lets them pass. Numbers are written to find the k-th key, texts
+    aren't: a second pass scores again (`kept_numbers` does without)."""
     if only_kept:
         names, docs = docs.columns, numbered(docs)
         id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
     else:
         docs = docs.drop(*SCORES, "__kept")
-    found = weighed(docs, model, id_col, text_col)
-    kept = (F.col("__key") >= F.lit(least_key(found, model))) & not_toxic(model)
-    return found.where(kept).drop(*SCORES).toDF(*names) if only_kept else found.withColumn("__kept", kept)
+    numbers = saved(weighed(docs.select(id_col, text_col), model, id_col, text_col).drop(text_col))
+    kept = (F.col("__key") >= F.lit(least_key(numbers, model))) & not_toxic(model)
+    if only_kept:
+        return weighed(docs, model, id_col, text_col).where(kept).drop(*SCORES).toDF(*names)
+    return weighed(docs, model, id_col, text_col).withColumn("__kept", kept)
+
+
+def kept_numbers(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, SCORES, __kept) of each row of docs, by one pass."""
+    docs = docs.select(id_col, text_col)
+    numbers = saved(weighed(docs, model, id_col, text_col).drop(text_col))
+    return numbers.withColumn("__kept", (F.col("__key") >= F.lit(least_key(numbers, model))) & not_toxic(model))
 
 
 def not_toxic(model: Model) -> Column:
@@ -305,5 +319,5 @@ def gumbel_top_k(keyed: DataFrame, k: int, *, key_col: str = "__key", bins: int
 def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_ngrams, log_weight, key, toxic_score, kept of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = scored(docs, fit(docs, table(spark, sf_dir, "labels")))
+    out = kept_numbers(docs, fit(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", F.col("__n_ngrams").alias("n_ngrams"), F.col("__weight").alias("log_weight"), F.col("__key").alias("key"), F.col("__toxic").alias("toxic_score"), F.col("__kept").alias("kept"))

@@ -3,9 +3,11 @@
 
 1. Each text becomes its set of 64-bit shingle hashes, and the set a digest and ``BANDS`` band keys of ``ROWS`` MinHash values
    each. Equal sets are collapsed to one row first (partial aggregation).
-2. Rows (band key, id) are sorted over range partitions, so a crowded key is spread over tasks; neighbours under one key are
-   the first candidates. A pair at 0.8 shares a key with probability 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.9996.
-3. Candidates are checked exactly: only documents with a shared key have their sets computed again, and each pair meets both.
+2. Under each key shared by two documents or more, the smallest id leads (partial aggregation again, so a crowded key is one row a
+   task). Documents and their leaders are the first candidates; their connected components are clusters. A pair at 0.8 shares a key
+   with probability 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.9996.
+3. Candidates are checked exactly, only documents of clusters having their sets computed again: first each document with its
+   cluster's smallest id, one pair a document, which settles nearly all; then those still apart with all their leaders.
 4. Links join documents into groups. Under a key whose documents are all in one group nothing can be missing; under the
    others all pairs of different groups are checked as well (but those whose sizes alone rule 0.8 out).
 
@@ -23,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriframe.llm.common import held, numbered, saved, shuffle_partitions, slices
+from veriframe.llm.common import held, numbered, saved, slices
 from veriframe.llm.simhash import components
 
 SHINGLE, LEAST, BANDS, ROWS = 5, 0.8, 20, 5
@@ -78,8 +80,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return some.mapInArrow(run, "id bigint, digest binary, size int, bands array<bigint>")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, hashes: packed) of the documents with these ids."""
+def sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """(id, hashes: packed) of the documents with these ids. Few ids (16 MB at most) are sent to the texts, many meet them in a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held(None)
@@ -87,40 +89,16 @@ def sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> Data
             found = [shingles(t).tobytes() for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "hashes"])
 
-    some = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")
+    some = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    some = some.join(F.broadcast(ids) if ids.count() <= broadcast_rows else ids, "id", "left_semi")
     return some.mapInArrow(run, "id bigint, hashes binary").where(F.length("hashes") > 0)
 
 
-def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over sorted rows (key, id, size): (key, id, size, other) for rows under one key, with the next id or null. A partition's
-    first and last key may go on elsewhere: their rows are given out in any case."""
-    held, first = None, None
-    for batch in batches:
-        part = [batch.column(k).to_numpy() for k in range(3)]
-        if held is not None:
-            part = [np.concatenate([h, p]) for h, p in zip(held, part, strict=True)]
-        key, ids, sizes = part
-        if not len(key):
-            continue
-        first = key[0] if first is None else first
-        fresh = held is None
-        same = key[1:] == key[:-1]
-        out = np.append(same, False)
-        shared = out | np.concatenate([[False], same]) | (key == first)
-        if not fresh:
-            shared[0] |= held_shared
-        give = shared[:-1]
-        yield pa.RecordBatch.from_arrays([pa.array(key[:-1][give]), pa.array(ids[:-1][give]), pa.array(sizes[:-1][give]), pa.array(ids[1:][give], mask=~same[give])], names=["key", "id", "size", "other"])
-        held, held_shared = [p[-1:] for p in part], shared[-1]
-    if held is not None:
-        yield pa.RecordBatch.from_arrays([*(pa.array(h) for h in held), pa.array([None], pa.int64())], names=["key", "id", "size", "other"])
-
-
 def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) with similarity LEAST or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             near = [jaccard(x, y) >= LEAST for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
 
@@ -128,25 +106,34 @@ def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
+def in_groups(rows: DataFrame, id_col: str, groups: DataFrame, name: str) -> DataFrame:
+    """rows with the group of the id: the smallest id of its component."""
+    return rows.join(groups.select(F.col("node").alias(id_col), F.col("component").alias(name)), id_col, "left").withColumn(name, F.coalesce(name, id_col))
+
+
 def similar_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(a, b): links that connect the ids whose texts are similar, directly or through others."""
-    n = shuffle_partitions(docs.sparkSession)
     found = saved(sketches(docs, id_col, text_col))
     reps = saved(found.groupBy("digest", "size", "bands").agg(F.min("id").alias("rep")))
     equal = found.select("id", "digest").join(reps.select("digest", "rep"), "digest").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     keyed = reps.select(F.explode("bands").alias("key"), F.col("rep").alias("id"), "size")
-    near = saved(keyed.repartitionByRange(n, "key", "id").sortWithinPartitions("key", "id").mapInArrow(neighbours, "key bigint, id bigint, size int, other bigint"))
-    sets = saved(sets_of(docs, near.select("id").distinct(), id_col, text_col))
-    links = saved(equal.union(checked(near.where("other is not null and id <> other").select(F.col("id").alias("a"), F.col("other").alias("b")).distinct(), sets)))
+    leaders = keyed.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
+    near = saved(keyed.join(leaders, "key"))
+    stars = saved(near.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
+    clusters = saved(components(stars))
+    sets = saved(sets_of(docs, clusters.select(F.col("node").alias("id")).union(clusters.select("component")).distinct(), id_col, text_col))
+    links = saved(checked(clusters.select(F.col("node").alias("a"), F.col("component").alias("b")), sets))
+    apart = in_groups(in_groups(stars, "a", links.toDF("node", "component"), "group"), "b", links.toDF("node", "component"), "group_2")
+    links = saved(links.union(checked(apart.where("group <> group_2").select("a", "b"), sets)))
     groups = saved(components(links))
-    placed = near.select("key", "id", "size").join(groups, F.col("id") == F.col("node"), "left").select("key", "id", "size", F.coalesce("component", "id").alias("group"))
+    placed = in_groups(near.select("key", "id", "size"), "id", groups, "group")
     open_keys = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
     left = saved(placed.join(open_keys, "key", "left_semi"))
     right = left.select("key", *(F.col(c).alias(f"{c}_2") for c in ("id", "size", "group")))
     sizes = F.least("size", "size_2") >= F.lit(LEAST) * F.greatest("size", "size_2")
     pairs = left.join(right, "key").where((F.col("group") < F.col("group_2")) & sizes)
     more = checked(pairs.select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct(), sets)
-    return saved(links.union(more))
+    return equal.union(links).union(more)
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
