@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriframe.plans import filename_queries, geometry_queries, metadata_queries, pixel_queries, report_queries, sequence_queries, service_queries
+from veriframe.plans import filename_queries, geometry_queries, metadata_queries, modality_queries, pixel_queries, report_queries, sequence_queries, service_queries
 
-MODULES = [report_queries, filename_queries, metadata_queries, sequence_queries, geometry_queries, service_queries, pixel_queries]
+MODULES = [report_queries, filename_queries, metadata_queries, sequence_queries, geometry_queries, service_queries, pixel_queries, modality_queries]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report_queries.expanded(spark, sf_dir)
+    return modality_queries.summary(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
