@@ -35,8 +35,9 @@ def depth(path: Column) -> Column:
 
 
 def data_key(name: Column) -> Column:
-    """The first required pattern that the name fits (case counts), or null."""
-    return F.coalesce(*(F.when(name.rlike(rf"\A[0-9]+{p}\z"), k) for k, p in REQUIRED.items()))
+    """The required pattern that the name fits (case counts), or null: what follows the digits is looked up."""
+    suffixes = F.create_map(*(F.lit(x) for k, p in REQUIRED.items() for x in (p.replace("\\", ""), k)))
+    return F.try_element_at(suffixes, F.regexp_extract(name, r"\A[0-9]+(_[^\r\n]+)\z", 1))
 
 
 def leading_id(name: Column) -> Column:

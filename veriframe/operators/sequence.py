@@ -2,15 +2,16 @@
 
 Runs of equal labels are found by gaps and islands (one window per file) and everything after works on runs, of which a
 file has few. Only the bridging of short flickers, where each change can enable the next, is a fold; it runs
-over the runs of one file at a time.
+over the runs of one file at a time, in Arrow batches of sorted partitions.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -115,15 +116,39 @@ def bridge(labels: list[str], sizes: list[int], most: int) -> list[str]:
 
 
 def bridged(runs: DataFrame, most: int) -> DataFrame:
-    def one_file(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("first")
-        joined = part["label"].ne(part["label"].shift()).cumsum()
-        groups = part.groupby(joined, sort=False).agg({"label": "first", "n": "sum"})
-        labels = bridge(groups["label"].tolist(), groups["n"].tolist(), most)
-        return part.assign(label=[labels[k - 1] for k in joined])
-
+    """runs with bridged labels: one pass over partitions in the order of files and runs, which holds the runs of one file at a time."""
     runs = runs.select("filename", "first", "last", "n", "label")
-    return runs.groupBy("filename").applyInPandas(one_file, runs.schema)
+    schema = runs.schema
+
+    def of_file(rows: list[tuple]) -> list[tuple]:
+        groups: list[list] = []
+        place = []
+        for *_, n, label in rows:
+            if groups and groups[-1][0] == label:
+                groups[-1][1] += n
+            else:
+                groups.append([label, n])
+            place.append(len(groups) - 1)
+        labels = bridge([g[0] for g in groups], [g[1] for g in groups], most)
+        return [(*r[:4], labels[k]) for r, k in zip(rows, place, strict=True)]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds: list[pa.DataType] = []
+        rows: list[tuple] = []
+        as_batch = lambda done: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)], names=schema.names)
+        for batch in batches:
+            kinds, done = [c.type for c in batch.columns], []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rows and rows[-1][0] != row[0]:
+                    done += of_file(rows)
+                    rows = []
+                rows.append(row)
+            if done:
+                yield as_batch(done)
+        if rows:
+            yield as_batch(of_file(rows))
+
+    return runs.repartition("filename").sortWithinPartitions("filename", "first").mapInArrow(fold, schema)
 
 
 def segments(timeline: DataFrame, p: Protocol = Protocol(), *, bridging: bool = True) -> DataFrame:
