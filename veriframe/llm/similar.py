@@ -119,11 +119,18 @@ def similar_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     keyed = reps.select(F.explode("bands").alias("key"), F.col("rep").alias("id"), "size")
     leaders = keyed.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
     near = saved(keyed.join(leaders, "key"))
-    stars = saved(near.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
-    clusters = saved(components(stars))
+    # of each document its BANDS leaders at most; its least leader, joined with the others, connects the same as all of them
+    led = saved(near.where("id <> leader").groupBy("id").agg(F.collect_set("leader").alias("leaders")).withColumn("least", F.array_min("leaders")))
+    others = led.select(F.explode("leaders").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
+    clusters = saved(components(led.select(F.col("id").alias("a"), F.col("least").alias("b")).union(others)))
     sets = saved(sets_of(docs, clusters.select(F.col("node").alias("id")).union(clusters.select("component")).distinct(), id_col, text_col))
     links = saved(checked(clusters.select(F.col("node").alias("a"), F.col("component").alias("b")), sets))
-    apart = in_groups(in_groups(stars, "a", links.toDF("node", "component"), "group"), "b", links.toDF("node", "component"), "group_2")
+    # documents unlike their cluster's smallest: with their leaders, and with those whose leaders they are
+    unlike = saved(clusters.join(links.select(F.col("a").alias("node")), "node", "left_anti").select("node"))
+    asking = led.join(unlike, F.col("id") == F.col("node"), "left_semi").select(F.col("id").alias("a"), F.explode("leaders").alias("b"))
+    asked = near.where("id <> leader").join(unlike, F.col("leader") == F.col("node"), "left_semi").select(F.col("id").alias("a"), F.col("leader").alias("b"))
+    linked = links.toDF("node", "component")
+    apart = in_groups(in_groups(asking.union(asked).distinct(), "a", linked, "group"), "b", linked, "group_2")
     links = saved(links.union(checked(apart.where("group <> group_2").select("a", "b"), sets)))
     groups = saved(components(links))
     placed = in_groups(near.select("key", "id", "size"), "id", groups, "group")
