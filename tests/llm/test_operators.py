@@ -297,3 +297,72 @@ def test_secrets(spark, docs):
     assert rows.count() == 12
     assert got[5][1] == f"weak_id:0:14,weak_secret:19:{19 + len(word)}" and got[6][1] == "" and got[9][1] == ""
     assert got[8][1].startswith("weak_secret:") and secrets.scan(empty(df)).count() == 0
+
+
+def test_lm_trigrams(spark, docs):
+    """Scores of order 3 against a walk of the automaton, arc by arc."""
+    train = F.coalesce(F.col("doc_id") % 3 != 1, F.lit(False))
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    taught = [tokens(t) for i, t in rows if i is not None and i % 3 != 1]
+    c = Counter(w for t in taught for w in t)
+    pairs = Counter(p for t in taught for p in zip(["<s>", *t], t, strict=False))
+    triples = Counter(x for t in taught for x in zip(["<s>", *t], t, t[1:], strict=False))
+    n, v, b2, b3, d = sum(c.values()), len(c), 500.0, 30.0, 0.75
+
+    def walk(words):
+        total, state = 0.0, ("<s>",)
+        for w in words:
+            failed = 0.0
+            while True:
+                if len(state) == 2 and triples[(*state, w)]:
+                    p = (triples[(*state, w)] + b3 * arc(state[1:], w)) / (pairs[state] + b3)
+                    break
+                if len(state) == 1 and pairs[(*state, w)]:
+                    p = arc(state, w)
+                    break
+                if not state:
+                    p = arc(state, w)
+                    break
+                seen = pairs[state] if len(state) == 2 else c[None if state == ("<s>",) else state[0]]
+                b = b3 if len(state) == 2 else b2
+                failed += math.log10(b / (seen + b))
+                state = state[1:]
+            total += failed + math.log10(p)
+            state = (last[0], w) if (last := (words_before[-1:] or ["<s>"])) else (w,)
+            words_before.append(w)
+        return total
+
+    def arc(state, w):
+        root = (max(c[w] - d, 0) + d * v / (v + 1)) / n
+        return (pairs[(*state, w)] + b2 * root) / (c[None if state == ("<s>",) else state[0]] + b2) if state else root
+
+    want = []
+    for i, t in rows:
+        words_before = []
+        want.append((str(i), round(walk(tokens(t)), 6)))
+    for blocks in (1, 3):
+        assert sorted((str(r.doc_id), round(r.score, 6)) for r in lm.score(docs, train, order=3, blocks=blocks).collect()) == sorted(want)
+
+
+def test_lm_packing():
+    rng = np.random.default_rng(4)
+    for n, top in ((0, 10), (1, 1 << 60), (1000, 1 << 48), (5000, 300), (7, 1 << 64)):
+        keys = np.unique(rng.integers(0, top, n, dtype=np.uint64, endpoint=False) if top < 1 << 64 else rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        assert (lm.unpack_sorted(lm.pack_sorted(keys)) == keys).all()
+        counts = rng.integers(0, 600, n)
+        assert (lm.unpack_counts(lm.pack_counts(counts), n) == counts).all()
+
+
+def test_forest_paths():
+    """Scores are the mean path lengths, walked tree by tree."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(200, 3))
+    forest = quality_rules.grow(x, 20, 64, 7)
+    for row, score in zip(x[:30], forest.score(x[:30]), strict=True):
+        total = 0.0
+        for t in range(20):
+            at = 0
+            while forest.feature[t, at] >= 0:
+                at = forest.child[t, at] + int(row[forest.feature[t, at]] >= forest.split[t, at])
+            total += forest.path[t, at]
+        assert abs(score - 2 ** (-total / 20 / quality_rules.mean_path(64))) < 1e-12

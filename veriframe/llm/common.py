@@ -75,6 +75,15 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def trim() -> None:
+    """Gives freed memory back to the system, which the C library would keep for the worker."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 _held: dict = {}
 
 
@@ -85,11 +94,7 @@ def held(key: tuple | None, make: Callable | None = None):
         if _held:
             _held.clear()
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library
-                pass
+            trim()
         if key is None:
             return None
         _held[key] = make()

@@ -17,8 +17,8 @@ step over it adds, and a text's steps are gathered and added up all at once (a t
 The automaton grows with the corpus and is never in one place. Documents are dealt into blocks by a hash of the
 row (and of the partition that it is read in, so that repeated rows spread out); each block sends the distinct words and n-grams of its
 texts, with their training counts, to shards by hash, one packed row per (block, shard). A shard adds up counts over all
-blocks (words by their exact bytes, n-grams by a hash of 48 bits besides the shard's: of M n-grams of a shard about M / 2**48 of
-each meet another) and answers each block with the totals for just what it asked. So a frequent word is one entry per block,
+blocks (words by their exact bytes, n-grams by a hash of ``KEY_BITS`` bits besides the shard's: of a shard's few million about three in
+a million meet another) and answers each block with the totals for just what it asked. So a frequent word is one entry per block,
 whatever its share of the text, and each block holds the part of the automaton that its texts can reach. N and V arrive with the
 answers. The text is shuffled once. Blocks hold ``BLOCK_BYTES`` of text on average, and at least as many are made as there are shuffle
 partitions, so no task's table grows with the corpus; hashes travel as differences and counts in a byte each, most often.
@@ -37,12 +37,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriframe.llm.common import field_type, held, shuffle_partitions, table
+from veriframe.llm.common import field_type, held, shuffle_partitions, table, trim
 
 #: Local numbers of the start state and the end token in a block; the end token's name can't be a word.
 START, END = 0, 1
 END_NAME = b" "
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 12_000_000
+#: Bits of an n-gram's hash besides its shard's.
+KEY_BITS = 40
 ASKED = "shard int, block int, n_words bigint, words binary, word_counts binary, n_grams bigint, grams binary, gram_counts binary"
 TOLD = "block int, shard int, n_words bigint, word_counts binary, n_grams bigint, gram_counts binary, n bigint, v bigint"
 
@@ -91,6 +93,17 @@ def unpack_sorted(packed: bytes) -> np.ndarray:
     return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
 
 
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct values, a place of each, and the number of each element's value."""
+    order = np.argsort(x, kind="stable")
+    x = x[order]
+    fresh = np.ones(len(x), bool)
+    fresh[1:] = x[1:] != x[:-1]
+    number = np.empty(len(x), np.uint32)
+    number[order] = np.cumsum(fresh, dtype=np.uint32) - np.uint32(1)
+    return x[fresh], order[fresh], number
+
+
 class Block:
     """The words and n-grams of a block's texts. Shard s has the n-grams whose hashes are in the s-th of equal ranges."""
 
@@ -112,7 +125,7 @@ class Block:
         before = np.empty_like(self.tokens)
         before[1:] = self.tokens[:-1]
         before[self.starts] = START
-        self.codes, self.place = np.unique(before.astype(np.uint64) << np.uint64(32) | self.tokens, return_inverse=True)
+        self.codes, _, self.place = distinct(before.astype(np.uint64) << np.uint64(32) | self.tokens)
         self.words = list(numbers)
         named = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.words), np.uint64, len(self.words))
         self.left, self.right = (self.codes >> np.uint64(32)).astype(np.int64), (self.codes & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -122,7 +135,7 @@ class Block:
             self.inside = np.ones(len(self.tokens), bool)
             self.inside[self.starts] = False
             at = np.flatnonzero(self.inside)
-            codes, first, self.place3 = np.unique(self.place[at - 1].astype(np.uint64) << np.uint64(32) | self.tokens[at], return_index=True, return_inverse=True)
+            codes, first, self.place3 = distinct(self.place[at - 1].astype(np.uint64) << np.uint64(32) | self.tokens[at])
             self.context = (codes >> np.uint64(32)).astype(np.int64)  # bigram of the state
             self.shorter = self.place[at[first]]  # bigram that the failure arc leads to
             hashes = np.concatenate([hashes, mix(hashes[self.context] ^ np.uint64(0xA0761D6478BD642F), named[(codes & np.uint64(0xFFFFFFFF)).astype(np.int64)])])
@@ -135,16 +148,17 @@ class Block:
         self.grams = hashes[self.gram_order]
         self.lows = [-((-s << 64) // shards) for s in range(shards)]
         self.gram_cuts = np.append(np.searchsorted(self.grams, np.array(self.lows, np.uint64)), len(hashes))
-        self.shift = np.uint64(max(0, 16 - (shards - 1).bit_length()))
+        self.shift = np.uint64(max(0, 64 - KEY_BITS - (shards - 1).bit_length()))
 
     def keys(self, s: int) -> np.ndarray:
-        """The n-grams of a shard: where their hashes are in its range, in 48 bits."""
+        """The n-grams of a shard: where their hashes are in its range, in KEY_BITS bits."""
         return (self.grams[slice(*self.gram_cuts[s : s + 2])] - np.uint64(self.lows[s])) >> self.shift
 
 
 def ask(group: pa.Table, shards: int, order: int = 2) -> pa.Table:
     """A block's words and n-grams with their training counts, a row for each shard, even without any, since N and V come with all answers."""
     held(None)
+    trim()
     block = Block(group.column("__text"), shards, order)
     train = np.repeat(np.asarray(group.column("__train").combine_chunks().to_numpy(zero_copy_only=False), bool), block.sizes)
     word_counts = np.bincount(block.tokens[train], minlength=len(block.words))[block.word_order]
@@ -171,13 +185,14 @@ def table_of(rows: list[tuple], schema: str) -> pa.Table:
 def answer(group: pa.Table) -> pa.Table:
     """A shard's totals, for each block in the order in which it asked."""
     held(None)
+    trim()
     rows = group.to_pylist()
     totals: dict[bytes, int] = {}
     asked = [r["words"].split(b"\n") if r["n_words"] else [] for r in rows]
     for words, r in zip(asked, rows, strict=True):
         for w, n in zip(words, unpack_counts(r["word_counts"], r["n_words"]).tolist(), strict=True):
             totals[w] = totals.get(w, 0) + n
-    _, place = np.unique(np.concatenate([unpack_sorted(r["grams"]) for r in rows]), return_inverse=True)
+    _, _, place = distinct(np.concatenate([unpack_sorted(r["grams"]) for r in rows]))
     counts = np.concatenate([unpack_counts(r["gram_counts"], r["n_grams"]) for r in rows])
     sums = np.bincount(place, weights=counts).astype(np.int64) if len(place) else np.zeros(0, np.int64)
     n, v, at, out = sum(totals.values()), sum(1 for x in totals.values() if x), 0, []
@@ -222,6 +237,7 @@ class Automaton:
 
 def traverse(docs: pa.Table, told: pa.Table, shards: int, strength: float, discount: float, names: list[str], order: int = 2, strength3: float = 0.0) -> pa.Table:
     held(None)
+    trim()
     block = Block(docs.column("__text"), shards, order)
     a = Automaton(block, told, shards, strength, discount, strength3)
     total = lambda x: np.add.reduceat(x, block.starts) if len(block.starts) else x
