@@ -135,10 +135,12 @@ def similar_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     groups = saved(components(links))
     placed = in_groups(near.select("key", "id", "size"), "id", groups, "group")
     open_keys = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
-    left = saved(placed.join(open_keys, "key", "left_semi"))
-    right = left.select("key", *(F.col(c).alias(f"{c}_2") for c in ("id", "size", "group")))
+    bands = reps.select(F.col("rep").alias("id"), "bands")
+    left = saved(placed.join(open_keys, "key", "left_semi").join(bands, "id"))
+    right = left.select("key", *(F.col(c).alias(f"{c}_2") for c in ("id", "size", "group", "bands")))
     sizes = F.least("size", "size_2") >= F.lit(LEAST) * F.greatest("size", "size_2")
-    pairs = left.join(right, "key").where((F.col("group") < F.col("group_2")) & sizes)
+    once = F.get(F.array_intersect("bands", "bands_2"), F.lit(0)) == F.col("key")  # of a pair's common keys, which are all open, the first
+    pairs = left.join(right, "key").where((F.col("group") < F.col("group_2")) & sizes & once)
     more = checked(pairs.select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct(), sets)
     return equal.union(links).union(more)
 
