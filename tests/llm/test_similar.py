@@ -47,3 +47,28 @@ def test_crowded_key_over_partitions(spark):
     rows = [(i, words_changed(base, 300, f"y{i}_")) for i in range(120)] + [(500 + i, f"other text number {i} with words of its own a{i} b{i} c{i}") for i in range(50)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     assert sorted(r.doc_id for r in similar.keep_one(docs).collect()) == [0, *range(500, 550)]
+
+
+def test_links_beside_the_leader(spark, monkeypatch):
+    """A crowd of copies too different to be linked, and some near copies of these, over many blocks."""
+    monkeypatch.setattr(similar, "BLOCK", 1500)
+    rnd = random.Random(8)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(90):
+        own = [f"z{k}_{i}" if rnd.random() < 0.05 else w for i, w in enumerate(base)]
+        rows.append((10 * k, " ".join(own)))
+        if k % 3 == 1:
+            rows += [(10 * k + j, words_changed(own, every, f"v{k}_{j}_")) for j, every in ((1, 80), (2, 60))]
+    sets = [(i, set(similar.shingles(t.encode()).tolist())) for i, t in rows]
+    want = {(a, b) for k, (b, y) in enumerate(sets) for a, x in sets[:k] if 5 * len(x & y) >= 4 * len(x | y)}
+    led = spark.createDataFrame([(i, 0, i) for i, _ in rows[1:]], "id long, leader long, group long")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    packed = similar.sets_of(docs, docs.select(docs.doc_id.alias("id")), "doc_id", "text")
+    got = {tuple(sorted((r.a, r.b))) for r in similar.block_links(similar.differences(led, packed)).collect()}
+    group = {i: i for i, _ in rows}
+    for a, b in sorted(want):
+        low, high = sorted((group[a], group[b]))
+        group = {k: low if g == high else g for k, g in group.items()}
+    assert len(want) > 30 and all(group[a] == group[b] for a, b in got)
+    assert {r.doc_id for r in similar.keep_one(docs).collect()} == {i for i, g in group.items() if i == g}

@@ -8,8 +8,12 @@
    with probability 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.9996.
 3. Candidates are checked exactly, only documents of clusters having their sets computed again: first each document with its
    cluster's smallest id, one pair a document, which settles nearly all; then those still apart with all their leaders.
-4. Links join documents into groups. Under a key whose documents are all in one group nothing can be missing; under the
-   others all pairs of different groups are checked as well (but those whose sizes alone rule 0.8 out).
+4. Links join documents into groups. Under a key whose documents are all in one group nothing can be missing. Under the others each
+   set is reduced to its differences from the leader's: with m and u the numbers of shingles that only the leader or only the
+   document has, w = 5m + 4u and L the leader's number of shingles, two documents are similar just if they share
+   (w + w' - L) / 9 differences or more. A leader's documents are packed into blocks of bounded size, blocks meet in pairs, and the
+   shared differences are counted by matrix products, so no pair of documents is a row. (Within one leader's documents of several
+   groups the blocks' pairs still grow with the square of their number.)
 
 Defined cases: texts without words and rows with null ids take no part; fewer words than a shingle make one shingle; rows
 that share an id are one document.
@@ -26,9 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriframe.llm.common import held, numbered, saved, slices
-from veriframe.llm.simhash import components
+from veriframe.llm.simhash import components, spanning
 
 SHINGLE, LEAST, BANDS, ROWS = 5, 0.8, 20, 5
+#: Differences in a block, of which each document counts OWN more; columns of a matrix product.
+BLOCK, OWN, COLUMNS = 65536, 64, 2048
 FACTORS = np.random.default_rng(20).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -106,6 +112,65 @@ def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
+def differences(led: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of (id, leader, group): what only one of the two has, what is asked for (w - L / 2, see above) and what it adds to a block."""
+    schema = "id bigint, leader bigint, group bigint, marks binary, asks double, load bigint"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            marks, asks = [], []
+            for one, led_by in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                x, y = np.frombuffer(one, np.uint64), np.frombuffer(led_by, np.uint64)
+                new, lost = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
+                marks.append(np.concatenate([new, lost]).tobytes())
+                asks.append(5 * len(lost) + 4 * len(new) - len(y) / 2)
+            columns = [*batch.columns[:3], pa.array(marks, pa.binary()), pa.array(asks, pa.float64()), pa.array([len(m) // 8 + OWN for m in marks], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "leader", "group", "marks", "asks", "load"])
+
+    one, two = sets.select("id", F.col("hashes").alias("x")), sets.select(F.col("id").alias("leader"), F.col("hashes").alias("y"))
+    return led.join(one, "id").join(two, "leader").select("id", "leader", "group", "x", "y").mapInArrow(run, schema)
+
+
+def linked_rows(one: list[dict], two: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """The similar pairs between two blocks of different groups."""
+    rows = one + two
+    marks = [np.frombuffer(r["marks"], np.uint64) for r in rows]
+    found, column, times = np.unique(np.concatenate(marks), return_inverse=True, return_counts=True)
+    place = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[column]  # differences of one document alone are left out
+    row = np.repeat(np.arange(len(rows)), [len(m) for m in marks])[place >= 0]
+    place = place[place >= 0]
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    shared = np.zeros((len(one), len(two)), np.float32)
+    for at in range(0, int((times > 1).sum()), COLUMNS):
+        a, b = np.searchsorted(place, [at, at + COLUMNS])
+        has = np.zeros((len(rows), COLUMNS), np.float32)
+        has[row[a:b], place[a:b] - at] = 1
+        shared += has[: len(one)] @ has[len(one) :].T
+    asks, group, ids = (np.array([r[k] for r in rows]) for k in ("asks", "group", "id"))
+    n = len(one)
+    i, j = np.nonzero((9 * shared >= asks[:n, None] + asks[None, n:]) & (group[:n, None] != group[None, n:]))
+    return ids[:n][i], ids[n:][j]
+
+
+def block_links(apart: DataFrame) -> DataFrame:
+    """(a, b): links between similar documents of one leader and different groups."""
+    parts = apart.groupBy("leader").agg(F.ceil(F.sum("load") / BLOCK).alias("parts"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
+    dealt = apart.join(parts.select("leader", "parts"), "leader").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    blocks = saved(dealt.groupBy("leader", "part").agg(F.first("parts").alias("parts"), F.collect_list(F.struct("id", "group", "marks", "asks")).alias("one")))
+    meets = blocks.select("leader", F.col("part").alias("first"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("part"))
+    two = meets.join(blocks.select("leader", "part", F.col("one").alias("two")), ["leader", "part"])
+    pairs = two.join(blocks.select("leader", F.col("part").alias("first"), "one"), ["leader", "first"]).select("one", "two")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                a, b = spanning(*linked_rows(batch.column(0)[k].as_py(), batch.column(1)[k].as_py()))
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return pairs.mapInArrow(run, "a bigint, b bigint")
+
+
 def in_groups(rows: DataFrame, id_col: str, groups: DataFrame, name: str) -> DataFrame:
     """rows with the group of the id: the smallest id of its component."""
     return rows.join(groups.select(F.col("node").alias(id_col), F.col("component").alias(name)), id_col, "left").withColumn(name, F.coalesce(name, id_col))
@@ -133,15 +198,10 @@ def similar_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     apart = in_groups(in_groups(asking.union(asked).distinct(), "a", linked, "group"), "b", linked, "group_2")
     links = saved(links.union(checked(apart.where("group <> group_2").select("a", "b"), sets)))
     groups = saved(components(links))
-    placed = in_groups(near.select("key", "id", "size"), "id", groups, "group")
+    placed = in_groups(near, "id", groups, "group")
     open_keys = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
-    bands = reps.select(F.col("rep").alias("id"), "bands")
-    left = saved(placed.join(open_keys, "key", "left_semi").join(bands, "id"))
-    right = left.select("key", *(F.col(c).alias(f"{c}_2") for c in ("id", "size", "group", "bands")))
-    sizes = F.least("size", "size_2") >= F.lit(LEAST) * F.greatest("size", "size_2")
-    once = F.get(F.array_intersect("bands", "bands_2"), F.lit(0)) == F.col("key")  # of a pair's common keys, which are all open, the first
-    pairs = left.join(right, "key").where((F.col("group") < F.col("group_2")) & sizes & once)
-    more = checked(pairs.select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct(), sets)
+    judged = placed.join(open_keys, "key", "left_semi").where("id <> leader").select("id", "leader", "group").distinct()
+    more = saved(block_links(saved(differences(judged, sets))))
     return equal.union(links).union(more)
 
 
