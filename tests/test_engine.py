@@ -88,6 +88,12 @@ class Decoder:
             if i != 4:
                 yield i, 2, 4, bytes(24)
 
+    def read(self, path):
+        for i in range(12):
+            if i == 9 and path == "broken":
+                raise OSError("cut  off")
+            yield i, 2, 4, bytes(24)
+
 
 def decoder():
     return Decoder()
@@ -99,7 +105,23 @@ def test_video_backend(spark):
     grid = M.sample_grid(spark.createDataFrame([("a", 20, 10.0)], "filename string, frame_count int, fps double")).withColumnRenamed("filename", "path")
     assert [r.frame_index for r in media.sampled_frames(grid, Decoder).orderBy("frame_index").collect()] == [0, 2, 6, 8, 10, 12, 14, 16, 18, 19]
     spark.dataSource.register(media.FrameSource)
-    assert spark.read.format("frames").option("paths", "a\nb").option("backend", "tests.test_engine:decoder").load().count() == 18
+    assert spark.read.format("frames").option("paths", "a\nb").option("backend", "tests.test_engine:decoder").load().count() == 20  # as the grid: the last frame is read too
+
+
+def test_files_without_frame_count(spark):
+    files = spark.createDataFrame([("a", None, 10.0), ("b", 0, None), ("known", 20, 10.0), ("broken", None, 4.0)], "path string, frame_count int, fps double")
+    rows = media.sequential_frames(files, Decoder, sample_fps=5).collect()
+    frames = lambda path: [(r.frame_index, round(r.timestamp_sec, 3)) for r in rows if r.path == path and r.reason is None]
+    assert frames("a") == [(0, 0.0), (2, 0.2), (4, 0.4), (6, 0.6), (8, 0.8), (10, 1.0)]
+    assert frames("b") == [(0, 0.0), (6, 0.2)] and frames("known") == []
+    assert [i for i, _ in frames("broken")] == list(range(9)) and [(r.reason, r.data) for r in rows if r.reason] == [("OSError: cut off", None)]
+    assert len(media.sequential_frames(files, Decoder, sample_fps=None, max_frames=7).where("path = 'a'").collect()) == 7
+
+
+@pytest.mark.parametrize(("n", "fps", "rate", "most"), [(20, 10.0, 5, 10000), (1, 30.0, 5, 10000), (301, 29.97, 1, 10000), (1000, 25.0, None, 64), (50, 2.0, 5, 7), (90, 37.5, 15, 10000)])
+def test_one_file_has_the_grid_of_the_table(spark, n, fps, rate, most):
+    grid = M.sample_grid(spark.createDataFrame([("a", n, fps)], "filename string, frame_count int, fps double"), sample_fps=rate, max_frames=most)
+    assert sorted(r.frame_index for r in grid.collect()) == media.sample_indices(n, fps, rate, most)
 
 
 def test_tables_round_trip(spark, tmp_path):

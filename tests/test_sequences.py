@@ -29,6 +29,44 @@ def test_segment_verdicts(spark):
     assert out == {"good": "PASS", "via_gap": "REVIEW", "left_twice": "REVIEW", "splice": "REVIEW", "wrong_order": "REVIEW", "short_left": "REVIEW", "no_face": "FAIL"}
 
 
+def test_turn_reasons(spark):
+    out = {(r.filename, r.check_name.removeprefix("check_turn_")): (r.status, r.reason) for r in S.turn_verdicts(timeline(spark, **SCRIPTS, short_front="F2 L2 F1 R2"), CASE).collect()}
+    full = "front -> left -> front -> right -> front -> down -> front -> up -> front"
+    accepted = f"accepted: spec: {full}; audio_prompt: front -> left -> front -> right -> front -> up -> front -> down -> front; accepted sequence not found as one contiguous window"
+    using = f"accepted sequence found: 'spec' using contiguous_subsequence at observed window 0:9; matched: {full}; observed: {full}"
+    assert out["good", "sequence"] == ("PASS", using) and out["good", "left"] == ("PASS", "left detected; hold=2.0s >= 2.0s")
+    assert out["good", "front"] == ("PASS", "front holds ok in matched 'spec' window: initial=5.0s >= 5.0s; return#1=2.0s >= 2.0s; return#2=2.0s >= 2.0s; return#3=2.0s >= 2.0s; return#4=2.0s >= 2.0s")
+    assert out["short_left", "left"] == ("FAIL", "left turn not detected")  # one frame is bridged
+    patient = S.Protocol(pitch_floor=15, exact=False, short_policy="REVIEW", hold=2.5, fps=2)
+    rows = S.turn_verdicts(timeline(spark, x="F10 L3 F5"), patient).where("check_name = 'check_turn_left'")
+    assert rows.first().asDict() == {"filename": "x", "check_name": "check_turn_left", "status": "REVIEW", "reason": "left detected but hold too short: 1.5s < 2.5s"}
+    assert out["splice", "sequence"] == ("REVIEW", f"sequence order mismatch in contiguous_subsequence mode; observed: front; {accepted}")
+    assert out["splice", "front"] == ("REVIEW", "front hold check failed in observed sequence: expected 5 front holds, found 1")
+    assert out["short_front", "front"] == ("REVIEW", "front hold check failed in observed sequence: expected 5 front holds, found 2; initial front too short at segment 0:1: 2.0s < 5.0s; return#1 front too short at segment 4:4: 1.0s < 2.0s")
+    assert {out["no_face", k] for k in ("front", "down", "sequence")} == {("FAIL", "front hold cannot be validated; no front-facing frame found"), ("FAIL", "down turn cannot be validated; no front-facing frame found"), ("FAIL", "no front-facing frame anywhere; cannot validate turn sequence")}
+
+
+def test_unconfirmed_gap(spark):
+    frames = timeline(spark, x="F5 G3 F5 L2 F2 G2 F2 R2 F2 G4")
+    p = S.Protocol(exact=False, gap_policy="REVIEW", orders={"one": ("front", "left", "front", "right")})
+    row = lambda **o: S.turn_verdicts(frames, o.pop("p", p), **o).where("check_name = 'check_turn_sequence'").first()
+    found = "accepted sequence found: 'one' using contiguous_subsequence at observed window 0:4; matched: front -> left -> front -> right; "
+    assert row().reason == found + "but matched window 0:4 contains an unconfirmed gap" and row().status == "REVIEW"
+    assert row(confirm=lambda g: g["n"] < 4).reason == found + "observed: front -> left -> front -> right -> front"
+    assert row(confirm=lambda g: g["first"] == 5).status == "REVIEW"
+    exact = S.Protocol(gap_policy="REVIEW", orders={"one": ("front", "left", "front", "right", "front")})
+    assert row(p=exact).reason.endswith("but whole observed sequence contains an unconfirmed gap")
+    spaced = frames.withColumn("frame_index", frames.frame_index * 30)
+    assert S.turn_verdicts(spaced, p).exceptAll(S.turn_verdicts(frames, p)).count() == 0  # places count sampled frames
+    assert S.turn_verdicts(frames, S.Protocol(orders={})).where("check_name = 'check_turn_sequence'").first().reason == "no accepted_orders configured; cannot validate turn sequence"
+
+
+def test_spine_of_arrays(spark):
+    segs = S.segments(timeline(spark, **SCRIPTS), CASE)
+    items = S.spined(segs).selectExpr("filename", "inline(items)")
+    assert sorted(map(tuple, items.select("filename", "first", "last", "n", "label").collect())) == sorted(map(tuple, S.spine(segs).select("filename", "first", "last", "n", "label").collect()))
+
+
 def test_presence_verdicts(spark):
     out = {r.filename: r.status for r in S.presence_verdicts(timeline(spark, **SCRIPTS), CASE).where("check_name = 'check_turn_sequence'").collect()}
     assert out == {"good": "PASS", "via_gap": "REVIEW", "left_twice": "FAIL", "splice": "REVIEW", "wrong_order": "REVIEW", "short_left": "REVIEW", "no_face": "FAIL"}
@@ -83,6 +121,19 @@ def test_bridge():
         assert [x for x, (_, n) in zip(got, runs, strict=True) for _ in range(n)] == slow_bridge(labels, most)
 
 
+UP, DOWN = "approach (growing)", "recede (shrinking)"
+
+
+@pytest.mark.parametrize(("view", "values", "reason"), [
+    ("F", [*range(10), *range(10, 0, -1)], f"F: toward-then-away OK (detected: {UP} then {DOWN})"), ("F", [*range(10, 0, -1), *range(10)], f"F: toward-then-away FAIL; reversed order (got {DOWN} then {UP}); spec requires {UP} then {DOWN}"),
+    ("S", list(range(20)), "S: left-then-right FAIL; only one phase (move right (=>)); a there-and-back (move left (<=) then move right (=>)) was not completed"), ("F", [1] * 20, "F: toward-then-away FAIL; no sustained direction detected"),
+    ("S", list(range(7)), "S: only 7 usable frame(s) < 8; too short to verify left-then-right"), (None, [1] * 20, "unknown view 'None'; cannot judge walk direction"), ("B", [1] * 20, "unknown view 'B'; cannot judge walk direction"),
+])
+def test_walk_reasons(spark, view, values, reason):
+    df = spark.createDataFrame([("w", view, k, v / 10, v / 10) for k, v in enumerate(values)], "filename string, view string, frame_index int, body_scale double, centroid_x double")
+    assert S.walk_direction(df).first().reason == reason
+
+
 @pytest.mark.parametrize(("view", "values", "status"), [
     ("F", [*range(10), *range(10, 0, -1)], "PASS"), ("F", [*range(10, 0, -1), *range(10)], "FAIL"), ("F", [*range(10, 0, -1), *range(10), *range(10, 0, -1)], "PASS"),
     ("S", [*range(10, 0, -1), *range(10)], "PASS"), ("F", list(range(20)), "FAIL"), ("F", [1] * 20, "FAIL"), ("F", list(range(7)), "FAIL"), (None, [*range(10), *range(10, 0, -1)], "FAIL"),

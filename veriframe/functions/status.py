@@ -22,6 +22,11 @@ WALK_ORDER = {
 }
 
 
+def said(status: str | Column, *text: Column | str) -> Column:
+    """A verdict with its reason: struct<status, reason>."""
+    return F.struct((F.lit(status) if isinstance(status, str) else status).alias("status"), F.concat(*(F.lit(t) if isinstance(t, str) else t for t in text)).alias("reason"))
+
+
 def lookup(values: dict[str, int], key: Column, default: int | None = None) -> Column:
     found = F.try_element_at(F.create_map(*(F.lit(x) for kv in values.items() for x in kv)), key)
     return found if default is None else F.coalesce(found, F.lit(default))

@@ -121,13 +121,13 @@ def single_person(frames: DataFrame, multi: Column) -> DataFrame:
     return frames.where(multi).groupBy("filename").agg(F.min("frame_index").alias("frame_index")).select("filename", F.lit("check_single_person").alias("check_name"), F.lit(FAIL).alias("status"), "frame_index")
 
 
-def sample_grid(media: DataFrame, *, sample_fps: float = 5, first: bool = True, last: bool = True, max_frames: int = 10000) -> DataFrame:
-    """(filename, frame_index, timestamp_sec): every step-th frame, with the first and last, thinned evenly to the cap.
+def sample_grid(media: DataFrame, *, sample_fps: float | None = 5, first: bool = True, last: bool = True, max_frames: int = 10000) -> DataFrame:
+    """(filename, frame_index, timestamp_sec): every step-th frame (without a rate every frame), with the first and last, thinned evenly to the cap.
 
-    The grid of a file is one array expression; files without a frame count or rate have none (they are read in sequence).
+    The grid of a file is one array expression; files without a frame count or rate have none (`sources.media.sequential_frames` reads them).
     """
     n, fps = F.col("frame_count"), F.col("fps")
-    step = F.greatest(F.lit(1), F.bround(fps / sample_fps).cast("int"))
+    step = F.greatest(F.lit(1), F.bround(fps / sample_fps).cast("int")) if sample_fps and sample_fps > 0 else F.lit(1)
     ends = [F.lit(0)] * first + [n - 1] * last
     grid = F.sequence(F.lit(0), n - 1, step)
     grid = F.array_sort(F.array_distinct(F.concat(grid, F.array(*ends)) if ends else grid))

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veriframe.functions.status import FAIL, PASS, SKIP
+from veriframe.functions.status import FAIL, PASS, SKIP, said
 from veriframe.operators import geometry as G
 from veriframe.operators import metadata as M
 from veriframe.operators import sequence as S
@@ -27,10 +27,6 @@ AFTER = 1 << 40
 # Verdicts with reasons: struct<status, reason>
 
 
-def said(status: str | Column, *text: Column | str) -> Column:
-    return F.struct((F.lit(status) if isinstance(status, str) else status).alias("status"), F.concat(*(F.lit(t) if isinstance(t, str) else t for t in text)).alias("reason"))
-
-
 def judged(ok: Column, good: list[Column | str], bad: list[Column | str]) -> Column:
     return F.when(F.coalesce(ok, F.lit(False)), said(PASS, *good)).otherwise(said(FAIL, *bad))
 
@@ -211,7 +207,7 @@ def face_rows(media: DataFrame, frames: DataFrame, p: S.Protocol = S.Protocol(),
     # gaps and turns need the whole timeline: files with more than one face have been cut off
     whole = seen.join(seen.where(multiple).select("filename").distinct(), "filename", "left_anti")
     verdicts = S.turn_verdicts(whole, p).join(gates.select(*FILE), "filename")
-    turn_rows = verdicts.select(*FILE, F.lit("sequence").alias("level"), "check_name", "status", F.lit("").alias("reason"), F.lit(None).cast("int").alias("frame_index"), (F.lit(AFTER + 1) + F.crc32(F.col("check_name").cast("binary"))).alias("row_seq"))
+    turn_rows = verdicts.select(*FILE, F.lit("sequence").alias("level"), "check_name", "status", "reason", F.lit(None).cast("int").alias("frame_index"), (F.lit(AFTER + 1) + F.crc32(F.col("check_name").cast("binary"))).alias("row_seq"))
     no_face = (F.col("check_name") == "check_face_detected") & (F.col("status") == SKIP)
     return together(*parts, rows.where(~no_face), S.restatus_detections(rows.where(no_face), S.gap_frames(whole, p), p), turn_rows)
 
@@ -257,5 +253,5 @@ def walk_rows(media: DataFrame, frames: DataFrame, *, limits: M.Limits = M.WALK,
     rows = rows.withColumn("level", F.when(video, "video").otherwise(F.col("level")))
     whole = seen.join(seen.where(many).select("filename").distinct(), "filename", "left_anti")
     ways = S.walk_direction(whole).join(gates.select(*FILE), "filename")
-    ways = ways.select(*FILE, F.lit("sequence").alias("level"), F.lit("check_walk_direction").alias("check_name"), "status", F.lit("").alias("reason"), F.lit(None).cast("int").alias("frame_index"), F.lit(AFTER + 1).alias("row_seq"))
+    ways = ways.select(*FILE, F.lit("sequence").alias("level"), F.lit("check_walk_direction").alias("check_name"), "status", "reason", F.lit(None).cast("int").alias("frame_index"), F.lit(AFTER + 1).alias("row_seq"))
     return together(metadata, stopped_rows(gates), sampled_rows(gates, seen), rows, ways)

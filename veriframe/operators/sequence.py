@@ -8,7 +8,7 @@ over the runs of one file at a time, in Arrow batches of sorted partitions.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from veriframe.functions.status import FAIL, PASS, REVIEW, SKIP
+from veriframe.functions.status import FAIL, PASS, REVIEW, SKIP, said
 
 FRONT, LEFT, RIGHT, DOWN, UP, GAP, MID = "front", "left", "right", "down", "up", "gap", "mid"
 TURNS = (LEFT, RIGHT, DOWN, UP)
@@ -185,10 +185,8 @@ def collapsed(order: tuple[str, ...]) -> list[str]:
     return [x for k, x in enumerate(order) if k == 0 or order[k - 1] != x]
 
 
-def order_match(spines: DataFrame, p: Protocol = Protocol()) -> DataFrame:
-    """Per file: the spine's items and labels, and the first accepted order that fits, with the place where it begins."""
-    files = spines.groupBy("filename").agg(F.sort_array(F.collect_list(F.struct("first", "last", "n", "label"))).alias("items"))
-    files = files.withColumn("labels", F.transform("items", lambda x: x["label"]))
+def fitted(files: DataFrame, p: Protocol) -> DataFrame:
+    """files, which have ``labels``, with the first accepted order that fits, the place where it begins and its size."""
     name, at, size = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(None).cast("int")
     for key, order in reversed(p.orders.items()):
         want = collapsed(order)
@@ -197,34 +195,93 @@ def order_match(spines: DataFrame, p: Protocol = Protocol()) -> DataFrame:
             place = F.when(F.col("labels") == wanted, F.lit(0))
         else:
             starts = F.when(F.size("labels") >= n, F.sequence(F.lit(0), F.size("labels") - n))
-            place = F.get(F.filter(starts, lambda i: F.slice("labels", i + 1, n) == wanted), F.lit(0))
+            place = F.get(F.filter(starts, lambda i: F.slice("labels", i + 1, n) == wanted), F.lit(0))  # noqa: B023
         name, at, size = F.when(place.isNotNull(), key).otherwise(name), F.when(place.isNotNull(), place).otherwise(at), F.when(place.isNotNull(), n).otherwise(size)
-    return files.select("filename", "items", "labels", name.alias("order"), at.alias("start"), size.alias("size"))
+    return files.withColumns({"order": name, "start": at, "size": size})
 
 
-def turn_verdicts(timeline: DataFrame, p: Protocol = Protocol(), *, bridging: bool = True) -> DataFrame:
-    """(filename, check_name, status): the front, four direction and sequence verdicts of each file."""
-    segs = segments(timeline, p, bridging=bridging)
-    is_turn = lambda d: F.col("label") == d
-    facts = segs.groupBy("filename").agg(
-        *(F.max(F.when(is_turn(d), F.col("n"))).alias(d) for d in TURNS),
-        F.collect_list(F.when(F.col("label") == GAP, F.struct("first", "last"))).alias("gaps"),
-    )
+def order_match(spines: DataFrame, p: Protocol = Protocol()) -> DataFrame:
+    """Per file: the spine's items and labels, and the first accepted order that fits, with the place where it begins."""
+    files = spines.groupBy("filename").agg(F.sort_array(F.collect_list(F.struct("first", "last", "n", "label"))).alias("items"))
+    return fitted(files.withColumn("labels", F.transform("items", lambda x: x["label"])), p)
+
+
+def spined(segs: DataFrame) -> DataFrame:
+    """(filename, segs, items, labels): a row per file with its segments and its spine (as `spine`) as arrays, from one aggregation."""
+    files = segs.groupBy("filename").agg(F.array_sort(F.collect_list(F.struct("first", "last", "n", "label"))).alias("segs"))
+    files = files.withColumn("held", F.filter("segs", lambda x: x["label"].isin(FRONT, *TURNS)))
+    at = lambda i: F.get("held", i)
+    fresh = F.filter(F.sequence(F.lit(0), F.size("held") - 1), lambda i: (i == 0) | (at(i)["label"] != at(i - 1)["label"]))
+    files = files.withColumn("starts", F.when(F.size("held") > 0, fresh).otherwise(F.array().cast("array<int>")))
+
+    def joined(i: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("starts", k + 1), F.size("held"))
+        total = F.aggregate(F.slice("held", i + 1, end - i), F.lit(0).cast("long"), lambda a, x: a + x["n"])
+        return F.struct(at(i)["first"].alias("first"), at(end - 1)["last"].alias("last"), total.alias("n"), at(i)["label"].alias("label"))
+
+    files = files.withColumn("items", F.transform("starts", joined))
+    return files.select("filename", "segs", "items", F.transform("items", lambda x: x["label"]).alias("labels"))
+
+
+def turn_verdicts(timeline: DataFrame, p: Protocol = Protocol(), *, bridging: bool = True, confirm: Callable[[Column], Column] = lambda gap: F.lit(False)) -> DataFrame:
+    """(filename, check_name, status, reason): the front, four direction and sequence verdicts of each file.
+
+    Places in reasons count sampled frames from 0. confirm: whether a gap (struct<first, last, n, label>, in such places) is known
+    to be a turn; the sequence of a file with other gaps in its scope isn't confirmed.
+    """
+    by = W.Window.partitionBy("filename").orderBy("frame_index")
+    placed = timeline.withColumn("frame_index", F.row_number().over(by) - 1)
     fronts_seen = labelled(timeline, p).groupBy("filename").agg(F.max(F.col("label") == FRONT).alias("any_front"))
-    files = fronts_seen.join(facts, "filename", "left").join(order_match(spine(segs), p), "filename", "left")
-    inside = F.slice("items", F.col("start") + 1, F.col("size"))
-    fronts = F.filter(F.when(F.col("order").isNotNull(), inside).otherwise(F.coalesce("items", F.array().cast("array<struct<first:int,last:int,n:bigint,label:string>>"))), lambda x: x["label"] == FRONT)
+    files = fitted(fronts_seen.join(spined(segments(placed, p, bridging=bridging)), "filename"), p)
+    fits, text = F.col("order").isNotNull(), lambda x: x.cast("string")
+    files = files.withColumn("fronts", F.filter(F.when(fits, F.slice("items", F.col("start") + 1, F.col("size"))).otherwise(F.col("items")), lambda x: x["label"] == FRONT))
+    held = lambda n: F.format_string("%.1fs", F.bround(n / p.fps, 1))
+    first_or = lambda i, a, b: F.when(i == 0, a).otherwise(b)
+    role = lambda i: F.when(i == 0, "initial").otherwise(F.concat(F.lit("return#"), text(i)))
+    least = lambda i: first_or(i, f"{p.front_initial:.1f}s", f"{p.hold:.1f}s")
+
     counts = {k: collapsed(o).count(FRONT) for k, o in p.orders.items()}
     expected = F.coalesce(*(F.when(F.col("order") == k, n) for k, n in counts.items()), F.lit(max(counts.values(), default=0)))
-    short = F.exists(F.transform(fronts, lambda x, i: x["n"] < F.when(i == 0, p.frames(p.front_initial)).otherwise(p.frames(p.hold))), lambda x: x)
-    front = F.when(F.size(fronts) == 0, FAIL).when((F.size(fronts) < expected) | short, p.short_policy).otherwise(PASS)
-    direction = lambda d: F.when(F.col(d).isNull(), FAIL).when(F.col(d) >= p.frames(p.hold), PASS).otherwise(p.short_policy)
-    window = F.struct(F.get("items", F.col("start"))["first"].alias("a"), F.get("items", F.col("start") + F.col("size") - 1)["last"].alias("b"))
-    in_scope = F.size("gaps") > 0 if p.exact else F.exists("gaps", lambda g: (g["last"] >= window["a"]) & (g["first"] <= window["b"]))
-    sequence = F.lit(FAIL) if not p.orders else F.when(F.col("order").isNull(), p.order_policy).when(in_scope, p.gap_policy).otherwise(PASS)
+    few = F.when(F.size("fronts") < expected, F.concat(F.lit("expected "), text(expected), F.lit(" front holds, found "), text(F.size("fronts"))))
+    too_short = lambda x, i: F.when(
+        x["n"] < first_or(i, p.frames(p.front_initial), p.frames(p.hold)),
+        F.concat(role(i), F.lit(" front too short at segment "), text(x["first"]), F.lit(":"), text(x["last"]), F.lit(": "), held(x["n"]), F.lit(" < "), least(i)),
+    )
+    faults = F.concat_ws("; ", few, F.array_compact(F.transform("fronts", too_short)))
+    holds = F.array_join(F.transform("fronts", lambda x, i: F.concat(role(i), F.lit("="), held(x["n"]), F.lit(" >= "), least(i))), "; ")
+    scope = F.when(fits, F.concat(F.lit("matched '"), "order", F.lit("' window"))).otherwise("observed sequence")
+    front = (
+        F.when(F.size("fronts") == 0, said(FAIL, "front turn-hold check failed; no front hold segment found"))
+        .when(faults != "", said(p.short_policy, "front hold check failed in ", scope, ": ", faults)).otherwise(said(PASS, "front holds ok in ", scope, ": ", holds))
+    )
+
+    def direction(d: str) -> Column:
+        most = F.array_max(F.transform(F.filter("segs", lambda x: x["label"] == d), lambda x: x["n"]))
+        return (
+            F.when(most.isNull(), said(FAIL, f"{d} turn not detected")).when(most >= p.frames(p.hold), said(PASS, f"{d} detected; hold=", held(most), f" >= {p.hold:.1f}s"))
+            .otherwise(said(p.short_policy, f"{d} detected but hold too short: ", held(most), f" < {p.hold:.1f}s"))
+        )
+
+    mode = "exact" if p.exact else "contiguous_subsequence"
+    observed = F.when(F.size("labels") == 0, "none").otherwise(F.array_join("labels", " -> "))
+    accepted = "; ".join(f"{k}: {' -> '.join(collapsed(o))}" for k, o in p.orders.items())
+    why = "no extra prefix/suffix labels allowed" if p.exact else "accepted sequence not found as one contiguous window"
+    window = F.concat(text(F.col("start")), F.lit(":"), text(F.col("start") + F.col("size")))
+    matched = F.coalesce(*(F.when(F.col("order") == k, " -> ".join(collapsed(o))) for k, o in p.orders.items()), F.lit(""))
+    found = F.concat(F.lit("accepted sequence found: '"), "order", F.lit(f"' using {mode} at observed window "), window, F.lit("; matched: "), matched)
+    a, b = F.get("items", F.col("start"))["first"], F.get("items", F.col("start") + F.col("size") - 1)["last"]
+    in_scope = (lambda g: F.lit(True)) if p.exact else (lambda g: (g["last"] >= a) & (g["first"] <= b))
+    open_gap = F.exists("segs", lambda g: (g["label"] == GAP) & in_scope(g) & ~confirm(g))
+    where = F.lit("whole observed sequence") if p.exact else F.concat(F.lit("matched window "), window)
+    sequence = (
+        F.when(F.col("order").isNull(), said(p.order_policy, f"sequence order mismatch in {mode} mode; observed: ", observed, f"; accepted: {accepted}; {why}"))
+        .when(open_gap, said(p.gap_policy, found, "; but ", where, " contains an unconfirmed gap")).otherwise(said(PASS, found, "; observed: ", observed))
+    ) if p.orders else said(FAIL, "no accepted_orders configured; cannot validate turn sequence")
+
+    unseen = {"check_turn_front": "front hold cannot be validated; no front-facing frame found", **{f"check_turn_{d}": f"{d} turn cannot be validated; no front-facing frame found" for d in TURNS}, "check_turn_sequence": "no front-facing frame anywhere; cannot validate turn sequence"}
     whole = {"check_turn_front": front, **{f"check_turn_{d}": direction(d) for d in TURNS}, "check_turn_sequence": sequence}
-    rows = F.array(*(F.struct(F.lit(k).alias("check_name"), F.when(F.col("any_front"), v).otherwise(FAIL).alias("status")) for k, v in whole.items()))
-    return files.select("filename", F.inline(rows))
+    rows = F.array(*(F.struct(F.lit(k).alias("check_name"), F.when(F.col("any_front"), v).otherwise(said(FAIL, unseen[k])).alias("v")) for k, v in whole.items()))
+    return files.select("filename", F.explode(rows).alias("x")).select("filename", "x.check_name", "x.v.status", "x.v.reason")
 
 
 def presence_verdicts(timeline: DataFrame, p: Protocol = Protocol()) -> DataFrame:
@@ -298,15 +355,27 @@ def accepts(first: Column, n: Column, required_first: Column) -> Column:
 
 
 def walk_direction(timeline: DataFrame, *, window: int = 5, min_run: int = 3, eps: float = 0.002, min_frames: int = 8) -> DataFrame:
-    """(filename, n_usable, n_phases, status). Front views must grow, then shrink; side views go left to right, then back."""
+    """(filename, n_usable, n_phases, status, reason). Front views must grow, then shrink; side views go left to right, then back."""
     value = F.when(F.col("view") == "F", F.col("body_scale")).when(F.col("view") == "S", F.col("centroid_x"))
     signal = timeline.select("filename", "frame_index", value.alias("value")).where("value is not null")
-    found = phases(polarity(smoothed(signal, window), eps), min_run).groupBy("filename").agg(F.count("*").alias("n_phases"), F.min_by("label", "first").alias("first_phase"))
+    found = phases(polarity(smoothed(signal, window), eps), min_run).groupBy("filename").agg(F.array_sort(F.collect_list(F.struct("first", "label"))).alias("phases"))
     files = timeline.groupBy("filename").agg(F.max("view").alias("view"), F.count(value).alias("n_usable")).join(found, "filename", "left")
-    n = F.coalesce("n_phases", F.lit(0))
-    required = F.when(F.col("view") == "F", "1").otherwise("-1")
-    good = (F.col("n_usable") >= min_frames) & F.coalesce(accepts(F.col("first_phase"), n, required), F.lit(False))
-    return files.select("filename", "n_usable", n.alias("n_phases"), F.when(F.col("view").isNotNull() & good, PASS).otherwise(FAIL).alias("status"))
+    n, front = F.when(F.col("phases").isNull(), 0).otherwise(F.size("phases")).cast("long"), F.col("view") == "F"
+    lead = F.get("phases", F.lit(0))["label"]
+    name = lambda x: F.when(front, F.when(x == "1", "approach (growing)").otherwise("recede (shrinking)")).otherwise(F.when(x == "1", "move right (=>)").otherwise("move left (<=)"))
+    seen = F.array_join(F.transform("phases", lambda x: name(x["label"])), " then ")
+    want = F.when(front, "approach (growing) then recede (shrinking)").otherwise("move left (<=) then move right (=>)")
+    course = F.when(front, "toward-then-away").otherwise("left-then-right")
+    failed = lambda *why: said(FAIL, F.col("view"), ": ", course, " FAIL; ", *why)
+    verdict = (
+        F.when(~F.coalesce(F.col("view").isin("F", "S"), F.lit(False)), said(FAIL, "unknown view '", F.coalesce("view", F.lit("None")), "'; cannot judge walk direction"))
+        .when(F.col("n_usable") < min_frames, said(FAIL, F.col("view"), ": only ", F.col("n_usable").cast("string"), f" usable frame(s) < {min_frames}; too short to verify ", course))
+        .when(n == 0, failed("no sustained direction detected"))
+        .when(accepts(lead, n, F.when(front, "1").otherwise("-1")), said(PASS, F.col("view"), ": ", course, " OK (detected: ", seen, ")"))
+        .when(n == 1, failed("only one phase (", name(lead), "); a there-and-back (", want, ") was not completed"))
+        .otherwise(failed("reversed order (got ", seen, "); spec requires ", want))  # phases alternate, so two that don't fit are reversed
+    )
+    return files.select("filename", "n_usable", n.alias("n_phases"), verdict.alias("v")).select("filename", "n_usable", "n_phases", "v.status", "v.reason")
 
 
 def isolated_points(timeline: DataFrame, column: str) -> DataFrame:

@@ -89,14 +89,39 @@ def match(p) -> str:
     return f", mt as (select filename, items, labels, {names} as ord, coalesce({', '.join(p_ for _, p_, *_ in out)}) as start, {sizes} as size, {counts} as expected from files)"
 
 
-VERDICTS = SPINE + match(LOOSE) + """, facts as (select filename, max(n) filter (label = 'left') l, max(n) filter (label = 'right') r, max(n) filter (label = 'down') d, max(n) filter (label = 'up') u, list(struct_pack(first := first, last := last)) filter (label = 'gap') gaps from segs group by 1),
+#: Reasons count sampled frames, so frames are numbered by their place.
+PLACED = SPINE.replace("from v_timeline)", "from (select * replace ((row_number() over (partition by filename order by frame_index) - 1)::int as frame_index) from v_timeline))", 1)
+#: At one frame a second, held frames are held seconds.
+HELD = "printf('%.1fs', x.n::double)"
+ROLE = "case when i = 1 then 'initial' else 'return#' || (i - 1) end"
+NEED = "case when i = 1 then '5.0s' else '2.0s' end"
+SHORT = f"case when x.n < case when i = 1 then 5 else 2 end then {ROLE} || ' front too short at segment ' || x.first || ':' || x.last || ': ' || {HELD} || ' < ' || {NEED} end"
+FAULTS = f"list_filter(list_concat([case when len(fr) < expected then 'expected ' || expected || ' front holds, found ' || len(fr) end], list_transform(fr, lambda x, i: {SHORT})), lambda x: x is not null)"
+HOLDS = f"array_to_string(list_transform(fr, lambda x, i: {ROLE} || '=' || {HELD} || ' >= ' || {NEED}), '; ')"
+SCOPE = "case when ord is not null then 'matched ''' || ord || ''' window' else 'observed sequence' end"
+OBSERVED = "case when len(coalesce(labels, [])) = 0 then 'none' else array_to_string(labels, ' -> ') end"
+FOUND = "'accepted sequence found: ''' || ord || ''' using contiguous_subsequence at observed window ' || start || ':' || (start + size) || '; matched: ' || case ord when 'pair' then 'front -> left -> front' else 'left -> front -> right' end"
+OPEN = "len(list_filter(gaps, lambda g: g.last >= items[start + 1].first and g.first <= items[start + size].last)) > 0"
+
+
+def turn(d: str) -> str:
+    held = f"printf('%.1fs', {d[0]}::double)"
+    seen = f"when {d[0]} >= 2 then ['PASS', '{d} detected; hold=' || {held} || ' >= 2.0s'] else ['REVIEW', '{d} detected but hold too short: ' || {held} || ' < 2.0s']"
+    return f"{{'check_name': 'check_turn_{d}', 'v': case when not any_front then ['FAIL', '{d} turn cannot be validated; no front-facing frame found'] when {d[0]} is null then ['FAIL', '{d} turn not detected'] {seen} end}}"
+
+
+VERDICTS = PLACED + match(LOOSE) + f""", facts as (select filename, max(n) filter (label = 'left') l, max(n) filter (label = 'right') r, max(n) filter (label = 'down') d, max(n) filter (label = 'up') u, list(struct_pack(first := first, last := last)) filter (label = 'gap') gaps from segs group by 1),
 af as (select filename, bool_or(label = 'front') any_front from lab group by 1),
-al as (select a.filename, any_front, l, r, d, u, coalesce(gaps, []) gaps, ord, expected, items, start, size, list_filter(case when ord is not null then items[start + 1:start + size] else coalesce(items, []) end, lambda x: x.label = 'front') fr from af a left join facts using (filename) left join mt using (filename)),
-vd as (select filename, unnest([
- {'check_name': 'check_turn_front', 'status': case when not any_front or len(fr) = 0 then 'FAIL' when len(fr) < expected or fr[1].n < 5 or len(list_filter(fr[2:], lambda x: x.n < 2)) > 0 then 'REVIEW' else 'PASS' end},
- {'check_name': 'check_turn_left', 'status': case when not any_front or l is null then 'FAIL' when l >= 2 then 'PASS' else 'REVIEW' end}, {'check_name': 'check_turn_right', 'status': case when not any_front or r is null then 'FAIL' when r >= 2 then 'PASS' else 'REVIEW' end},
- {'check_name': 'check_turn_down', 'status': case when not any_front or d is null then 'FAIL' when d >= 2 then 'PASS' else 'REVIEW' end}, {'check_name': 'check_turn_up', 'status': case when not any_front or u is null then 'FAIL' when u >= 2 then 'PASS' else 'REVIEW' end},
- {'check_name': 'check_turn_sequence', 'status': case when not any_front then 'FAIL' when ord is null then 'REVIEW' when len(list_filter(gaps, lambda g: g.last >= items[start + 1].first and g.first <= items[start + size].last)) > 0 then 'REVIEW' else 'PASS' end}], recursive := true) from al)"""
+al as (select a.filename, any_front, l, r, d, u, coalesce(gaps, []) gaps, ord, expected, items, labels, start, size, list_filter(case when ord is not null then items[start + 1:start + size] else coalesce(items, []) end, lambda x: x.label = 'front') fr from af a left join facts using (filename) left join mt using (filename)),
+fl as (select *, {FAULTS} faults from al),
+each as (select filename, unnest([
+ {{'check_name': 'check_turn_front', 'v': case when not any_front then ['FAIL', 'front hold cannot be validated; no front-facing frame found'] when len(fr) = 0 then ['FAIL', 'front turn-hold check failed; no front hold segment found']
+  when len(faults) > 0 then ['REVIEW', 'front hold check failed in ' || {SCOPE} || ': ' || array_to_string(faults, '; ')] else ['PASS', 'front holds ok in ' || {SCOPE} || ': ' || {HOLDS}] end}},
+ {", ".join(map(turn, S.TURNS))},
+ {{'check_name': 'check_turn_sequence', 'v': case when not any_front then ['FAIL', 'no front-facing frame anywhere; cannot validate turn sequence']
+  when ord is null then ['REVIEW', 'sequence order mismatch in contiguous_subsequence mode; observed: ' || {OBSERVED} || '; accepted: pair: front -> left -> front; turns: left -> front -> right; accepted sequence not found as one contiguous window']
+  when {OPEN} then ['REVIEW', {FOUND} || '; but matched window ' || start || ':' || (start + size) || ' contains an unconfirmed gap'] else ['PASS', {FOUND} || '; observed: ' || {OBSERVED}] end}}], recursive := true) from fl),
+vd as (select filename, check_name, v[1] status, v[2] reason from each)"""
 PRESENCE = LABEL + """, fm as (select *, row_number() over w pl, bool_or(label = 'front') over (partition by filename order by frame_index rows between unbounded preceding and 1 preceding) bf, bool_or(label = 'front') over (partition by filename order by frame_index rows between 1 following and unbounded following) af from lab window w as (partition by filename order by frame_index)),
 pf as (select filename, bool_or(label = 'front') any_front, bool_or(label = 'front' and pl <= 5) opening, bool_or(label = 'gap' and coalesce(bf, false) and coalesce(af, false)) hidden, """ + ", ".join(f"count(*) filter (label = '{d}') n_{d}, min(timestamp_sec) filter (label = '{d}') t_{d}" for d in S.TURNS) + """ from fm group by 1),
 ps as (select *, """ + ", ".join(f"case when n_{d} >= 2 then 'PASS' when n_{d} > 0 or hidden then 'REVIEW' else 'FAIL' end s_{d}" for d in S.TURNS) + """ from pf),
@@ -111,6 +136,18 @@ def walking(value: str) -> str:
     return f", sg as (select filename, frame_index, {value} as value from v_walk where ({value}) is not null), sm as (select *, case when count(*) over (partition by filename) < 5 then value else avg(value) over (partition by filename order by frame_index rows between 2 preceding and 2 following) end smooth from sg), st as (select *, lead(smooth) over (partition by filename order by frame_index) - smooth step from sm), sn as (select filename, frame_index, case when step > 0.002::double then 1 when step < -0.002::double then -1 else 0 end sign from st where step is not null)" + islands("wr", "select filename, sign::varchar as label, frame_index as first, frame_index as last, 1 n from sn") + islands("ph", "select * from wr where label <> '0' and n >= 3")
 
 
+VALUE = "case \"view\" when 'F' then body_scale when 'S' then centroid_x end"
+WANT = "case vw when 'F' then 'approach (growing) then recede (shrinking)' else 'move left (<=) then move right (=>)' end"
+COURSE = "case vw when 'F' then 'toward-then-away' else 'left-then-right' end"
+WAYS = f""", fp as (select filename, list(label order by first) ls from ph group by 1), fl as (select filename, max("view") vw, count({VALUE}) n_usable from v_walk group by 1),
+fs as (select filename, vw, n_usable, len(coalesce(ls, []))::bigint n, ls[1] f, list_transform(coalesce(ls, []), lambda x: case when vw = 'F' then case x when '1' then 'approach (growing)' else 'recede (shrinking)' end else case x when '1' then 'move right (=>)' else 'move left (<=)' end end) said from fl left join fp using (filename)),
+fv as (select *, array_to_string(said, ' then ') seen, case when vw is null or vw not in ('F', 'S') then ['FAIL', 'unknown view ''' || coalesce(vw, 'None') || '''; cannot judge walk direction']
+ when n_usable < 8 then ['FAIL', vw || ': only ' || n_usable || ' usable frame(s) < 8; too short to verify ' || {COURSE}] when n = 0 then ['FAIL', vw || ': ' || {COURSE} || ' FAIL; no sustained direction detected']
+ when n >= 3 or (n = 2 and f = case vw when 'F' then '1' else '-1' end) then ['PASS', vw || ': ' || {COURSE} || ' OK (detected: ' || seen || ')'] when n = 1 then ['FAIL', vw || ': ' || {COURSE} || ' FAIL; only one phase (' || said[1] || '); a there-and-back (' || {WANT} || ') was not completed']
+ else ['FAIL', vw || ': ' || {COURSE} || ' FAIL; reversed order (got ' || seen || '); spec requires ' || {WANT}] end v from fs)
+select filename, n_usable, n n_phases, v[1] status, v[2] reason from fv"""
+
+
 def t(tail: str) -> str:
     return with_views(tail, "v_timeline")
 
@@ -125,7 +162,7 @@ ORACLE_SQL = {
     "w5_spine": t(SPINE + " select * from spine"), "w6_order_match_exact": t(SPINE + match(P) + ' select filename, labels, ord as "order", start::int start from mt'), "w6_order_match_contiguous": t(SPINE + match(LOOSE) + ' select filename, labels, ord as "order", start::int start from mt'),
     "w7_front_rows": t(VERDICTS + " select * from vd where check_name like '%front'"), "w8_direction_rows": t(VERDICTS + " select * from vd where check_name not like '%front' and check_name not like '%sequence'"), "w9_w10_sequence_row": t(VERDICTS + " select * from vd where check_name like '%sequence'"),
     "w11_presence": t(PRESENCE + " select * from px where status is not null"),
-    "w12_walk_direction": with_views(walking("case \"view\" when 'F' then body_scale when 'S' then centroid_x end") + ", fp as (select filename, count(*) n, arg_min(label, first) f from ph group by 1), fl as (select filename, max(\"view\") vw, count(case \"view\" when 'F' then body_scale when 'S' then centroid_x end) n_usable from v_walk group by 1) select filename, n_usable, coalesce(n, 0) n_phases, case when vw is not null and n_usable >= 8 and coalesce((n >= 2 and f = case vw when 'F' then '1' else '-1' end) or n >= 3, false) then 'PASS' else 'FAIL' end status from fl left join fp using (filename)", "v_walk"),
+    "w12_walk_direction": with_views(walking(VALUE) + WAYS, "v_walk"),
     "w13_moving_average": w(" select * from sm"), "w14_polarity": w(" select * from sn"), "w15_phases": w(" select * from ph"), "w16_phase_automaton": w(", g as (select filename, count(*) n, arg_min(label, first) f from ph group by 1) select filename, n, (n >= 2 and f = '-1') or n >= 3 accepted from g"),
     "w17_sustained_run": w(" select filename, bool_or(label = '1' and n >= 3) sustained from wr group by 1"), "w18_isolated_points": with_views("select filename, frame_index, body_scale from (select *, lag(body_scale) over w a, lead(body_scale) over w b from v_walk window w as (partition by filename order by frame_index)) where body_scale is not null and a is null and b is null", "v_walk"),
     "w20_unpivot": t(" select filename, frame_index, 'yaw' measure, yaw as value from v_timeline union all select filename, frame_index, 'pitch', pitch from v_timeline union all select filename, frame_index, 'brightness', brightness from v_timeline"),

@@ -8,7 +8,7 @@ fail a stage: they come back as a ``reason``.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Protocol
 
 import pandas as pd
@@ -21,7 +21,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
 MEDIA_SCHEMA = "path string, filename string, extension string, readable boolean, width int, height int, fps double, frame_count int, duration_sec double, codec_fourcc string, channel_count int, is_color boolean, meta_reason string"
-FRAME_SCHEMA = "path string, frame_index int, timestamp_sec double, timestamp_ms bigint, height int, width int, data binary"
+FRAME_SCHEMA = "path string, frame_index int, timestamp_sec double, timestamp_ms bigint, height int, width int, data binary, reason string"
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
@@ -52,6 +52,10 @@ class Decoder(Protocol):
         """(index, height, width, BGR bytes) of the frames that decode."""
         ...
 
+    def read(self, path: str) -> Iterator[tuple[int, int, int, bytes]]:
+        """The same for all frames from the first on, for files whose number of frames or rate is unknown."""
+        ...
+
 
 def probe_videos(files: DataFrame, backend: Callable[[], Decoder]) -> DataFrame:
     """Metadata of each path; a file that the backend can't open is unreadable, with the reason."""
@@ -85,36 +89,83 @@ def fourcc(code: F.Column) -> F.Column:
     return F.when(letters.rlike(r"\A[\x20-\x7e]{4}\z"), F.trim(letters))
 
 
-def sampled_frames(grid: DataFrame, backend: Callable[[], Decoder]) -> DataFrame:
-    """Frames at the grid's (path, frame_index, timestamp_sec), one task per group of files; frames that don't decode are left out."""
-    files = grid.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("frame_index", "timestamp_sec"))).alias("grid"))
+#: Fixed value: the rate that is assumed where a file has none.
+ASSUMED_FPS = 30.0
+Frame = tuple[int, float, int, int, bytes]
+
+
+def sample_indices(frame_count: int, fps: float, sample_fps: float | None = 5, max_frames: int = 10000) -> list[int]:
+    """One file's grid, as `operators.metadata.sample_grid` makes it; without a sampling rate every frame."""
+    step = max(1, round(fps / sample_fps)) if sample_fps and sample_fps > 0 else 1
+    grid = sorted({*range(0, frame_count, step), frame_count - 1})
+    return grid[:: -(-len(grid) // max_frames)]
+
+
+def in_sequence(frames: Iterable[tuple[int, int, int, bytes]], fps: float | None, sample_fps: float | None = 5, max_frames: int = 10000) -> Iterator[Frame]:
+    """The first frame at or after each sampling time, of frames read one after the other, up to max_frames."""
+    rate, taken = fps if fps and fps > 0 else ASSUMED_FPS, 0
+    for index, height, width, data in frames:
+        t = index / rate
+        if sample_fps and sample_fps > 0 and t + 1e-9 < taken / sample_fps:
+            continue
+        yield index, t, height, width, data
+        taken += 1
+        if taken >= max_frames:
+            return
+
+
+def rows_of(path: str, frames: Iterable[Frame]) -> Iterator[tuple]:
+    """Rows of FRAME_SCHEMA; a file that breaks off ends with a row of its path and the reason alone."""
+    try:
+        for index, t, height, width, data in frames:
+            yield path, index, t, round(t * 1000), height, width, data, None
+    except Exception as e:  # noqa: BLE001  the frames so far count; a file without frames fails its own check
+        yield path, None, None, None, None, None, None, " ".join(f"{type(e).__name__}: {e}".split())[:300]
 
+
+def as_frames(files: DataFrame, read: Callable[[Decoder, dict], Iterable[Frame]], backend: Callable[[], Decoder]) -> DataFrame:
+    """Rows of FRAME_SCHEMA of each file (a row with ``path``), one frame a batch, by one backend a worker."""
     schema = to_arrow_schema(T.StructType.fromDDL(FRAME_SCHEMA))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = backend()
         for batch in batches:
-            for path, points in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                times = {p["frame_index"]: p["timestamp_sec"] for p in points}
-                try:
-                    for index, height, width, data in decoder.frames(path, list(times)):
-                        t = times[index]
-                        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, (path, index, t, round(t * 1000), height, width, data), strict=True))], schema)
-                except Exception:  # noqa: BLE001, S112  the frames so far count; a file without frames fails its own check
-                    continue
+            for file in batch.to_pylist():
+                for row in rows_of(file["path"], read(decoder, file)):
+                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row, strict=True))], schema)
 
     return files.mapInArrow(run, FRAME_SCHEMA)
 
 
+def sampled_frames(grid: DataFrame, backend: Callable[[], Decoder]) -> DataFrame:
+    """Frames at the grid's (path, frame_index, timestamp_sec), one task per group of files. Frames that don't decode are left
+    out; a file that breaks off has a row with the reason and no frame."""
+    files = grid.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("frame_index", "timestamp_sec"))).alias("grid"))
+
+    def read(decoder: Decoder, file: dict) -> Iterator[Frame]:
+        times = {p["frame_index"]: p["timestamp_sec"] for p in file["grid"]}
+        for index, height, width, data in decoder.frames(file["path"], list(times)):
+            yield index, times[index], height, width, data
+
+    return as_frames(files, read, backend)
+
+
+def sequential_frames(media: DataFrame, backend: Callable[[], Decoder], *, sample_fps: float | None = 5, max_frames: int = 10000) -> DataFrame:
+    """Frames of the files that have no grid (no frame count or rate), read one after the other."""
+    unknown = ~F.coalesce((F.col("frame_count") > 0) & (F.col("fps") > 0), F.lit(False))
+    read = lambda decoder, file: in_sequence(decoder.read(file["path"]), file["fps"], sample_fps, max_frames)
+    return as_frames(media.where(unknown).select("path", "fps"), read, backend)
+
+
 def detect(frames: DataFrame, backend: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]], schema: str) -> DataFrame:
-    """Observations of a detector that is created once per worker and called once per batch of frames."""
+    """Observations of a detector that is created once per worker and called once per batch of frames; rows without one are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         detector = backend()
         for batch in batches:
             yield detector(batch)
 
-    return frames.mapInPandas(run, schema)
+    return (frames.where("data is not null") if "data" in frames.columns else frames).mapInPandas(run, schema)
 
 
 class FrameSource(DataSource):
@@ -145,10 +196,11 @@ class FrameReader(DataSourceReader):
         module, function = self.options["backend"].split(":")
         decoder, path = getattr(importlib.import_module(module), function)(), partition.value
         meta = decoder.probe(path)
-        step = max(1, round((meta.get("fps") or 30) / float(self.options.get("samplefps", "5"))))
-        for index, height, width, data in decoder.frames(path, list(range(0, meta["frame_count"], step))):
-            t = index / (meta.get("fps") or 30)
-            yield path, index, t, round(t * 1000), height, width, data
+        n, fps, sample_fps = meta.get("frame_count"), meta.get("fps"), float(self.options.get("samplefps", "5"))
+        if n and n > 0 and fps and fps > 0:
+            yield from rows_of(path, ((i, i / fps, *rest) for i, *rest in decoder.frames(path, sample_indices(n, fps, sample_fps))))
+        else:
+            yield from rows_of(path, in_sequence(decoder.read(path), fps, sample_fps))
 
 
 def load_config(path: str) -> dict:
