@@ -136,6 +136,16 @@ def test_tables_round_trip(spark, tmp_path):
     assert texts == ("0.12", "")
 
 
+def test_filename_report(spark, tmp_path):
+    assert tables.load_filename_report(spark, str(tmp_path)) is None
+    (tmp_path / "filenames.csv").write_text('volunteer,missing\n007,"a, b"\n')
+    kind, report = tables.load_filename_report(spark, str(tmp_path))
+    assert kind == "csv" and report.collect() == [("007", "a, b")]
+    (tmp_path / "filenames.json").write_text('[{"volunteer": "007", "missing": ["a", "b"]}]')
+    kind, report = tables.load_filename_report(spark, str(tmp_path))
+    assert kind == "json" and report.first().missing == ["a", "b"] and report.first().volunteer == "007"
+
+
 def test_config(tmp_path):
     (tmp_path / "c.yml").write_text("filenames:\n  required:\n    walk_F: '^(?P<volunteer_id>\\d+)_walk_F\\.mp4$'\n")
     assert media.required_patterns(media.load_config(str(tmp_path / "c.yml"))) == {"walk_F": r"^([0-9]+)_walk_F\.mp4$"}

@@ -33,6 +33,19 @@ def read_all_summary(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def load_filename_report(spark: SparkSession, folder: str) -> tuple[str, DataFrame] | None:
+    """("json" or "csv", the report of file names) in folder: as JSON if there is one, since that keeps lists, else as CSV with all
+    columns as text; None without either."""
+    try:
+        return "json", spark.read.json(f"{folder}/filenames.json", multiLine=True)
+    except AnalysisException:
+        pass
+    try:
+        return "csv", spark.read.csv(f"{folder}/filenames.csv", header=True, quote='"', escape='"', multiLine=True)
+    except AnalysisException:
+        return None
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
