@@ -10,6 +10,7 @@ from veriframe.llm.runs import op13_runs
 from veriframe.llm.secrets import op8_secrets
 from veriframe.llm.secrets import oracle as secrets_sql
 from veriframe.llm.simhash import op5_simhash
+from veriframe.llm.similar import op12_minhash
 from veriframe.llm.unigram import op1_token_counts
 from veriframe.llm.url_filter import op6_url_filter
 from veriframe.llm.url_filter import oracle as url_filter_sql
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_importance": op10_importance,
     "op11_whitening": op11_whitening,
+    "op12_minhash": op12_minhash,
     "op13_runs": op13_runs,
 }
 

@@ -325,14 +325,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return prints.join(named, "fp", "left").select(F.col("__id").alias(id_col), "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs with one row of each group: the one with the smallest id (rows without one last), of these the one with the smallest
-    digest of its text, and of rows equal in both any one. Columns stay as they are, whatever their names."""
-    names, docs = docs.columns, numbered(docs)
-    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
-    prints = prints_of(docs, id_col, text_col)
-    rows = prints.groupBy("fp", "__id", "__digest").agg(F.count("*").alias("n"))
-    rows = saved(rows.join(groups_of(prints, **options).select("fp", "root"), "fp"))
+def keep_first(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs (with numbered columns) with one row of each root: the one with the smallest id (rows without one last), of these the one with
+    the smallest digest of its text, and of rows equal in both any one. rows: (__id, __digest, n: of such rows, root), as a table; rows
+    of docs that aren't there stay."""
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("__id").isNull().alias("no_id"), "__id", "__digest")).alias("first"))
     judged = rows.join(first, "root").withColumn("stays", F.col("__id").eqNullSafe(F.col("first.__id")) & (F.col("__digest") == F.col("first.__digest")))
     judged = saved(judged.where(~F.col("stays") | (F.col("n") > 1)).select("__id", "__digest", "stays"))  # what isn't simply kept
@@ -342,7 +338,17 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     again = judged.where("stays").drop("stays")
     if not again.isEmpty():
         out = out.union(docs.join(again, same, "left_semi").dropDuplicates([id_col, "__own"]))
-    return out.drop("__own").toDF(*names)
+    return out.drop("__own")
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """docs with one row of each group, as keep_first chooses it. Columns stay as they are, whatever their names."""
+    names, docs = docs.columns, numbered(docs)
+    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
+    prints = prints_of(docs, id_col, text_col)
+    rows = prints.groupBy("fp", "__id", "__digest").agg(F.count("*").alias("n"))
+    rows = saved(rows.join(groups_of(prints, **options).select("fp", "root"), "fp"))
+    return keep_first(docs, rows, id_col, text_col).toDF(*names)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
