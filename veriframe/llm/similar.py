@@ -5,8 +5,7 @@
 2. Under each key shared by two sets or more, the smallest number leads (partial aggregation again, so a crowded key is one row a
    task). Sets and their leaders are the first candidates; their connected components are clusters.
 3. Candidates are checked exactly, only sets of clusters being computed again: first each set with its cluster's smallest,
-   one pair a set, which settles nearly all; then those still apart with all their leaders. Under keys whose sets are then in
-   several groups, those outside their leader's group get a leader of their own, ``AGAIN`` times.
+   one pair a set, which settles nearly all; then those still apart with all their leaders.
 4. Links join sets into groups. Under a key whose sets are all in one group nothing can be missing. Under the others each
    set is reduced to its differences from the leader's: with m and u the numbers of shingles that only the leader or only the
    set has, p the percentage, w = 100m + pu and L the leader's number of shingles, two sets are similar just if they share
@@ -34,7 +33,7 @@ from veriframe.llm.common import held, numbered, saved, slices, table
 from veriframe.llm.simhash import components, keep_first, spanning
 from veriframe.llm.sketching import band_keys
 
-SHINGLE, PERCENT, AGAIN = 5, 80, 2
+SHINGLE, PERCENT = 5, 80
 #: Differences in a block, of which each set counts OWN more; columns of a matrix product.
 BLOCK, OWN, COLUMNS = 65536, 64, 2048
 
@@ -205,16 +204,7 @@ def similar_links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str,
     linked = links.toDF("node", "component")
     apart = in_groups(in_groups(asking.union(asked).distinct(), "a", linked, "group"), "b", linked, "group_2")
     links = saved(links.union(checked(apart.where("group <> group_2").select("a", "b"), sets, percent)))
-    groups, odd = saved(components(links)), near
-    for _ in range(AGAIN):  # those outside their leader's group, under leaders of their own
-        placed = in_groups(in_groups(odd, "node", groups, "group"), "leader", groups, "group_2")
-        odd = placed.where("group <> group_2").select("key", "node")
-        odd = saved(odd.join(odd.groupBy("key").agg(F.min("node").alias("leader")), "key"))
-        if odd.isEmpty():
-            break
-        pairs = in_groups(in_groups(odd.select("node", "leader").distinct(), "node", groups, "group"), "leader", groups, "group_2")
-        links = saved(links.union(checked(pairs.where("group <> group_2").select(F.col("node").alias("a"), F.col("leader").alias("b")), sets, percent)))
-        groups = saved(components(links))
+    groups = saved(components(links))
     placed = in_groups(near, "node", groups, "group")
     open_keys = placed.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
     judged = placed.join(open_keys, "key", "left_semi").where("node <> leader").select("node", "leader", "group").distinct()
