@@ -12,7 +12,7 @@ array, the value of a scalar subquery, from which each URL adds up its own weigh
 trigram are, aggregated before.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path and no rule, and is judged by the method as
-an empty text; without accepted or without rejected URLs, to learn from and to calibrate on, the method allows everything; repeated rows are
+an empty text; a long URL takes work in proportion to its length; without accepted or without rejected URLs, to learn from and to calibrate on, the method allows everything; repeated rows are
 judged each and train each; other columns don't matter; no rows give no rows.
 """
 
@@ -65,7 +65,9 @@ def trigrams(host: Column, path: Column) -> Column:
     text = F.concat(host, ascii_lower_col(path))
     letters = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "", -1))
     symbols = F.concat(F.array(F.lit(START), F.lit(START)), F.transform(F.filter(letters, lambda x: x != ""), lambda x: F.call_function("locate", x, F.lit(ALPHABET))), F.array(F.lit(END)))
-    return F.transform(F.sequence(F.lit(0), F.size(symbols) - 3), lambda i: (F.get(symbols, i) * SIZE + F.get(symbols, i + 1)) * SIZE + F.get(symbols, i + 2))
+    part = lambda k, name: F.slice(symbols, k, F.size(symbols) - 2).alias(name)
+    # the symbols beside themselves shifted: looked up one by one, they would be worked out again for each character
+    return F.transform(F.arrays_zip(part(1, "a"), part(2, "b"), part(3, "c")), lambda x: (x["a"] * SIZE + x["b"]) * SIZE + x["c"])
 
 
 def weights(counts: DataFrame, accepted: int, rejected: int) -> DataFrame:
