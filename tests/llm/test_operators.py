@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from array import array
 from collections import Counter
 
@@ -366,3 +367,27 @@ def test_forest_paths():
                 at = forest.child[t, at] + int(row[forest.feature[t, at]] >= forest.split[t, at])
             total += forest.path[t, at]
         assert abs(score - 2 ** (-total / 20 / quality_rules.mean_path(64))) < 1e-12
+
+
+def test_url_filter_long_urls(spark):
+    """Work grows with a URL's length, not with its square."""
+    rows = [(k, f"https://a.org/{'path/' * n}x") for k, n in enumerate((20_000, 20_000, 1, 2))] + [(4, "https://b.com/de/" + "y" * 100_000), (5, "no scheme " * 10_000)]
+    began = time.time()
+    out = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert time.time() - began < 60 and out[0].rule == "org/" and out[4].verdict == "block" and out[5].host == ""
+
+
+def test_line_dedup_does_not_depend_on_the_rest_of_the_page(spark):
+    """The same long line goes from a page of little else and from a page of much else; as an option, such pages stay whole."""
+    line = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, "s", line), (2, "s", line + "\nshort"), (3, "s", "other text\n" * 1 + line + "\n" + "own words here " * 100), (4, "s", None), (5, None, line)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(docs).collect()}
+    assert got == {1: line, 2: "short", 3: "other text\n" + "own words here " * 100, 4: None, 5: line}
+    assert {r.doc_id: r.text for r in line_dedup.drop_boilerplate(docs, whole_copies=True).collect()}[2] == line + "\nshort"
+
+
+def test_line_dedup_very_long_lines(spark):
+    rows = [(k, "s", "x" * 200_000 + "\n" + " ".join(f"z{n}" for n in range(20_000)) + f"\nown {k}") for k in range(3)]
+    got = [r.text for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, source string, text string")).orderBy("doc_id").collect()]
+    assert got[1:] == [f"{'x' * 200_000}\nown {k}" for k in (1, 2)]  # one word isn't a long line: 3 pages of it are too few

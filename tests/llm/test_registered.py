@@ -1,12 +1,14 @@
 """The registered queries on the smallest table against brute force: digests, types and rows."""
 
 import hashlib
+import math
 import zlib
 
+import numpy as np
 import pytest
 
 from tests.llm.test_operators import brute_fingerprint, brute_groups, brute_hits
-from veriframe.llm import bpe, decontam
+from veriframe.llm import bpe, decontam, importance, quality_rules
 from veriframe.llm.common import WORD, ascii_lower, table
 from veriframe.llm.queries import QUERIES
 
@@ -63,3 +65,47 @@ def test_op2(spark, texts):
 @pytest.mark.parametrize("name", ["op1_token_counts", "op3_quality_rules", "op10_importance"])
 def test_rows(spark, texts, name):
     assert sorted(r.doc_id for r in QUERIES[name](spark, SF).collect()) == sorted(texts)
+
+
+def test_op3(spark, texts):
+    """Features, path lengths, the limit and the verdicts by plain loops."""
+    docs, labels = table(spark, SF, "documents").select("doc_id", "text"), table(spark, SF, "labels")
+    forest = quality_rules.fit(docs, labels)
+
+    def features(text: str) -> list[float]:
+        words = WORD.findall(text)
+        n = len(words)
+        each = [sum(c in "#*$%&|<>" for c in text), sum(a == b for a, b in zip(words, words[1:], strict=False)), sum(w.count("!") + w.count("?") for w in words)]
+        parts = [words[k : k + 20] for k in range(0, n - 19, 20)]
+        return [*(math.log(1 + 20 * x / n) for x in each), sum(map(len, words)) / n, sum(len(set(p)) / 20 for p in parts) / len(parts)]
+
+    def score(x: list[float]) -> float:
+        total = 0.0
+        for feature, split, child, path in zip(forest.feature, forest.split, forest.child, forest.path, strict=True):
+            at = 0
+            while feature[at] >= 0:
+                at = child[at] + (x[feature[at]] >= split[at])
+            total += path[at]
+        return 2 ** (-total / len(forest.feature) / forest.usual)
+
+    rows = {r.doc_id: r for r in QUERIES["op3_quality_rules"](spark, SF).collect()}
+    scores = {i: score(features(texts[i])) for i, r in rows.items() if not r.base_failed}
+    assert all(abs(rows[i].anomaly - s) < 1e-9 for i, s in scores.items())
+    known = importance.labelled(labels, 20_000)
+    place = {int(k): j for j, k in enumerate(known.ids)}
+    held = [s for i, s in scores.items() if i in place and known.good[place[i]] and not known.fit[place[i]]]
+    assert len(held) > 10 and abs(forest.limit - 1e-9 - float(np.quantile(held, 0.997))) < 1e-9
+    assert all(r.kept == (not r.base_failed and r.anomaly <= forest.limit) for r in rows.values())
+    assert len({round(rows[i].anomaly, 9) for i in scores if rows[i].kept}) > 20  # the forest tells good documents apart
+
+
+def test_op3_finds_bad_rows(spark):
+    """On labelled rows held out: all bad ones that pass the plain rules, at the stated loss of good ones."""
+    large = "/root/testdata/sf0.1"
+    rows = {r.doc_id: r for r in QUERIES["op3_quality_rules"](spark, large).collect()}
+    known = importance.labelled(table(spark, large, "labels"), 20_000)
+    labels = {r.doc_id: r.quality for r in table(spark, large, "labels").collect()}
+    assert known.good.any()
+    bad = [rows[i] for i, q in labels.items() if q == 0 and i in rows and not rows[i].base_failed]
+    good = [rows[i] for i, q in labels.items() if q == 1 and i in rows and not rows[i].base_failed]
+    assert sum(not r.kept for r in bad) >= 0.98 * len(bad) and sum(not r.kept for r in good) <= 0.006 * len(good)

@@ -1,10 +1,10 @@
 """Quality rules with an isolation forest over their statistics.
 
-Each text gets rule statistics. Those of length and of repeated lines and word windows feed two plain rules that fail a
-document outright; the shares of symbols, capitals, stuttered words and marks, in steps of ``STEP``, go to an isolation forest, which
-judges them together: trees of random splits isolate unusual documents after few steps, so a short mean path means an anomaly. (Unrounded, or
-with shares of repeated lines and words, length and word length as well, the forest spends its splits on what varies among good documents: on
-labelled rows held out it then finds 3 % to 48 % of the bad ones that pass the plain rules, as against all of them.) The forest is grown on, and its
+Each text gets rule statistics. Those of length and of repeated lines and word windows feed two plain rules that fail a document
+outright. Five others, none of which depends on the text's length, go to an isolation forest, which judges them together: symbols, stuttered words and
+marks a word (as logarithms, so that rare large values don't take all splits), characters a word, and the mean share of distinct words in segments of
+``SEGMENT`` words. Trees of random splits isolate unusual documents after few steps, so a short mean path means an anomaly. Samples are small
+(64 rows a tree), so that bad documents don't hide each other. The forest is grown on, and its
 threshold set from, at most ``max_labels`` labelled rows (those with the smallest hashes): the threshold is the
 anomaly score that all but ``reject_clean`` of held-out good rows stay under.
 
@@ -31,10 +31,9 @@ from veriframe.llm.common import field_type, held, slices, table
 from veriframe.llm.importance import Labels, key_of, labelled
 
 SYMBOLS = b"#*$%&|<>"
-UPPER = bytes(range(65, 91))
 MARKS = b"!?"
-#: The forest's features are taken in such steps, so that the usual small differences don't isolate a document.
-STEP = 0.1
+#: Words of a segment; a rest of fewer words has no part in the share of distinct words, unless it is the whole text.
+SEGMENT = 20
 WINDOW, LEAST_WORDS, MOST_REPEATED = 8, 20, 30
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -57,12 +56,19 @@ def repeated_words(ids: np.ndarray) -> int:
     return int((np.cumsum(edges)[:-1] > 0).sum())
 
 
+def distinct_share(ids: np.ndarray) -> float:
+    """The mean share of distinct words in whole segments."""
+    size = min(SEGMENT, len(ids))
+    ordered = np.sort(ids[: len(ids) // size * size].reshape(-1, size), axis=1)
+    return 1 - float((ordered[:, 1:] == ordered[:, :-1]).mean(axis=0).sum()) / size if size > 1 else 1.0
+
+
 def statistics(text: bytes | None) -> tuple[list[int], list[float]]:
     """The counts of COUNTS, and the forest's features."""
-    if not text:
-        return [0] * 5, [0.0] * 4
-    words = text.split()
+    words = text.split() if text else []
     n = len(words)
+    if not n:
+        return [0, 0, len(text or b"") - len((text or b"").translate(None, SYMBOLS)), 0, 0], [0.0] * 5
     numbers: dict[bytes, int] = {}
     ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, n)
     joined = b"".join(words)
@@ -72,9 +78,9 @@ def statistics(text: bytes | None) -> tuple[list[int], list[float]]:
     dup = len(lines) - len(set(lines))
     repeated = repeated_words(ids)
     least = max(n, 1)
-    capitals, marks = (len(joined) - len(joined.translate(None, x)) for x in (UPPER, MARKS))
-    shares = [symbols / least, capitals / max(chars, 1), float((ids[1:] == ids[:-1]).sum()) / least, marks / least]
-    features = [round(x / STEP) * STEP for x in shares]
+    marks = len(joined) - len(joined.translate(None, MARKS))
+    often = [float(np.log1p(20 * x / least)) for x in (symbols, int((ids[1:] == ids[:-1]).sum()), marks)]
+    features = [*often, chars / least, distinct_share(ids)]
     return [n, chars, symbols, dup, repeated], features
 
 
@@ -158,7 +164,7 @@ def labelled_statistics(docs: DataFrame, known: Labels, id_col: str, text_col: s
     return np.array([r[1] for r in rows], float).reshape(len(rows), len(statistics(None)[1])), known.good[at], known.fit[at]
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_labels: int = 20_000, trees: int = 100, sample: int = 256, reject_clean: float = 0.003, seed: int = 5) -> Forest | None:
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_labels: int = 20_000, trees: int = 200, sample: int = 64, reject_clean: float = 0.003, seed: int = 5) -> Forest | None:
     """The forest with its limit, or None if no good row is labelled."""
     x, good, fitting = labelled_statistics(docs, labelled(labels, max_labels), id_col, text_col)
     held = good & ~fitting
