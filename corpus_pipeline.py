@@ -26,7 +26,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out lines that too many of a source's documents share, but for one of them; then drops documents whose clean
     text is similar to another's by 0.8 or more (the next stage drops only what is within 4 bits, as op5 does)."""
-    return similar.keep_one(saved(recounted(line_dedup.drop_boilerplate(docs))))
+    return similar.keep_one(saved(recounted(line_dedup.drop_boilerplate(docs, whole_copies=True))))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
