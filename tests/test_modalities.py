@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from veriframe.operators import modalities as X
 from veriframe.operators import report as R
 from veriframe.operators import sequence as S
+from veriframe.operators.checks import Registry, aggregation, graded
 
 MEDIA = "volunteer_id string, data_type string, filename string, extension string, readable boolean, meta_reason string, width int, height int, fps double, duration_sec double, frame_count int, channel_count int, is_color boolean"
 FACE = "filename string, frame_index int, timestamp_sec double, face_detected boolean, message string, yaw double, pitch double, head string, face_width int, face_height int, blink_left double, blink_right double, luma double, sharpness double, skin map<string, double>"
@@ -55,7 +56,7 @@ def test_several_faces_cut_the_video_off(spark):
 
 
 def test_frame_checks_and_gaps(spark):
-    rows = found(X.face_rows(media(spark, "a"), face_frames(spark, "a", "FFFLGGFFFG"), S.Protocol()))
+    rows = found(X.face_rows(media(spark, "a"), face_frames(spark, "a", "FFFLGGFFFG"), X.FacePolicy(turns=S.Protocol())))
     by = {(c, i): (s, t) for c, s, t, i in rows}
     assert by["check_face_size", 0] == ("PASS", "frame=0 face=200x220 >= 180x180")
     assert by["check_eyes_open", 0] == ("PASS", "frame=0 eyes open (blinkL=0.10, blinkR=0.20 < 0.5)")
@@ -97,15 +98,139 @@ def test_palm_spread(spark):
     assert got.w.status == "SKIP"
 
 
+WALK = "path string, frame_index int, ok boolean, message string, box struct<x:double,y:double,w:double,h:double>, missing array<string>, outside array<string>, height double, luma double, sharpness double, blur_luma double, contrast double, objects array<struct<cls_id:int,cls_name:string,conf:double,x:double,y:double,w:double,h:double>>, foot_y double, body_scale double, centroid_x double, view string, error string, lacks map<string,string>"
+BOX = (100.0, 100.0, 50.0, 200.0)
+
+
+def walk_frame(path, k, n=15, **other):
+    scale = 0.3 + 0.05 * min(k, n - 1 - k)
+    row = {"path": path, "frame_index": k, "ok": True, "message": None, "box": BOX, "missing": [], "outside": [], "height": 0.6, "luma": 10.0, "sharpness": 50.0, "blur_luma": 100.0, "contrast": 9.0, "objects": [], "foot_y": None,
+           "body_scale": scale, "centroid_x": 0.5, "view": "F", "error": None, "lacks": None} | other
+    return tuple(row.values())
+
+
+def nobody(message="No poses detected"):
+    return {"ok": False, "message": message, "box": None, "body_scale": None, "centroid_x": None, "missing": None, "outside": None, "height": None}
+
+
+def walked(spark, frames, p=X.WalkPolicy(), **kind):
+    files = media(spark, *sorted({f[0] for f in frames} or {"w"}), kind="walk_F", **kind)
+    return found(X.walk_rows(files, spark.createDataFrame(frames, WALK), p))
+
+
 def test_walk(spark):
-    frames = spark.createDataFrame(
-        [("w", k, k != 5, None if k != 5 else "No poses detected", [], ["left_foot"] if k == 2 else [], 0.6, 10.0 if k < 9 else 100.0, (0.3 + 0.05 * min(k, 14 - k)) if k != 5 else None, 0.5, "F") for k in range(15)],
-        "filename string, frame_index int, ok boolean, message string, missing array<string>, outside array<string>, height double, luma double, body_scale double, centroid_x double, view string")
-    rows = X.walk_rows(media(spark, "w", kind="walk_F"), frames)
-    by = {(c, i): (s, t) for c, s, t, i in found(rows)}
+    frames = [walk_frame("w", k, **(nobody() if k == 5 else {}), **({"outside": ["left_foot"]} if k == 2 else {})) for k in range(15)]
+    rows = walked(spark, frames)
+    by = {(c, i): (s, t) for c, s, t, i in rows}
     assert by["check_body_height", 0] == ("PASS", "frame=0 body_height=0.60 >= 0.50") and by["check_person_detected", 5] == ("FAIL", "frame=5 No poses detected")
     assert by["check_person_fully", 2] == ("FAIL", "frame=2 person not fully visible (out of frame: left_foot)")
-    assert by["check_brightness", 1][1] == "frame=1 brightness=10 < 35; walk_pass (dark)" and by["check_brightness", 10][0] == "FAIL"
-    assert by["check_walk_direction", None][0] == "PASS"
-    summary = {r.check_name: r.final_status for r in R.summarize_by_check(rows).collect()}
-    assert summary["check_person_detected"] == "FAIL" and summary["frames_sampled"] == "PASS"
+    # a frame without a person fails what can't be seen there
+    assert by["check_person_fully", 5] == by["check_person_blur", 5] == ("FAIL", "frame=5 No poses detected")
+    assert by["check_occlusion", 5] == ("PASS", "frame=5 no objects detected") and by["check_walk_direction", None][0] == "PASS" and not any(c == "check_brightness" for c, _ in by)
+    assert by["check_person_blur", 1] == ("PASS", "frame=1 sharpness=50.0 threshold=35.0; luma=100.0; contrast=9.0; method=tenengrad_clahe; bbox=(100, 100, 50, 200)")
+    lit = {(c, i): (s, t) for c, s, t, i in walked(spark, frames, X.WalkPolicy(brightness=True))}
+    assert lit["check_brightness", 1] == ("PASS", "brightness=10 < 35; walk_pass (dark)") and lit["check_brightness", 5] == ("FAIL", "no pose: No poses detected")
+
+
+def test_walk_body_height(spark):
+    height = lambda rows: [r for r in rows if r[0] == "check_body_height"]
+    late = [walk_frame("w", k) for k in range(3, 15)]  # the first frame that decodes isn't number 0
+    assert height(walked(spark, late)) == [("check_body_height", "PASS", "frame=3 body_height=0.60 >= 0.50", 3)]
+    assert height(walked(spark, [walk_frame("w", 0, **nobody())])) == [("check_body_height", "FAIL", "frame=0 no pose: No poses detected", 0)]
+    assert found(X.walk_rows(media(spark, "w", kind="walk_F"), spark.createDataFrame([], WALK)))[:1] == [("check_body_height", "SKIP", "no frames decoded", None)]
+    unread = walked(spark, late, readable=False)
+    assert {(c, s, t) for c, s, t, _ in unread} == {(c, "SKIP", "video not readable: cannot open") for c in ("check_container", "check_fps", "check_duration", "check_resolution", "check_body_height")}
+    short = walked(spark, late, seconds=2.0)
+    assert height(short) == [("check_body_height", "SKIP", "fail-fast: check_duration FAILed; height not measured", None)] and len(short) == 6
+    lost = walked(spark, [walk_frame("w", 0, error="OSError: gone"), walk_frame("w", 6)])
+    assert [r for r in lost if r[3] is None and r[1] == "SKIP"] == [("check_body_height", "SKIP", "could not read first frame: OSError: gone", None)] and len(lost) == 5
+
+
+def test_walk_stops_before_a_broken_frame(spark):
+    rows = walked(spark, [walk_frame("w", k, **({"error": "OSError: gone"} if k == 9 else {})) for k in range(15)])
+    assert ("frames_sampled", "PASS", "sampled 9 frames", None) in rows and max(r[3] or 0 for r in rows) == 8
+
+
+def test_walk_several_people_in_both_modes(spark):
+    frames = [walk_frame("w", k, **(nobody("Multiple persons detected: 2") if k in (4, 6) else {})) for k in range(15)]
+    fast, slow = walked(spark, frames), walked(spark, frames, X.WalkPolicy(fail_fast=False))
+    alone = ("check_single_person", "FAIL", "frame=4 multiple persons in frame: Multiple persons detected: 2; gait films one walker -> video FAIL", 4)
+    for rows, n in ((fast, 5), (slow, 15)):
+        assert [r for r in rows if r[0] == "check_single_person"] == [alone] and len([r for r in rows if r[0] == "check_person_detected"]) == n
+        assert ("frames_sampled", "PASS", f"sampled {n} frames", None) in rows
+    assert not any(r[0] == "check_walk_direction" for r in fast) and any(r[0] == "check_walk_direction" for r in slow)
+
+
+def first_frames(spark, check, **cases):
+    """The verdict on one frame of each case, in one run."""
+    files = media(spark, *cases, kind="walk_F").withColumn("path", F.col("filename"))
+    rows = X.walk_rows(files, spark.createDataFrame([walk_frame(name, 0, **c) for name, c in cases.items()], WALK)).where(F.col("check_name") == check)
+    return {r.filename: (r.status, r.reason.removeprefix("frame=0 ")) for r in rows.collect()}
+
+
+def test_walk_occlusion(spark):
+    chair, far, person = (56, "chair", 0.9, 120.0, 250.0, 40.0, 60.0), (58, "plant", 0.8, 400.0, 0.0, 10.0, 10.0), (0, "person", 0.7, 390.0, 0.0, 60.0, 100.0)
+    got = first_frames(
+        spark, "check_occlusion", over={"objects": [chair, far]}, apart={"objects": [far]}, faint={"objects": [(56, "chair", 0.59, *chair[3:])]}, person={"objects": [person]},
+        nobody={"objects": [far], **nobody()}, other={"objects": [far, person], **nobody()}, low={"objects": [chair], "view": "S"}, high={"objects": [chair], "view": "S", "foot_y": 200.0},
+        lacking={"objects": [chair], "lacks": {"objects": "occlusion detector inactive"}}, many={"objects": [(k, f"c{k}", 0.61 + k / 100, *chair[3:]) for k in range(1, 8)]})
+    assert got == {
+        "over": ("FAIL", "obstructing objects: chair (0.90)"), "apart": ("PASS", "1 object(s) present but none overlaps person"), "faint": ("PASS", "only person present"), "person": ("PASS", "only person present"),
+        "nobody": ("FAIL", "foreign objects (no person box to clear): plant (0.80)"), "other": ("FAIL", "obstructing objects: plant (0.80)"), "low": ("FAIL", "foot-level objects: chair (0.90)"),
+        "high": ("PASS", "1 object(s) present but none at foot level"), "lacking": ("SKIP", "occlusion detector inactive"), "many": ("FAIL", "obstructing objects: c7 (0.68), c6 (0.67), c5 (0.66), c4 (0.65), c3 (0.64), +2 more"),
+    }
+
+
+def test_walk_blur_is_three_valued(spark):
+    got = first_frames(spark, "check_person_blur", blurred={"sharpness": 20.0}, dark={"blur_luma": 30.0}, flat={"contrast": 3.0}, none={"sharpness": None})
+    assert got["blurred"][0] == "FAIL" and got["dark"] == ("SKIP", "blur not judged: face too dark; luma=30.0 < 35.0")
+    assert got["flat"] == ("SKIP", "blur not judged: too little local contrast; contrast=3.0 < 4.0") and got["none"][0] == "SKIP"
+
+
+def test_files_of_one_name_do_not_mix(spark):
+    files = media(spark, "a").withColumn("path", F.lit("/one/a")).union(media(spark, "a").withColumn("path", F.lit("/two/a")))
+    frames = face_frames(spark, "a", "FFF").withColumn("path", F.lit("/one/a")).union(face_frames(spark, "a", "FFF").withColumn("path", F.lit("/two/a")))
+    rows = X.face_rows(files, frames).groupBy("path", "check_name").count().collect()
+    assert {r["count"] for r in rows if r.check_name in X.FACE_FRAME.checks} == {3} and {r["count"] for r in rows if r.check_name in X.FACE_FILE.checks} == {1}
+    assert len({r.path for r in rows}) == 2
+
+
+def test_slow_mode_judges_all_frames(spark):
+    """Off-spec files and several faces are recorded, and nothing stops."""
+    frames = face_frames(spark, "a", "GGGGG", "Multiple faces detected (2)")
+    rows = found(X.face_rows(media(spark, "a", seconds=2.0), frames, X.FacePolicy(fail_fast=False)))
+    assert [r[1] for r in rows if r[0] == "check_face_detected"] == ["FAIL"] * 5 and ("check_duration", "FAIL", "duration=2.0 < 40", None) in rows
+    assert not any("fail-fast" in r[2] for r in rows) and ("frames_sampled", "PASS", "sampled 5 frames", None) in rows and not any(r[0].startswith("check_turn") for r in rows)
+
+
+def test_errors_become_rows(spark):
+    broken = media(spark, "a").withColumn("error", F.lit("ValueError:\n bad " + "x" * 400))
+    rows = found(X.face_rows(broken, face_frames(spark, "a", "FFF")))
+    assert [(r[0], r[1]) for r in rows] == [("processing_error", "FAIL")] and rows[0][2].startswith("ValueError: bad xx") and len(rows[0][2]) == 300
+    midway = face_frames(spark, "a", "FFF").withColumn("error", F.when(F.col("frame_index") == 2, "RuntimeError: lost"))
+    assert found(X.face_rows(media(spark, "a"), midway)) == [("processing_error", "FAIL", "RuntimeError: lost", None)]
+    assert {r.final_status for r in R.summarize_overall(R.summarize_by_check(X.face_rows(broken, face_frames(spark, "a", "F")))).collect()} == {"FAIL"}
+
+
+def test_a_further_check_is_one_entry(spark):
+    extra = Registry("frame", framed=True)
+    for c in X.FACE_FRAME:
+        extra.checks[c.name] = c
+    extra.check("check_tilt", needs="pose", fail_ratio=0.1)(lambda p: graded(F.when(F.col("roll").isNotNull(), F.abs("roll") < 10), "roll=", F.col("roll").cast("string")))
+    frames = spark.createDataFrame([("a", 0, 5.0, None), ("a", 1, 20.0, None), ("a", 2, 1.0, {"pose": "no model"})], "path string, frame_index int, roll double, lacks map<string,string>")
+    only = Registry("frame", framed=True)
+    only.checks["check_tilt"] = extra.checks["check_tilt"]
+    rows = only.open(frames, None, ["path"], seq=F.lit(0).cast("long"), frame_index=F.col("frame_index")).orderBy("frame_index").collect()
+    assert [(r.status, r.reason) for r in rows] == [("PASS", "frame=0 roll=5.0"), ("FAIL", "frame=1 roll=20.0"), ("SKIP", "frame=2 no model")]
+    assert aggregation(extra).per_check == {"check_face_detected": 0.0, "check_tilt": 0.1}
+    with pytest.raises(ValueError):
+        extra.check("check_tilt")(lambda p: None)
+
+
+def test_plan_of_face_rows(spark, tmp_path):
+    """Frames are scanned and shuffled twice at most: for the frame checks and for the timeline."""
+    face_frames(spark, "a", "FFF").withColumn("path", F.lit("a")).write.parquet(f"{tmp_path}/frames")
+    plan = X.face_rows(media(spark, "a"), spark.read.parquet(f"{tmp_path}/frames"))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") <= 2
+    whole = X.face_rows(media(spark, "a"), spark.read.parquet(f"{tmp_path}/frames"))._jdf.queryExecution().executedPlan().toString()
+    assert sum("hashpartitioning(path" in line and "frame" in line for line in whole.split("\n")) <= 2 and "CartesianProduct" not in whole

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from veriframe.functions.status import FAIL, PASS
+from veriframe.functions.status import FAIL, PASS, said
 
 FRAME = ["filename", "frame_index"]
 PERSON = 0
@@ -53,3 +53,38 @@ def occlusion(det: DataFrame, **options) -> DataFrame:
     frames = det.select(*FRAME).distinct().join(found, FRAME, "left")
     bad = F.coalesce(F.col("unclear") | (F.col("n_hits") > 0), F.lit(False))
     return frames.select(*FRAME, F.coalesce("n_foreign", F.lit(0)).alias("n_foreign"), F.coalesce("n_hits", F.lit(0)).alias("n_hits"), F.when(bad, FAIL).otherwise(PASS).alias("status"))
+
+
+# The same on one frame's objects as an array, of which a frame has few: no join
+
+
+def best_person(objects: Column) -> Column:
+    """The box (struct<x, y, w, h>) of the most confident person, the first on ties; null without one."""
+    people = F.filter(F.transform(objects, lambda o, i: F.struct((-o["conf"]).alias("order"), i.alias("i"), o["cls_id"].alias("cls_id"), F.struct(*(o[c].alias(c) for c in "xywh")).alias("box"))), lambda o: o["cls_id"] == PERSON)
+    return F.array_min(people)["box"]
+
+
+def ranked_said(objects: Column, most: int = 5) -> Column:
+    """"name (confidence), ..." of the classes by their best confidence, first seen first on ties, and how many more there are."""
+    names = F.array_distinct(F.transform(objects, lambda o: o["cls_name"]))
+    best = lambda n: F.array_max(F.transform(F.filter(objects, lambda o: o["cls_name"] == n), lambda o: o["conf"]))
+    ranked = F.array_sort(F.transform(names, lambda n, i: F.struct((-best(n)).alias("order"), i.alias("i"), n.alias("name"))))
+    shown = F.transform(F.slice(ranked, 1, most), lambda r: F.concat(r["name"], F.lit(" ("), F.format_string("%.2f", -r["order"]), F.lit(")")))
+    more = F.when(F.size(names) > most, F.array(F.concat(F.lit("+"), (F.size(names) - most).cast("string"), F.lit(" more")))).otherwise(F.array().cast("array<string>"))
+    return F.array_join(F.concat(shown, more), ", ")
+
+
+def occlusion_said(objects: Column, person: Column, side: Column, foot_line: Column, *, conf: float = 0.6, allowed: tuple[int, ...] = (PERSON,), foot_ratio: float = 0.1) -> Column:
+    """The verdict on a frame's objects: fails if one is in the person's way (side views: its lower edge near the feet; else: it overlaps the
+    person), or if there is no person to clear it of."""
+    foreign = F.filter(objects, lambda o: (o["conf"] >= conf) & ~o["cls_id"].isin(*allowed))
+    line = F.coalesce(foot_line, person["y"] + person["h"])
+    low = F.filter(foreign, lambda o: in_foot_band(o["y"] + o["h"], line, person["h"], foot_ratio))
+    over = F.filter(foreign, lambda o: boxes_overlap(tuple(o[c] for c in "xywh"), tuple(person[c] for c in "xywh")))
+    n = F.concat(F.size(foreign).cast("string"), F.lit(" object(s) present but none "))
+    return (
+        F.when(F.coalesce(F.size(objects), F.lit(0)) <= 0, said(PASS, "no objects detected")).when(F.size(foreign) == 0, said(PASS, "only person present"))
+        .when(person.isNull(), said(FAIL, "foreign objects (no person box to clear): ", ranked_said(foreign)))
+        .when(side, F.when(F.size(low) == 0, said(PASS, n, "at foot level")).otherwise(said(FAIL, "foot-level objects: ", ranked_said(low))))
+        .when(F.size(over) == 0, said(PASS, n, "overlaps person")).otherwise(said(FAIL, "obstructing objects: ", ranked_said(over)))
+    )

@@ -80,7 +80,7 @@ def is_walk() -> Column:
 def metadata_rows(media: DataFrame, face: Limits = FACE, walk: Limits = WALK) -> DataFrame:
     """A row per file and metadata check. An unreadable walk file skips all four; an unreadable face file is graded."""
     unreadable = is_walk() & ~F.coalesce("readable", F.lit(False))
-    skip = verdict(SKIP, "unreadable video")
+    skip = verdict(SKIP, "video not readable: ", F.coalesce("meta_reason", F.lit("")))
     each = [F.struct(F.lit(n).alias("check_name"), F.when(unreadable, skip).when(is_walk(), rule(walk)).otherwise(rule(face)).alias("v"), F.lit(k + 1).cast("long").alias("row_seq")) for k, (n, rule) in enumerate(RULES.items())]
     rows = media.select("volunteer_id", "data_type", "filename", F.explode(F.array(*each)).alias("x"))
     return rows.select("volunteer_id", "data_type", "filename", F.lit("video").alias("level"), "x.check_name", "x.v.status", "x.v.reason", F.lit(None).cast("int").alias("frame_index"), "x.row_seq")

@@ -145,7 +145,11 @@ def tally(rows: DataFrame) -> DataFrame:
     return rows.groupBy("check_name", "status").count().withColumnRenamed("count", "n")
 
 
+def error_text(error: Column, most: int = 300) -> Column:
+    return F.left(F.trim(F.regexp_replace(error, r"\s+", " ")), F.lit(most))
+
+
 def error_rows(failures: DataFrame, most: int = 300) -> DataFrame:
     """A FAIL row for each file whose processing broke off; failures: FILE columns and ``error``."""
-    text = F.left(F.trim(F.regexp_replace("error", r"\s+", " ")), F.lit(most))
+    text = error_text(F.col("error"), most)
     return failures.select(*FILE, F.lit("video").alias("level"), F.lit("processing_error").alias("check_name"), F.lit(FAIL).alias("status"), text.alias("reason"), F.lit(None).cast("int").alias("frame_index"), F.lit(1).cast("long").alias("row_seq"))

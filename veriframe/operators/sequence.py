@@ -1,17 +1,19 @@
 """Sequences: turn protocols of faces and walking directions.
 
 Runs of equal labels are found by gaps and islands (one window per file) and everything after works on runs, of which a
-file has few. Only the bridging of short flickers, where each change can enable the next, is a fold; it runs
-over the runs of one file at a time, in Arrow batches of sorted partitions.
+file has few. Only the bridging of short flickers, where each change can enable the next, is a fold; runs longer than a flicker never
+change, so it is folded between two such runs at a time.
+
+``key`` names the column that tells files apart. Data that is partitioned by it already stays where it is.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -70,23 +72,35 @@ def labelled(timeline: DataFrame, p: Protocol = Protocol()) -> DataFrame:
     return timeline.withColumn("label", label(p))
 
 
-def runs_of(frames: DataFrame, order: str = "frame_index", *, sizes: Column | None = None) -> DataFrame:
-    """(filename, first, last, n, label): maximal runs of equal labels in order."""
-    by = W.Window.partitionBy("filename").orderBy(order)
+def runs_of(frames: DataFrame, order: str = "frame_index", *, sizes: Column | None = None, key: str = "filename", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, first, last, n, label): maximal runs of equal labels in order. carry: columns of which a run keeps the greatest value."""
+    by = W.Window.partitionBy(key).orderBy(order)
     fresh = F.coalesce((F.col("label") != F.lag("label").over(by)).cast("int"), F.lit(1))
     marked = frames.withColumn("__new", fresh).withColumn("__run", F.sum("__new").over(by))
     end = F.col("last") if "last" in frames.columns else F.col(order)
-    return marked.groupBy("filename", "__run").agg(F.min(order).alias("first"), F.max(end).alias("last"), F.sum(F.lit(1) if sizes is None else sizes).alias("n"), F.first("label").alias("label")).drop("__run")
+    found = [F.min(order).alias("first"), F.max(end).alias("last"), F.sum(F.lit(1) if sizes is None else sizes).alias("n"), F.first("label").alias("label")]
+    return marked.groupBy(key, "__run").agg(*found, *(F.max(c).alias(c) for c in carry)).drop("__run")
 
 
-def absorbed(runs: DataFrame) -> DataFrame:
-    """Runs with ``own``, their label, and ``label``: a gap takes the turn label if its neighbours have exactly one."""
-    by = W.Window.partitionBy("filename").orderBy("first")
-    a, b = F.lag("label").over(by), F.lead("label").over(by)
+def sole_turn(before: Column, after: Column) -> Column:
+    """The turn that labels before and after a gap tell of: there must be exactly one, else null."""
     turn = lambda x: F.when(x.isin(*TURNS), x)
-    before, after = turn(a), turn(b)
-    one = F.when(before.isNull(), after).when(after.isNull() | (before == after), before)
-    return runs.withColumn("own", F.col("label")).withColumn("near", one).withColumn("label", F.when((F.col("own") == GAP) & F.col("near").isNotNull(), F.col("near")).otherwise(F.col("own"))).drop("near")
+    a, b = turn(before), turn(after)
+    return F.when(a.isNull(), b).when(b.isNull() | (a == b), a)
+
+
+def absorbed(runs: DataFrame, *, key: str = "filename") -> DataFrame:
+    """Runs with ``own``, their label, and ``label``: a gap takes the turn label if its neighbours have exactly one."""
+    by = W.Window.partitionBy(key).orderBy("first")
+    near = sole_turn(F.lag("label").over(by), F.lead("label").over(by))
+    return runs.withColumn("own", F.col("label")).withColumn("near", near).withColumn("label", F.when((F.col("own") == GAP) & F.col("near").isNotNull(), F.col("near")).otherwise(F.col("own"))).drop("near")
+
+
+def gap_turn(order: str = "frame_index", *, key: str = "filename") -> Column:
+    """Of labelled frames: the turn that explains a frame without a face, or null; as `gap_frames`, in place."""
+    seen = F.when(F.col("label") != GAP, F.col("label"))
+    last = lambda *o: F.last(seen, ignorenulls=True).over(W.Window.partitionBy(key).orderBy(*o).rowsBetween(W.Window.unboundedPreceding, -1))
+    return F.when(F.col("label") == GAP, sole_turn(last(order), last(F.desc(order))))
 
 
 def bridge(labels: list[str], sizes: list[int], most: int) -> list[str]:
@@ -115,48 +129,46 @@ def bridge(labels: list[str], sizes: list[int], most: int) -> list[str]:
     return [labels[o] for o in owner]
 
 
-def bridged(runs: DataFrame, most: int) -> DataFrame:
-    """runs with bridged labels: one pass over partitions in the order of files and runs, which holds the runs of one file at a time."""
-    runs = runs.select("filename", "first", "last", "n", "label")
-    schema = runs.schema
+def bridged(runs: DataFrame, most: int, *, key: str = "filename") -> DataFrame:
+    """runs with bridged labels. A run of more than ``most`` frames keeps its label and shields what is on either side of it, so a file is
+    cut into sections, each from one such run to the next, and each section is a row and is folded for itself."""
+    by = W.Window.partitionBy(key).orderBy("first")
+    long = F.col("n") > most
+    sections = runs.withColumn("section", F.sum(long.cast("int")).over(by)).groupBy(key, "section").agg(F.array_sort(F.collect_list(F.struct(*(c for c in runs.columns if c != key)))).alias("rows"))
+    ahead = F.lead(F.col("rows")[0]).over(W.Window.partitionBy(key).orderBy("section"))
+    sections = sections.withColumn("all", F.when(ahead.isNull(), F.col("rows")).otherwise(F.concat("rows", F.array(ahead))))
+
+    @F.pandas_udf("array<string>")
+    def fold(labels: pd.Series, sizes: pd.Series) -> pd.Series:
+        return pd.Series([fold_equal(list(a), list(b), most) for a, b in zip(labels, sizes, strict=True)])
+
+    single = F.size("rows") == 1  # nothing to fold
+    folded = F.when(single, F.transform("rows", lambda r: r["label"])).otherwise(fold(F.transform("all", lambda r: r["label"]), F.transform("all", lambda r: r["n"])))
+    out = sections.select(key, F.explode(F.arrays_zip("rows", F.slice(folded, 1, F.size("rows")).alias("to"))).alias("x"))
+    return out.select(*(F.col("x.to").alias(c) if c == "label" else F.col(c) if c == key else F.col(f"x.rows.{c}") for c in runs.columns))
+
+
+def fold_equal(labels: list[str], sizes: list[int], most: int) -> list[str]:
+    """`bridge`, of runs whose neighbours may have equal labels."""
+    joined: list[list] = []
+    place = []
+    for label, n in zip(labels, sizes, strict=True):
+        if joined and joined[-1][0] == label:
+            joined[-1][1] += n
+        else:
+            joined.append([label, n])
+        place.append(len(joined) - 1)
+    out = bridge([x for x, _ in joined], [n for _, n in joined], most)
+    return [out[k] for k in place]
 
-    def of_file(rows: list[tuple]) -> list[tuple]:
-        groups: list[list] = []
-        place = []
-        for *_, n, label in rows:
-            if groups and groups[-1][0] == label:
-                groups[-1][1] += n
-            else:
-                groups.append([label, n])
-            place.append(len(groups) - 1)
-        labels = bridge([g[0] for g in groups], [g[1] for g in groups], most)
-        return [(*r[:4], labels[k]) for r, k in zip(rows, place, strict=True)]
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds: list[pa.DataType] = []
-        rows: list[tuple] = []
-        as_batch = lambda done: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)], names=schema.names)
-        for batch in batches:
-            kinds, done = [c.type for c in batch.columns], []
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if rows and rows[-1][0] != row[0]:
-                    done += of_file(rows)
-                    rows = []
-                rows.append(row)
-            if done:
-                yield as_batch(done)
-        if rows:
-            yield as_batch(of_file(rows))
-
-    return runs.repartition("filename").sortWithinPartitions("filename", "first").mapInArrow(fold, schema)
-
-
-def segments(timeline: DataFrame, p: Protocol = Protocol(), *, bridging: bool = True) -> DataFrame:
-    """(filename, first, last, n, label) after gaps are absorbed and flickers bridged."""
-    runs = absorbed(runs_of(labelled(timeline, p))).select("filename", "first", "last", "n", "label")
+
+def segments(timeline: DataFrame, p: Protocol = Protocol(), *, bridging: bool = True, key: str = "filename", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, first, last, n, label) after gaps are absorbed and flickers bridged."""
+    columns = [key, "first", "last", "n", "label", *carry]
+    runs = absorbed(runs_of(labelled(timeline, p), key=key, carry=carry), key=key).select(*columns)
     if bridging:
-        runs = bridged(runs_of(runs, "first", sizes=F.col("n")), p.flicker)
-    return runs_of(runs, "first", sizes=F.col("n"))
+        runs = bridged(runs_of(runs, "first", sizes=F.col("n"), key=key, carry=carry).select(*columns), p.flicker, key=key)
+    return runs_of(runs, "first", sizes=F.col("n"), key=key, carry=carry)
 
 
 def spine(segs: DataFrame) -> DataFrame:
@@ -206,9 +218,9 @@ def order_match(spines: DataFrame, p: Protocol = Protocol()) -> DataFrame:
     return fitted(files.withColumn("labels", F.transform("items", lambda x: x["label"])), p)
 
 
-def spined(segs: DataFrame) -> DataFrame:
-    """(filename, segs, items, labels): a row per file with its segments and its spine (as `spine`) as arrays, from one aggregation."""
-    files = segs.groupBy("filename").agg(F.array_sort(F.collect_list(F.struct("first", "last", "n", "label"))).alias("segs"))
+def spined(segs: DataFrame, *, key: str = "filename", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, n_frames, segs, items, labels): a row per file with its segments and its spine (as `spine`) as arrays, from one aggregation."""
+    files = segs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("first", "last", "n", "label"))).alias("segs"), F.sum("n").alias("n_frames"), *(F.max(c).alias(c) for c in carry))
     files = files.withColumn("held", F.filter("segs", lambda x: x["label"].isin(FRONT, *TURNS)))
     at = lambda i: F.get("held", i)
     fresh = F.filter(F.sequence(F.lit(0), F.size("held") - 1), lambda i: (i == 0) | (at(i)["label"] != at(i - 1)["label"]))
@@ -220,21 +232,25 @@ def spined(segs: DataFrame) -> DataFrame:
         return F.struct(at(i)["first"].alias("first"), at(end - 1)["last"].alias("last"), total.alias("n"), at(i)["label"].alias("label"))
 
     files = files.withColumn("items", F.transform("starts", joined))
-    return files.select("filename", "segs", "items", F.transform("items", lambda x: x["label"]).alias("labels"))
+    return files.select(key, "n_frames", "segs", "items", F.transform("items", lambda x: x["label"]).alias("labels"), *carry)
 
 
-def turn_verdicts(timeline: DataFrame, p: Protocol = Protocol(), *, bridging: bool = True, confirm: Callable[[Column], Column] = lambda gap: F.lit(False)) -> DataFrame:
-    """(filename, check_name, status, reason): the front, four direction and sequence verdicts of each file.
+def turn_facts(timeline: DataFrame, p: Protocol = Protocol(), *, bridging: bool = True, key: str = "filename", carry: tuple[str, ...] = ()) -> DataFrame:
+    """A row per file with what `turn_checks` reads. Places count sampled frames from 0."""
+    by = W.Window.partitionBy(key).orderBy("frame_index")
+    placed = timeline.withColumns({"frame_index": F.row_number().over(by) - 1, "any_front": F.coalesce(label(p) == FRONT, F.lit(False))})
+    carry = ("any_front", *carry)
+    return fitted(spined(segments(placed, p, bridging=bridging, key=key, carry=carry), key=key, carry=carry), p)
 
-    Places in reasons count sampled frames from 0. confirm: whether a gap (struct<first, last, n, label>, in such places) is known
-    to be a turn; the sequence of a file with other gaps in its scope isn't confirmed.
+
+def turn_checks(p: Protocol = Protocol(), *, confirm: Callable[[Column], Column] = lambda gap: F.lit(False)) -> dict[str, Column]:
+    """The verdicts (struct<status, reason>) of a row of `turn_facts`: the front, four directions and the sequence.
+
+    confirm: whether a gap (struct<first, last, n, label>) is known to be a turn; the sequence of a file with other gaps in its scope
+    isn't confirmed.
     """
-    by = W.Window.partitionBy("filename").orderBy("frame_index")
-    placed = timeline.withColumn("frame_index", F.row_number().over(by) - 1)
-    fronts_seen = labelled(timeline, p).groupBy("filename").agg(F.max(F.col("label") == FRONT).alias("any_front"))
-    files = fitted(fronts_seen.join(spined(segments(placed, p, bridging=bridging)), "filename"), p)
     fits, text = F.col("order").isNotNull(), lambda x: x.cast("string")
-    files = files.withColumn("fronts", F.filter(F.when(fits, F.slice("items", F.col("start") + 1, F.col("size"))).otherwise(F.col("items")), lambda x: x["label"] == FRONT))
+    fronts = F.filter(F.when(fits, F.slice("items", F.col("start") + 1, F.col("size"))).otherwise(F.col("items")), lambda x: x["label"] == FRONT)
     held = lambda n: F.format_string("%.1fs", F.bround(n / p.fps, 1))
     first_or = lambda i, a, b: F.when(i == 0, a).otherwise(b)
     role = lambda i: F.when(i == 0, "initial").otherwise(F.concat(F.lit("return#"), text(i)))
@@ -242,16 +258,16 @@ def turn_verdicts(timeline: DataFrame, p: Protocol = Protocol(), *, bridging: bo
 
     counts = {k: collapsed(o).count(FRONT) for k, o in p.orders.items()}
     expected = F.coalesce(*(F.when(F.col("order") == k, n) for k, n in counts.items()), F.lit(max(counts.values(), default=0)))
-    few = F.when(F.size("fronts") < expected, F.concat(F.lit("expected "), text(expected), F.lit(" front holds, found "), text(F.size("fronts"))))
+    few = F.when(F.size(fronts) < expected, F.concat(F.lit("expected "), text(expected), F.lit(" front holds, found "), text(F.size(fronts))))
     too_short = lambda x, i: F.when(
         x["n"] < first_or(i, p.frames(p.front_initial), p.frames(p.hold)),
         F.concat(role(i), F.lit(" front too short at segment "), text(x["first"]), F.lit(":"), text(x["last"]), F.lit(": "), held(x["n"]), F.lit(" < "), least(i)),
     )
-    faults = F.concat_ws("; ", few, F.array_compact(F.transform("fronts", too_short)))
-    holds = F.array_join(F.transform("fronts", lambda x, i: F.concat(role(i), F.lit("="), held(x["n"]), F.lit(" >= "), least(i))), "; ")
+    faults = F.concat_ws("; ", few, F.array_compact(F.transform(fronts, too_short)))
+    holds = F.array_join(F.transform(fronts, lambda x, i: F.concat(role(i), F.lit("="), held(x["n"]), F.lit(" >= "), least(i))), "; ")
     scope = F.when(fits, F.concat(F.lit("matched '"), "order", F.lit("' window"))).otherwise("observed sequence")
     front = (
-        F.when(F.size("fronts") == 0, said(FAIL, "front turn-hold check failed; no front hold segment found"))
+        F.when(F.size(fronts) == 0, said(FAIL, "front turn-hold check failed; no front hold segment found"))
         .when(faults != "", said(p.short_policy, "front hold check failed in ", scope, ": ", faults)).otherwise(said(PASS, "front holds ok in ", scope, ": ", holds))
     )
 
@@ -280,8 +296,13 @@ def turn_verdicts(timeline: DataFrame, p: Protocol = Protocol(), *, bridging: bo
 
     unseen = {"check_turn_front": "front hold cannot be validated; no front-facing frame found", **{f"check_turn_{d}": f"{d} turn cannot be validated; no front-facing frame found" for d in TURNS}, "check_turn_sequence": "no front-facing frame anywhere; cannot validate turn sequence"}
     whole = {"check_turn_front": front, **{f"check_turn_{d}": direction(d) for d in TURNS}, "check_turn_sequence": sequence}
-    rows = F.array(*(F.struct(F.lit(k).alias("check_name"), F.when(F.col("any_front"), v).otherwise(said(FAIL, unseen[k])).alias("v")) for k, v in whole.items()))
-    return files.select("filename", F.explode(rows).alias("x")).select("filename", "x.check_name", "x.v.status", "x.v.reason")
+    return {k: F.when(F.col("any_front"), v).otherwise(said(FAIL, unseen[k])) for k, v in whole.items()}
+
+
+def turn_verdicts(timeline: DataFrame, p: Protocol = Protocol(), *, bridging: bool = True, **options) -> DataFrame:
+    """(filename, check_name, status, reason): the front, four direction and sequence verdicts of each file."""
+    rows = F.array(*(F.struct(F.lit(k).alias("check_name"), v.alias("v")) for k, v in turn_checks(p, **options).items()))
+    return turn_facts(timeline, p, bridging=bridging).select("filename", F.explode(rows).alias("x")).select("filename", "x.check_name", "x.v.status", "x.v.reason")
 
 
 def presence_verdicts(timeline: DataFrame, p: Protocol = Protocol()) -> DataFrame:
@@ -323,25 +344,25 @@ def presence_verdicts(timeline: DataFrame, p: Protocol = Protocol()) -> DataFram
 # Walking: phases of a signal that rises and falls
 
 
-def smoothed(signal: DataFrame, window: int = 5) -> DataFrame:
-    """(filename, frame_index, value, smooth): the mean over window // 2 rows on each side, cut at the ends."""
-    by = W.Window.partitionBy("filename").orderBy("frame_index")
+def smoothed(signal: DataFrame, window: int = 5, *, key: str = "filename") -> DataFrame:
+    """(key, frame_index, value, smooth): the mean over window // 2 rows on each side, cut at the ends."""
+    by = W.Window.partitionBy(key).orderBy("frame_index")
     half = window // 2
-    count = F.count("*").over(W.Window.partitionBy("filename"))
+    count = F.count("*").over(W.Window.partitionBy(key))
     mean = F.avg("value").over(by.rowsBetween(-half, half))
     return signal.withColumn("smooth", F.when((F.lit(window) <= 1) | (count < window), F.col("value")).otherwise(mean))
 
 
-def polarity(smooth: DataFrame, eps: float = 0.002) -> DataFrame:
-    """(filename, frame_index, sign) of each step to the next row: 1 above eps, -1 below -eps, else 0."""
-    step = F.lead("smooth").over(W.Window.partitionBy("filename").orderBy("frame_index")) - F.col("smooth")
-    return smooth.withColumn("step", step).where("step is not null").select("filename", "frame_index", F.when(F.col("step") > eps, 1).when(F.col("step") < -eps, -1).otherwise(0).alias("sign"))
+def polarity(smooth: DataFrame, eps: float = 0.002, *, key: str = "filename") -> DataFrame:
+    """(key, frame_index, sign) of each step to the next row: 1 above eps, -1 below -eps, else 0."""
+    step = F.lead("smooth").over(W.Window.partitionBy(key).orderBy("frame_index")) - F.col("smooth")
+    return smooth.withColumn("step", step).where("step is not null").select(key, "frame_index", F.when(F.col("step") > eps, 1).when(F.col("step") < -eps, -1).otherwise(0).alias("sign"))
 
 
-def phases(signs: DataFrame, min_run: int = 3) -> DataFrame:
-    """(filename, first, last, n, label): sustained rises and falls ("1", "-1"), equal neighbours joined."""
-    runs = runs_of(signs.withColumn("label", F.col("sign").cast("string")))
-    return runs_of(runs.where((F.col("label") != "0") & (F.col("n") >= min_run)), "first", sizes=F.col("n"))
+def phases(signs: DataFrame, min_run: int = 3, *, key: str = "filename") -> DataFrame:
+    """(key, first, last, n, label): sustained rises and falls ("1", "-1"), equal neighbours joined."""
+    runs = runs_of(signs.withColumn("label", F.col("sign").cast("string")), key=key)
+    return runs_of(runs.where((F.col("label") != "0") & (F.col("n") >= min_run)), "first", sizes=F.col("n"), key=key)
 
 
 def has_sustained_run(signs: DataFrame, target: int, min_run: int = 3) -> DataFrame:
@@ -354,20 +375,30 @@ def accepts(first: Column, n: Column, required_first: Column) -> Column:
     return ((n >= 2) & (first == required_first)) | (n >= 3)
 
 
-def walk_direction(timeline: DataFrame, *, window: int = 5, min_run: int = 3, eps: float = 0.002, min_frames: int = 8) -> DataFrame:
-    """(filename, n_usable, n_phases, status, reason). Front views must grow, then shrink; side views go left to right, then back."""
-    value = F.when(F.col("view") == "F", F.col("body_scale")).when(F.col("view") == "S", F.col("centroid_x"))
-    signal = timeline.select("filename", "frame_index", value.alias("value")).where("value is not null")
-    found = phases(polarity(smoothed(signal, window), eps), min_run).groupBy("filename").agg(F.array_sort(F.collect_list(F.struct("first", "label"))).alias("phases"))
-    files = timeline.groupBy("filename").agg(F.max("view").alias("view"), F.count(value).alias("n_usable")).join(found, "filename", "left")
-    n, front = F.when(F.col("phases").isNull(), 0).otherwise(F.size("phases")).cast("long"), F.col("view") == "F"
+def walk_phases(timeline: DataFrame, *, window: int = 5, min_run: int = 3, eps: float = 0.002, key: str = "filename") -> DataFrame:
+    """(key, phases: array of struct<first, label>) of the files that have any. timeline: key, frame_index, value (of which some may be null)."""
+    signal = timeline.select(key, "frame_index", "value").where("value is not null")
+    return phases(polarity(smoothed(signal, window, key=key), eps, key=key), min_run, key=key).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("first", "label"))).alias("phases"))
+
+
+def walk_signal() -> Column:
+    return F.when(F.col("view") == "F", F.col("body_scale")).when(F.col("view") == "S", F.col("centroid_x"))
+
+
+def n_phases() -> Column:
+    return F.when(F.col("phases").isNull(), 0).otherwise(F.size("phases")).cast("long")
+
+
+def direction_said(min_frames: int = 8) -> Column:
+    """The verdict of a row with view, n_usable and phases. Front views must grow, then shrink; side views go left to right, then back."""
+    n, front = n_phases(), F.col("view") == "F"
     lead = F.get("phases", F.lit(0))["label"]
     name = lambda x: F.when(front, F.when(x == "1", "approach (growing)").otherwise("recede (shrinking)")).otherwise(F.when(x == "1", "move right (=>)").otherwise("move left (<=)"))
     seen = F.array_join(F.transform("phases", lambda x: name(x["label"])), " then ")
     want = F.when(front, "approach (growing) then recede (shrinking)").otherwise("move left (<=) then move right (=>)")
     course = F.when(front, "toward-then-away").otherwise("left-then-right")
     failed = lambda *why: said(FAIL, F.col("view"), ": ", course, " FAIL; ", *why)
-    verdict = (
+    return (
         F.when(~F.coalesce(F.col("view").isin("F", "S"), F.lit(False)), said(FAIL, "unknown view '", F.coalesce("view", F.lit("None")), "'; cannot judge walk direction"))
         .when(F.col("n_usable") < min_frames, said(FAIL, F.col("view"), ": only ", F.col("n_usable").cast("string"), f" usable frame(s) < {min_frames}; too short to verify ", course))
         .when(n == 0, failed("no sustained direction detected"))
@@ -375,7 +406,13 @@ def walk_direction(timeline: DataFrame, *, window: int = 5, min_run: int = 3, ep
         .when(n == 1, failed("only one phase (", name(lead), "); a there-and-back (", want, ") was not completed"))
         .otherwise(failed("reversed order (got ", seen, "); spec requires ", want))  # phases alternate, so two that don't fit are reversed
     )
-    return files.select("filename", "n_usable", n.alias("n_phases"), verdict.alias("v")).select("filename", "n_usable", "n_phases", "v.status", "v.reason")
+
+
+def walk_direction(timeline: DataFrame, *, min_frames: int = 8, **options) -> DataFrame:
+    """(filename, n_usable, n_phases, status, reason)."""
+    timeline = timeline.withColumn("value", walk_signal())
+    files = timeline.groupBy("filename").agg(F.max("view").alias("view"), F.count("value").alias("n_usable")).join(walk_phases(timeline, **options), "filename", "left")
+    return files.select("filename", "n_usable", n_phases().alias("n_phases"), direction_said(min_frames).alias("v")).select("filename", "n_usable", "n_phases", "v.status", "v.reason")
 
 
 def isolated_points(timeline: DataFrame, column: str) -> DataFrame:

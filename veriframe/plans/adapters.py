@@ -100,17 +100,26 @@ TIMELINE = VIEWS["v_timeline"][1]
 REGIONS = ("forehead", "left_eye", "right_eye", "nose", "mouth", "left_cheek", "right_cheek")
 SKIN = ", ".join(f"case when (frame_index + {k}) % 9 <> 0 then cast((frame_index * {k + 1}) % 11 as double) / 10 end as skin_{r}" for k, r in enumerate(REGIONS))
 MEDIA = """
-select 'u' || cast(user_id as string) as filename, cast(user_id as string) as volunteer_id, '{kind}' as data_type, 'u' || cast(user_id as string) as path, case when user_id % 17 = 0 then '.mov' else '.mp4' end as extension,
+select 'u' || cast(user_id as string) || '.mp4' as filename, cast(user_id as string) as volunteer_id, '{kind}' as data_type, 'u' || cast(user_id as string) as path, case when user_id % 17 = 0 then '.mov' else '.mp4' end as extension,
   user_id % 19 <> 0 as readable, case when user_id % 19 = 0 then 'cannot open' else 'ok' end as meta_reason, 1920 as width, 1080 as height, cast(30 as double) as fps, cast({least} - 1 + user_id % 13 as double) as duration_sec,
-  cast(100 as int) as frame_count, 3 as channel_count, true as is_color
+  cast(100 as int) as frame_count, 3 as channel_count, true as is_color, case when user_id % 23 = 5 then 'ValueError:  bad   header' end as error
 from (select distinct user_id from {{events}}) users"""
 VIEWS |= {
     # what a face detector finds in each frame of the timeline, and the files that the frames are of; the same for walks
     "v_face_obs": ("events", f"""
-select filename, volunteer_id, frame_index, timestamp_sec, face_detected, yaw, pitch, case when not face_detected then case when frame_index % 50 = 49 then 'Multiple faces detected: 2' else 'No faces detected' end end as message,
+select filename, filename as path, volunteer_id, frame_index, timestamp_sec, face_detected, yaw, pitch, case when not face_detected then case when frame_index % 50 = 49 then 'Multiple faces detected: 2' else 'No faces detected' end end as message,
   case when frame_index % 23 = 0 then 'Chin might be cut' else 'Head is fully visible' end as head, 150 + frame_index % 90 as face_width, 170 + frame_index % 70 as face_height, cast(frame_index % 10 as double) / 10 as blink_left,
-  cast(frame_index % 7 as double) / 10 as blink_right, cast(frame_index * 7 % 256 as double) as luma, case when frame_index % 13 <> 0 then cast(frame_index % 120 as double) end as sharpness, {SKIN}
+  cast(frame_index % 7 as double) / 10 as blink_right, case when frame_index % 37 <> 5 then cast(frame_index * 7 % 256 as double) end as luma, case when frame_index % 13 <> 0 then cast(frame_index % 120 as double) end as sharpness,
+  case when frame_index = 30 and cast(volunteer_id as int) % 31 = 7 then 'RuntimeError: lost frame' end as error, {SKIN}
 from ({TIMELINE}) timeline"""),
+    "v_walk_obs": ("events", f"""
+select filename, filename as path, view, frame_index, body_scale, centroid_x, brightness as luma, body_scale is not null as ok,
+  case when body_scale is null then case when frame_index % 40 = 39 then 'Multiple persons detected: 2' else 'No poses detected' end end as message,
+  body_scale as height, cast(100 + frame_index % 50 as double) as box_x, cast(120 as double) as box_y, cast(80 as double) as box_w, cast(200 + frame_index % 30 as double) as box_h,
+  case when frame_index % 5 <> 0 and body_scale is not null then cast(310 + frame_index % 30 as double) end as foot_y, case when frame_index % 29 <> 8 then cast(frame_index % 90 as double) end as sharpness,
+  cast(20 + frame_index % 100 as double) as blur_luma, cast(frame_index % 31 as double) as contrast,
+  case when frame_index = 25 and cast(substring(filename, 2, 10) as int) % 11 = 3 or frame_index = 0 and cast(substring(filename, 2, 10) as int) % 29 = 6 then 'RuntimeError: lost frame' end as error
+from ({VIEWS["v_walk"][1]}) walks"""),
     "v_face_media": ("events", MEDIA.format(kind="face_rgb", least=40)),
     "v_walk_media": ("events", MEDIA.format(kind="walk_F", least=15)),
 }

@@ -32,7 +32,7 @@ QUERIES = {
     "p7_check_container": one("check_container"), "p8_check_fps": one("check_fps"), "p9_check_duration": one("check_duration"), "p10_check_resolution": one("check_resolution"),
     "p13_fail_fast": lambda s, d: M.fail_fast_rows(rows(s, d)), "j5_p13_passing_gate": lambda s, d: M.passing_gate(media(s, d), rows(s, d)).select("filename", "data_type"), "p14_frames_sampled": lambda s, d: M.frames_sampled(media(s, d), frames(s, d)),
     "p15_w19_truncate": lambda s, d: M.truncate_at_first(frames(s, d), multi()), "p16_single_person": lambda s, d: M.single_person(frames(s, d), multi()), "p17_unreadable": lambda s, d: M.unreadable_rows(media(s, d)),
-    "p17_metadata_rows": lambda s, d: rows(s, d).drop("frame_index", "reason"), "s10_sample_grid": lambda s, d: M.sample_grid(media(s, d), max_frames=40), "o8_even_stride": lambda s, d: M.sample_grid(media(s, d), sample_fps=60, first=False, last=False, max_frames=25),
+    "p17_metadata_rows": lambda s, d: rows(s, d).drop("frame_index"), "s10_sample_grid": lambda s, d: M.sample_grid(media(s, d), max_frames=40), "o8_even_stride": lambda s, d: M.sample_grid(media(s, d), sample_fps=60, first=False, last=False, max_frames=25),
 }
 
 
@@ -49,7 +49,7 @@ def chosen(name: str) -> str:
             size = "'resolution=' || width || 'x' || height"
             return f"case when width is null or height is null then row('FAIL', 'resolution unknown (cannot verify against spec)') when width >= {m.min_width} and height >= {m.min_height} then row('PASS', {size} || ' >= {m.min_width}x{m.min_height}') else row('FAIL', {size} || ' < {m.min_width}x{m.min_height}') end"
         return f"case when not readable then row('FAIL', 'unreadable: ' || meta_reason) when extension <> '{m.extension}' then row('FAIL', 'extension=' || extension || ' != {m.extension}') when channel_count is null or channel_count < 3 then row('FAIL', 'channel count unknown (cannot verify RGB)') when not is_color then row('FAIL', 'grayscale content (channels identical; not true RGB)') else row('PASS', 'container ok (' || extension || ', ' || channel_count || ' channels)') end"
-    return f"select volunteer_id, data_type, filename, '{name}' check_name, v[1] status, v[2] reason, {list(M.RULES).index(name) + 1}::bigint row_seq from (select *, case when data_type like 'walk%' and not readable then row('SKIP', 'unreadable video') when data_type like 'walk%' then {rule(M.WALK)} else {rule(M.FACE)} end v from v_media)"
+    return f"select volunteer_id, data_type, filename, '{name}' check_name, v[1] status, v[2] reason, {list(M.RULES).index(name) + 1}::bigint row_seq from (select *, case when data_type like 'walk%' and not readable then row('SKIP', 'video not readable: ' || meta_reason) when data_type like 'walk%' then {rule(M.WALK)} else {rule(M.FACE)} end v from v_media)"
 
 
 ALL = ", rws as (" + " union all ".join(chosen(n) for n in M.RULES) + ")"
@@ -73,6 +73,6 @@ ORACLE_SQL = {
     "p15_w19_truncate": sql(" select filename, frame_index from mf qualify frame_index <= coalesce(min(frame_index) filter (multi) over (partition by filename), 1000000)"),
     "p16_single_person": sql(" select filename, 'check_single_person' check_name, 'FAIL' status, min(frame_index) frame_index from mf where multi group by 1"),
     "p17_unreadable": sql(" select volunteer_id, data_type, filename, 'frame_checks' check_name, 'SKIP' status, 'unreadable: ' || meta_reason reason from v_media where not readable"),
-    "p17_metadata_rows": sql(" select volunteer_id, data_type, filename, 'video' as level, check_name, status, row_seq from rws"),
+    "p17_metadata_rows": sql(" select volunteer_id, data_type, filename, 'video' as level, check_name, status, reason, row_seq from rws"),
     "s10_sample_grid": grid(5, "[0, frame_count - 1]", 40), "o8_even_stride": grid(60, "[]", 25),
 }

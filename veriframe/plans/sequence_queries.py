@@ -76,6 +76,24 @@ SPINE = SEGS + islands("spine", f"select * from segs where label in ('front', 'l
 GAPS = ABSORBED + ", gaps as (select filename, unnest(range(first, last + 1))::int frame_index, direction from (select filename, first, last, case when label <> 'gap' then label end direction from ab where own = 'gap'))"
 
 
+def folded(name: str, source: str, most: int = 1) -> str:
+    """name: the runs of source (filename, first, last, n, label), bridged and joined. Each step of the recursion goes once over a file's runs
+    from left to right: a run takes its left neighbour's label, if that is its right neighbour's, too, and joins runs of its label."""
+    stable = "('front', 'left', 'right', 'down', 'up')"
+    ahead = "list_transform(rs, lambda x, i: [struct_pack(f := x.f, l := x.l, n := x.n, label := x.label, ahead := rs[i + 1].label)])"
+    flicker = f"y[1].n <= {most} and acc[-1].label = y[1].ahead and acc[-1].label <> y[1].label and acc[-1].label in {stable}"
+    to = f"case when {flicker} then acc[-1].label else y[1].label end"
+    joined = "list_concat(acc[:-2], [struct_pack(f := acc[-1].f, l := y[1].l, n := acc[-1].n + y[1].n, label := acc[-1].label, ahead := y[1].ahead)])"
+    added = f"list_concat(acc, [struct_pack(f := y[1].f, l := y[1].l, n := y[1].n, label := {to}, ahead := y[1].ahead)])"
+    once = f"list_reduce({ahead}, lambda acc, y: case when acc[-1].label = {to} then {joined} else {added} end)"
+    bare = "list_transform({}, lambda x: struct_pack(f := x.f, l := x.l, n := x.n, label := x.label))"
+    return f""", {name}_steps as (
+  select filename, list(struct_pack(f := first, l := last, n := n, label := label) order by first) rs, 0 step, true again from ({source}) group by filename
+  union all
+  select filename, {bare.format("new")}, step + 1, len(new) < len(rs) from (select *, {once} new from {name}_steps where again)),
+{name} as (select filename, r.f as first, r.l as last, r.n::bigint as n, r.label as label from (select filename, unnest(rs) r from {name}_steps where not again))"""
+
+
 def match(p) -> str:
     out = []
     for k, (name, order) in enumerate(p.orders.items()):
@@ -89,6 +107,10 @@ def match(p) -> str:
     return f", mt as (select filename, items, labels, {names} as ord, coalesce({', '.join(p_ for _, p_, *_ in out)}) as start, {sizes} as size, {counts} as expected from files)"
 
 
+JOINED = islands("segs_plain", "select filename, label, first, last, n from ab")
+BRIDGED = ABSORBED + JOINED + folded("segs", "select filename, first, last, n, label from segs_plain")
+#: The runs as they are, with the label of the bridged run that each is in.
+BRIDGED_RUNS = RUNS + folded("whole", "select filename, first, last, n, label from runs") + ", br as (select r.filename, r.first, r.last, r.n, w.label as label from runs r join whole w on r.filename = w.filename and r.first between w.first and w.last)"
 #: Reasons count sampled frames, so frames are numbered by their place.
 PLACED = SPINE.replace("from v_timeline)", "from (select * replace ((row_number() over (partition by filename order by frame_index) - 1)::int as frame_index) from v_timeline))", 1)
 #: At one frame a second, held frames are held seconds.
@@ -110,6 +132,43 @@ def turn(d: str) -> str:
     return f"{{'check_name': 'check_turn_{d}', 'v': case when not any_front then ['FAIL', '{d} turn cannot be validated; no front-facing frame found'] when {d[0]} is null then ['FAIL', '{d} turn not detected'] {seen} end}}"
 
 
+def spine_of(segs: str) -> str:
+    return segs + islands("spine", "select * from segs where label in ('front', 'left', 'right', 'down', 'up')") + ", files as (select filename, list(struct_pack(first := first, last := last, n := n, label := label) order by first) items, list(label order by first) labels from spine group by 1)"
+
+
+def exact_verdicts(placed: str) -> str:
+    """vd: the verdicts by the default protocol, which takes whole sequences and fails what doesn't fit. placed: up to `segs` and `lab`."""
+    need, role = "case when i = 1 then '5.0s' else '2.0s' end", "case when i = 1 then 'initial' else 'return#' || (i - 1) end"
+    spec, other = "front -> left -> front -> right -> front -> down -> front -> up -> front", "front -> left -> front -> right -> front -> up -> front -> down -> front"
+    orders = {"spec": spec, "audio_prompt": other}
+    name = "case array_to_string(labels, ' -> ') " + " ".join(f"when '{o}' then '{k}'" for k, o in orders.items()) + " end"
+    accepted = "; ".join(f"{k}: {o}" for k, o in orders.items())
+    scope = "case when ord is null then 'observed sequence' else 'matched ''' || ord || ''' window' end"
+    turns = ",\n ".join(
+        f"{{'check_name': 'check_turn_{d}', 'v': case when not any_front then ['FAIL', '{d} turn cannot be validated; no front-facing frame found'] when n_{d} is null then ['FAIL', '{d} turn not detected'] "
+        f"when n_{d} >= 2 then ['PASS', '{d} detected; hold=' || printf('%.1fs', n_{d}::double) || ' >= 2.0s'] else ['FAIL', '{d} detected but hold too short: ' || printf('%.1fs', n_{d}::double) || ' < 2.0s'] end}}" for d in S.TURNS)
+    return spine_of(placed) + f""",
+ex_facts as (select filename, {", ".join(f"max(n) filter (label = '{d}') n_{d}" for d in S.TURNS)}, count(*) filter (label = 'gap') n_gaps from segs group by 1),
+ex_front as (select filename, bool_or(label = 'front') any_front from lab group by 1),
+ex as (select *, {name} ord, list_filter(coalesce(items, []), lambda x: x.label = 'front') fr from ex_front left join ex_facts using (filename) left join files using (filename)),
+ex_faults as (select *, list_concat(
+  case when len(fr) < 5 then ['expected 5 front holds, found ' || len(fr)] else [] end,
+  list_filter(list_transform(fr, lambda x, i: case when x.n < case when i = 1 then 5 else 2 end
+    then {role} || ' front too short at segment ' || x.first || ':' || x.last || ': ' || printf('%.1fs', x.n::double) || ' < ' || {need} end), lambda x: x is not null)) faults from ex),
+ex_each as (select filename, unnest([
+ {{'check_name': 'check_turn_front', 'v': case when not any_front then ['FAIL', 'front hold cannot be validated; no front-facing frame found']
+  when len(fr) = 0 then ['FAIL', 'front turn-hold check failed; no front hold segment found']
+  when len(faults) > 0 then ['FAIL', 'front hold check failed in ' || {scope} || ': ' || array_to_string(faults, '; ')]
+  else ['PASS', 'front holds ok in ' || {scope} || ': ' || array_to_string(list_transform(fr, lambda x, i: {role} || '=' || printf('%.1fs', x.n::double) || ' >= ' || {need}), '; ')] end}},
+ {turns},
+ {{'check_name': 'check_turn_sequence', 'v': case when not any_front then ['FAIL', 'no front-facing frame anywhere; cannot validate turn sequence']
+  when ord is null then ['FAIL', 'sequence order mismatch in exact mode; observed: ' || case when len(coalesce(labels, [])) = 0 then 'none' else array_to_string(labels, ' -> ') end || '; accepted: {accepted}; no extra prefix/suffix labels allowed']
+  else [case when n_gaps > 0 then 'FAIL' else 'PASS' end, 'accepted sequence found: ''' || ord || ''' using exact at observed window 0:' || len(labels) || '; matched: ' || array_to_string(labels, ' -> ')
+    || case when n_gaps > 0 then '; but whole observed sequence contains an unconfirmed gap' else '; observed: ' || array_to_string(labels, ' -> ') end] end}}], recursive := true) from ex_faults),
+vd as (select filename, check_name, v[1] status, v[2] reason from ex_each)"""
+
+
+FRAMES_PLACED = "from (select * replace ((row_number() over (partition by filename order by frame_index) - 1)::int as frame_index) from v_timeline))"
 VERDICTS = PLACED + match(LOOSE) + f""", facts as (select filename, max(n) filter (label = 'left') l, max(n) filter (label = 'right') r, max(n) filter (label = 'down') d, max(n) filter (label = 'up') u, list(struct_pack(first := first, last := last)) filter (label = 'gap') gaps from segs group by 1),
 af as (select filename, bool_or(label = 'front') any_front from lab group by 1),
 al as (select a.filename, any_front, l, r, d, u, coalesce(gaps, []) gaps, ord, expected, items, labels, start, size, list_filter(case when ord is not null then items[start + 1:start + size] else coalesce(items, []) end, lambda x: x.label = 'front') fr from af a left join facts using (filename) left join mt using (filename)),
@@ -159,6 +218,7 @@ def w(tail: str) -> str:
 ORACLE_SQL = {
     "c4_classify_frame": t(LABEL + " select filename, frame_index, label from lab"), "w1_absorb_gaps": t(ABSORBED + " select * from ab"), "w3_segments": t(SEGS + " select * from segs"), "w4_gap_split": t(GAPS + " select * from gaps"),
     "w4_j6_restatus": t(GAPS + " select v.filename, v.frame_index, case when g.frame_index is null then case when face_detected then 'PASS' else 'SKIP' end when direction is not null then 'SKIP' else 'FAIL' end status, case when face_detected then 'ok' else 'No faces' end || case when g.frame_index is null then '' when direction is not null then '; expected gap (peak of ' || direction || ' turn)' else '; unexpected gap (no adjacent turn evidence)' end reason from v_timeline v left join gaps g on v.filename = g.filename and v.frame_index = g.frame_index"),
+    "w2_bridge_flickers": t(BRIDGED_RUNS + " select * from br"), "w3_segments_bridged": t(BRIDGED + " select * from segs"), "w9_turn_verdicts": t(exact_verdicts(BRIDGED.replace("from v_timeline)", FRAMES_PLACED, 1)) + " select * from vd"),
     "w5_spine": t(SPINE + " select * from spine"), "w6_order_match_exact": t(SPINE + match(P) + ' select filename, labels, ord as "order", start::int start from mt'), "w6_order_match_contiguous": t(SPINE + match(LOOSE) + ' select filename, labels, ord as "order", start::int start from mt'),
     "w7_front_rows": t(VERDICTS + " select * from vd where check_name like '%front'"), "w8_direction_rows": t(VERDICTS + " select * from vd where check_name not like '%front' and check_name not like '%sequence'"), "w9_w10_sequence_row": t(VERDICTS + " select * from vd where check_name like '%sequence'"),
     "w11_presence": t(PRESENCE + " select * from px where status is not null"),
