@@ -11,6 +11,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import yaml
@@ -20,6 +21,8 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from veriframe.functions import pixels
+
 MEDIA_SCHEMA = "path string, filename string, extension string, readable boolean, width int, height int, fps double, frame_count int, duration_sec double, codec_fourcc string, channel_count int, is_color boolean, meta_reason string"
 FRAME_SCHEMA = "path string, frame_index int, timestamp_sec double, timestamp_ms bigint, height int, width int, data binary, reason string"
 
@@ -30,6 +33,17 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return files.select("path", "length", F.xxhash64("path").alias("walk_seq"))
 
 
+def known_color(good: F.Column) -> F.Column:
+    """Whether a still's pixels have colour: null where it wasn't decoded, false for one channel."""
+
+    @F.pandas_udf("boolean")
+    def colored(height: pd.Series, width: pd.Series, channels: pd.Series, data: pd.Series) -> pd.Series:
+        shaped = (np.frombuffer(d, np.uint8).reshape(h, w, c)[..., :3] if c >= 3 else None for h, w, c, d in zip(height, width, channels, data, strict=True))
+        return pd.Series([x is not None and bool(pixels.channels_differ(x)) for x in shaped])
+
+    return F.when(good, colored("height", "width", "nChannels", "data"))
+
+
 def probe_images(spark: SparkSession, root: str) -> DataFrame:
     """Metadata of stills by Spark's image source; files that don't decode are unreadable."""
     images = spark.read.format("image").option("recursiveFileLookup", True).option("dropInvalid", False).load(root).select("image.*")
@@ -39,7 +53,7 @@ def probe_images(spark: SparkSession, root: str) -> DataFrame:
     return images.select(
         F.col("origin").alias("path"), name.alias("filename"), F.concat(F.lit("."), F.lower(F.substring_index(name, ".", -1))).alias("extension"), good.alias("readable"),
         known("width").alias("width"), known("height").alias("height"), F.lit(None).cast("double").alias("fps"), F.lit(None).cast("int").alias("frame_count"), F.lit(None).cast("double").alias("duration_sec"),
-        F.lit(None).cast("string").alias("codec_fourcc"), known("nChannels").alias("channel_count"), F.col("data"), F.when(good, "ok").otherwise("cannot decode").alias("meta_reason"),
+        F.lit(None).cast("string").alias("codec_fourcc"), known("nChannels").alias("channel_count"), known_color(good).alias("is_color"), F.col("data"), F.when(good, "ok").otherwise("cannot decode").alias("meta_reason"),
     )
 
 
@@ -168,6 +182,50 @@ def detect(frames: DataFrame, backend: Callable[[], Callable[[pd.DataFrame], pd.
     return (frames.where("data is not null") if "data" in frames.columns else frames).mapInPandas(run, schema)
 
 
+def observe(frames: DataFrame, backend: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]], schema: str, capability: str, *, skips: bool = True) -> DataFrame:
+    """Observations as `detect` makes them, with an error arm: no frame is lost, and no error ends the job.
+
+    The result has the columns of schema (``path`` and ``frame_index`` among them), ``error`` and ``lacks``:
+
+    * a frame that wasn't decoded (``reason``) keeps its place, with the reason as its error;
+    * a detector that can't be made (no model bundle, no library) leaves ``lacks`` = {capability: "<capability> model bundle unavailable"};
+    * one that fails on a batch is asked again for ever smaller parts of it, and a single frame that it fails on has
+      {capability: "<capability> detection error: ..."}, or, if ``skips`` is false, that text as its error.
+    """
+    whole = T.StructType([*T.StructType.fromDDL(schema), *T.StructType.fromDDL("error string, lacks map<string,string>")])
+    arrow, names = to_arrow_schema(whole), T.StructType.fromDDL(schema).names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        detector, missing = None, None
+        try:
+            detector = backend()
+        except (ImportError, FileNotFoundError):
+            missing = f"{capability} model bundle unavailable"
+
+        def bare(rows: pd.DataFrame, **more) -> list[dict]:
+            return [{c: r[c] for c in ("path", "frame_index")} | more for r in rows[["path", "frame_index"]].to_dict("records")]
+
+        def seen(rows: pd.DataFrame) -> list[dict]:
+            try:
+                return detector(rows)[names].to_dict("records")
+            except Exception as e:  # noqa: BLE001  what a detector can't do is a finding
+                if len(rows) > 1:
+                    half = len(rows) // 2
+                    return seen(rows.iloc[:half]) + seen(rows.iloc[half:])
+                text = " ".join(f"{capability} detection error: {type(e).__name__}: {e}".split())[:300]
+                return bare(rows, lacks=[(capability, text)]) if skips else bare(rows, error=text)
+
+        for batch in batches:
+            rows = batch.to_pandas()
+            undecoded = rows["data"].isna() if "data" in rows else pd.Series(False, rows.index)
+            out = [x | {"error": why} for why, x in zip(rows[undecoded].get("reason", []), bare(rows[undecoded]), strict=True)]
+            out += bare(rows[~undecoded], lacks=[(capability, missing)]) if missing else seen(rows[~undecoded]) if (~undecoded).any() else []
+            clean = [{k: None if isinstance(v, float) and pd.isna(v) else v for k, v in r.items()} for r in out]
+            yield pa.RecordBatch.from_pylist(clean, arrow)
+
+    return frames.mapInArrow(run, whole)
+
+
 class FrameSource(DataSource):
     """``spark.read.format("frames")``: a partition per path of the option ``paths`` (newline-separated), read by the
     backend ``module:function`` in the option ``backend``."""

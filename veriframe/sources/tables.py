@@ -27,8 +27,8 @@ def read_all_summary(spark: SparkSession, path: str) -> DataFrame:
     """The records of a summary; a missing or broken file has none."""
     schema = T.StructType.fromDDL(ALL_SUMMARY_SCHEMA)
     try:
-        df = spark.read.schema(T.StructType([*schema, T.StructField("_broken", T.StringType())])).option("columnNameOfCorruptRecord", "_broken").json(path, multiLine=True).cache()
-        return df.where(F.col("_broken").isNull() & F.col("filename").isNotNull()).drop("_broken")
+        # a record that can't be read is null in all columns; its text isn't asked for, so nothing has to be cached
+        return spark.read.schema(schema).json(path, multiLine=True, mode="PERMISSIVE").where(F.col("filename").isNotNull())
     except AnalysisException:
         return spark.createDataFrame([], schema)
 
