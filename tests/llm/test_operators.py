@@ -369,6 +369,38 @@ def test_forest_paths():
         assert abs(score - 2 ** (-total / 20 / quality_rules.mean_path(64))) < 1e-12
 
 
+@pytest.mark.parametrize("bits", [1, 7, 13, 14, 22, 40])
+def test_simhash_places_lose_no_pair(bits):
+    """Two fingerprints within 4 bits agree in a place, whatever the number of bits."""
+    rng = np.random.default_rng(bits)
+    masks = simhash.places(bits)
+    for _ in range(300):
+        flips = np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, 4, replace=False).astype(np.uint64))
+        assert ((flips & masks) == 0).any()
+
+
+def test_simhash_close_pairs():
+    """The index against all pairs, within one list and between two, with close groups, and its counts."""
+    rng = np.random.default_rng(2)
+
+    def listed(n):
+        base = rng.integers(0, 1 << 63, n, np.uint64)
+        near = base[: n // 3] ^ (np.uint64(1) << rng.integers(0, 64, n // 3).astype(np.uint64))
+        both = np.unique(np.concatenate([base, near]))
+        rank = both.copy()
+        for shift in (1, 2, 4, 8, 16, 32):
+            rank ^= rank >> np.uint64(shift)
+        return both[np.argsort(rank)]
+
+    for n, m in ((3, 1), (40, 17), (3000, 2000)):
+        a, b = listed(n), listed(m)
+        b = np.unique(np.concatenate([b, a[: m // 2] ^ np.uint64(5)]))
+        far = np.bitwise_count(a[:, None] ^ a[None, :])
+        assert set(zip(*(x.tolist() for x in simhash.close_pairs(a)), strict=True)) == {(i, j) for i, j in zip(*np.nonzero(far <= 4), strict=True) if i < j}
+        far = np.bitwise_count(a[:, None] ^ b[None, :])
+        assert set(zip(*(x.tolist() for x in simhash.close_pairs(a, b)), strict=True)) == set(zip(*(x.tolist() for x in np.nonzero(far <= 4)), strict=True))
+
+
 def test_url_filter_long_urls(spark):
     """Work grows with a URL's length, not with its square."""
     rows = [(k, f"https://a.org/{'path/' * n}x") for k, n in enumerate((20_000, 20_000, 1, 2))] + [(4, "https://b.com/de/" + "y" * 100_000), (5, "no scheme " * 10_000)]

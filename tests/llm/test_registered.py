@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tests.llm.test_operators import brute_fingerprint, brute_groups, brute_hits
-from veriframe.llm import bpe, decontam, importance, quality_rules
+from veriframe.llm import bpe, decontam, importance, quality_rules, simhash
 from veriframe.llm.common import WORD, ascii_lower, table
 from veriframe.llm.queries import QUERIES
 
@@ -109,3 +109,27 @@ def test_op3_finds_bad_rows(spark):
     bad = [rows[i] for i, q in labels.items() if q == 0 and i in rows and not rows[i].base_failed]
     good = [rows[i] for i, q in labels.items() if q == 1 and i in rows and not rows[i].base_failed]
     assert sum(not r.kept for r in bad) >= 0.98 * len(bad) and sum(not r.kept for r in good) <= 0.006 * len(good)
+
+
+def test_op5_against_all_rows(spark):
+    """Every document that the query set (ids divisible by 50) is within 4 bits of is in its group; the index prunes most of its nodes."""
+    rows = QUERIES["op5_simhash"](spark, "/root/testdata/sf0.1").collect()
+    ids, groups = np.array([r.doc_id for r in rows]), np.array([r.component_id for r in rows])
+    fps = np.array([int(r.fingerprint, 16) for r in rows], np.uint64)
+    for k in np.flatnonzero(ids % 50 == 0):
+        near = np.bitwise_count(fps ^ fps[k]) <= 4
+        assert (groups[near] == groups[k]).all()
+    distinct, bits = np.unique(fps), simhash.bits_for(len(np.unique(fps)))
+    rank = distinct.copy()
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(shift)
+    ordered = distinct[np.argsort(rank)]
+    seen, pairs = {}, 0
+    for mask in simhash.places(bits):
+        keys = ordered & np.uint64(mask)
+        for key in np.unique(keys):
+            bucket = ordered[keys == key]
+            pairs += len(bucket) * (len(bucket) - 1) // 2
+            simhash.close_pairs(bucket, seen=seen)
+    print(f"op5 on sf0.1: {len(distinct)} fingerprints, {bits} bits a field, {pairs} pairs in buckets; nodes' pairs opened {seen['opened']}, pruned {seen['pruned']}; fingerprints compared {seen['compared']}")
+    assert seen["pruned"] > 0 and seen["compared"] < pairs

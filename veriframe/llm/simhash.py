@@ -4,12 +4,13 @@ Each text becomes a 64-bit fingerprint. Fingerprints within ``DISTANCE`` (4) bit
 by links form a group, named by its smallest id. No link between different fingerprints is missed:
 
 1. Equal fingerprints are collapsed to one row first (partial aggregation), so copies cost nothing more.
-2. The 64 bits are cut into 6 fields. Two fingerprints that differ in 4 bits or fewer agree in 2 fields at least, so
-   each fingerprint is filed under its 15 pairs of fields; a link is taken from the first pair that it agrees in.
-3. All filed rows are sorted by (pair, fields, Gray rank) over range partitions, so a crowded bucket is spread over tasks. In
-   Gray order neighbours share most bits: consecutive rows form leaf groups, and these form upper nodes,
-   each with the bits that all its fingerprints share (mask and value). Two nodes whose shared bits already differ
-   in more than 4 places are pruned with everything below them.
+2. For distribution alone, fingerprints are filed under bits that two within 4 must agree in somewhere: of 64 bits in 5 fields they
+   agree in one field, of 6 fields in two. Of these fields the lowest bits are taken, as many as leave about ``SHARE`` fingerprints in a bucket; up
+   to 13 bits come from single fields (5 rows a fingerprint), more from pairs (15). A link is taken from the first place that agrees.
+3. All filed rows are sorted by (field, bits, Gray rank) over range partitions, so a crowded bucket is spread over tasks. Each bucket is an
+   index: in Gray order neighbours share most bits, so consecutive rows form leaf groups, these form upper nodes, and so on up,
+   each with the bits that all its fingerprints share (mask and value). The search starts from pairs of the topmost nodes. Two nodes whose shared
+   bits already differ in more than 4 places are pruned with everything below them; others are opened, down to the fingerprints.
 4. Buckets within one partition are searched there. What may cross a partition's border, or is larger
    than ``CHUNK`` rows, is packed into chunks, which are the top nodes of the index: pairs of chunks of one bucket that
    survive the pruning are joined and searched as tasks of their own. Only spanning links are kept.
@@ -36,21 +37,29 @@ from pyspark.sql import types as T
 from veriframe.llm.common import held, numbered, saved, shuffle_partitions, slices, table
 
 DISTANCE, SHINGLE = 4, 4
-#: Widths of the fields, from the lowest bit; two of them are looked up at a time.
-WIDTHS = (11, 11, 11, 11, 10, 10)
-CHUNK, LEAF, FAN = 2048, 16, 8
+#: Widths of the fields, from the lowest bit: of those looked up alone and of those looked up in pairs.
+ALONE, PAIRED = (13, 13, 13, 13, 12), (11, 11, 11, 11, 10, 10)
+#: Fingerprints that a bucket is meant to hold, rows of a bucket that one task searches, of a leaf group, nodes of an upper node.
+SHARE, CHUNK, LEAF, FAN = 2048, 4096, 8, 4
+#: Pairs of leaf groups that are compared at once.
+AT_ONCE = 1 << 14
 
 
-def fields() -> list[int]:
-    at, out = 0, []
-    for w in WIDTHS:
-        out.append(((1 << w) - 1) << at)
-        at += w
-    return out
+def lowest(widths: tuple[int, ...], bits: int) -> list[int]:
+    """Masks of the lowest bits of each field."""
+    starts = np.cumsum((0, *widths[:-1])).tolist()
+    return [((1 << min(w, bits)) - 1) << at for w, at in zip(widths, starts, strict=True)]
+
+
+def places(bits: int) -> np.ndarray:
+    """The masks under which fingerprints are filed, each with so many bits (less where fields are shorter)."""
+    if bits <= max(ALONE):
+        return np.array(lowest(ALONE, bits), np.uint64)
+    return np.array([x | y for x, y in combinations(lowest(PAIRED, -(-bits // 2)), 2)], np.uint64)
 
 
-FIELDS = np.array(fields(), np.uint64)
-PAIRS = list(combinations(range(len(WIDTHS)), 2))
+def bits_for(fingerprints: int) -> int:
+    return max(1, int(fingerprints / SHARE).bit_length())
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -110,8 +119,9 @@ def expand(i: np.ndarray, j: np.ndarray, a: Node, b: Node, same: bool) -> tuple[
     return (x[x <= y], y[x <= y]) if same else (x, y)
 
 
-def close_pairs(a: np.ndarray, b: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Places (in a, in b) of fingerprints within DISTANCE. Without b: pairs in a, each once."""
+def close_pairs(a: np.ndarray, b: np.ndarray | None = None, seen: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in a, in b) of fingerprints within DISTANCE. Without b: pairs in a, each once. seen: gets added how many pairs of
+    nodes were pruned and opened, and how many pairs of fingerprints compared."""
     same = b is None
     up, other = levels(a), None
     other = up if same else levels(b)
@@ -124,23 +134,32 @@ def close_pairs(a: np.ndarray, b: np.ndarray | None = None) -> tuple[np.ndarray,
         i, j = i[i <= j], j[i <= j]
     for x, y in zip(reversed(up), reversed(other), strict=True):
         near = np.bitwise_count((x.values[i] ^ y.values[j]) & x.masks[i] & y.masks[j]) <= DISTANCE
-        i, j = expand(i[near], j[near], x, y, same)
-    if same:
-        i, j = i[i < j], j[i < j]
-    near = np.bitwise_count(a[i] ^ (a if same else b)[j]) <= DISTANCE
-    return i[near], j[near]
-
-
-def first_pair(differ: np.ndarray) -> np.ndarray:
-    """For XORs of fingerprints: the number of the first pair of fields in which both are equal."""
-    equal = (differ[:, None] & FIELDS[None, :]) == 0
-    one = equal.argmax(axis=1)
-    equal[np.arange(len(one)), one] = False
-    two = equal.argmax(axis=1)
-    number = np.zeros((len(WIDTHS), len(WIDTHS)), np.int64)
-    for k, (x, y) in enumerate(PAIRS):
-        number[x, y] = k
-    return number[one, two]
+        if seen is not None:
+            seen["opened"], seen["pruned"] = seen.get("opened", 0) + int(near.sum()), seen.get("pruned", 0) + int((~near).sum())
+        i, j = i[near], j[near]
+        if x is not up[0]:
+            i, j = expand(i, j, x, y, same)
+    one, two, found = grouped(a), None, []
+    two = one if same else grouped(b)
+    for at in range(0, len(i), AT_ONCE):  # leaf groups that are left: all their fingerprints
+        p, q = i[at : at + AT_ONCE], j[at : at + AT_ONCE]
+        k, x, y = np.nonzero(np.bitwise_count(one[p][:, :, None] ^ two[q][:, None, :]) <= DISTANCE)
+        found.append((p[k] * LEAF + x, q[k] * LEAF + y))
+    if seen is not None:
+        seen["compared"] = seen.get("compared", 0) + len(i) * LEAF * LEAF
+    x, y = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.array([], np.int64),) * 2
+    real = (x < y) & (y < len(a)) if same else (x < len(a)) & (y < len(b))
+    return x[real], y[real]
+
+
+def grouped(fps: np.ndarray) -> np.ndarray:
+    """The leaf groups as rows, the last one filled up."""
+    return np.concatenate([fps, np.zeros(-len(fps) % LEAF, np.uint64)]).reshape(-1, LEAF)
+
+
+def first_place(differ: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """For XORs of fingerprints: the first place whose bits are equal in both."""
+    return ((differ[:, None] & masks[None, :]) == 0).argmax(axis=1)
 
 
 def spanning(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +185,7 @@ def spanning(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 FOUND = "kind int, a bigint, b bigint, bucket int, fields bigint, fps binary, reps binary, mask bigint, value bigint"
 
 
-def search(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
+def search(batches: Iterator[pa.RecordBatch], chunk: int, masks: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Over rows (bucket, fields, rank, fp, rep) of a sorted partition: links (kind 0) and chunks (kind 1).
 
     Chunks are made of the first and the last bucket, which may go on in other partitions, and of large ones.
@@ -197,32 +216,21 @@ def search(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordB
             continue
         starts = np.flatnonzero(np.concatenate([[True], (part[0][1:] != part[0][:-1]) | (part[1][1:] != part[1][:-1])]))
         ends = np.append(starts[1:], n)
-        links, chunks, small = [], [], []
-        for s, e in zip(starts[(ends - starts > LEAF)].tolist(), ends[(ends - starts > LEAF)].tolist(), strict=True):
+        links, chunks, close = [], [], []
+        for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
             if s == 0 and border or e == n:
                 continue
             if e - s > chunk:
                 chunks += [packed([p[k : min(k + chunk, e)] for p in part]) for k in range(s, e, chunk)]
             else:
                 i, j = close_pairs(part[2][s:e])
-                small.append((i + s, j + s))
+                close.append((i + s, j + s))
         if border and len(starts) > 1:  # the first bucket ends here
             chunks += [packed([p[k : min(k + chunk, ends[0])] for p in part]) for k in range(0, ends[0], chunk)]
-        size = (ends - starts).astype(np.int64)
-        size[-1] = 0
-        if border:
-            size[0] = 0
-        bound = np.repeat(np.where(size <= LEAF, ends * (size > 0), 0), ends - starts)  # the bucket's end, for rows of small ones
-        for step in range(1, LEAF):
-            i = np.flatnonzero(bound > np.arange(n) + step)
-            if not len(i):
-                break
-            near = np.bitwise_count(part[2][i] ^ part[2][i + step]) <= DISTANCE
-            small.append((i[near], i[near] + step))
-        if small:
-            i, j = (np.concatenate(x) for x in zip(*small, strict=True))
+        if close:
+            i, j = (np.concatenate(x) for x in zip(*close, strict=True))
             if len(i):
-                own = first_pair(part[2][i] ^ part[2][j]) == part[0][i]
+                own = first_place(part[2][i] ^ part[2][j], masks) == part[0][i]
                 links = spanning(part[3][i[own]], part[3][j[own]])
         last = starts[-1]
         if len(starts) > 1:
@@ -238,7 +246,7 @@ def search(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordB
         yield rows((np.array([], np.int64),) * 2, [packed(held)])
 
 
-def search_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def search_chunks(batches: Iterator[pa.RecordBatch], masks: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Over rows (bucket, fps, reps, fps of the other chunk or null, its reps): links."""
     for batch in batches:
         links = []
@@ -250,20 +258,20 @@ def search_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             else:
                 fb, rb = np.frombuffer(fb, np.uint64), np.frombuffer(rb, np.int64)
                 i, j = close_pairs(fa, fb)
-            own = first_pair(fa[i] ^ fb[j]) == bucket if len(i) else np.array([], bool)
+            own = first_place(fa[i] ^ fb[j], masks) == bucket if len(i) else np.array([], bool)
             links.append(spanning(ra[i[own]], rb[j[own]]))
         a, b = (np.concatenate(x) if x else np.array([], np.int64) for x in (zip(*links, strict=True) if links else ([], [])))
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def links_between(reps: DataFrame, *, partitions: int | None = None, chunk: int = CHUNK) -> DataFrame:
+def links_between(reps: DataFrame, *, partitions: int | None = None, chunk: int = CHUNK, bits: int | None = None) -> DataFrame:
     """(a, b): links that connect just those rep of (fp, rep) whose fp are connected. fp and rep are distinct longs."""
     n = partitions or shuffle_partitions(reps.sparkSession)
-    masks = [int((FIELDS[x] | FIELDS[y]).view(np.int64)) for x, y in PAIRS]
-    filed = F.array(*(F.struct(F.lit(k).alias("bucket"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("fields")) for k, m in enumerate(masks)))
+    masks = places(bits or bits_for(reps.count()))
+    filed = F.array(*(F.struct(F.lit(k).alias("bucket"), F.col("fp").bitwiseAND(F.lit(int(m)).cast("long")).alias("fields")) for k, m in enumerate(masks.view(np.int64))))
     rows = reps.select("fp", "rep", F.explode(filed).alias("x")).select("x.bucket", "x.fields", gray_rank(F.col("fp")).alias("rank"), "fp", "rep")
     order = ["bucket", "fields", "rank"]
-    found = saved(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(lambda b: search(b, chunk), FOUND))
+    found = saved(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(lambda b: search(b, chunk, masks), FOUND))
     chunks = found.where("kind = 1").drop("kind", "a", "b").withColumn("chunk", F.xxhash64("fps"))
     other = chunks.select(*(F.col(c).alias(f"{c}_2") for c in chunks.columns))
     shared = F.bit_count(F.col("value").bitwiseXOR(F.col("value_2")).bitwiseAND(F.col("mask")).bitwiseAND(F.col("mask_2")))
@@ -273,7 +281,7 @@ def links_between(reps: DataFrame, *, partitions: int | None = None, chunk: int
     pairs = top.select(*key, "chunk_2").join(chunks.select(*key, "fps", "reps"), key).join(
         other.select(F.col("bucket_2").alias("bucket"), F.col("fields_2").alias("fields"), "chunk_2", "fps_2", "reps_2"), ["bucket", "fields", "chunk_2"])
     alone = chunks.select("bucket", "fps", "reps", F.lit(None).cast("binary").alias("fps_2"), F.lit(None).cast("binary").alias("reps_2"))
-    return found.where("kind = 0").select("a", "b").union(alone.union(pairs.select("bucket", "fps", "reps", "fps_2", "reps_2")).mapInArrow(search_chunks, "a bigint, b bigint"))
+    return found.where("kind = 0").select("a", "b").union(alone.union(pairs.select("bucket", "fps", "reps", "fps_2", "reps_2")).mapInArrow(lambda b: search_chunks(b, masks), "a bigint, b bigint"))
 
 
 def components(links: DataFrame) -> DataFrame:
