@@ -158,6 +158,34 @@ def pose_said(a: Column, hand: Column, pose: Column, *, most: float = 45, least:
     return out.otherwise(said(FAIL, "unknown pose '", F.coalesce(pose, F.lit("None")), "' (expected N/RL/RR/PU/PD)"))
 
 
+def angle_said(a: Column, most_roll: float = 45, most_pitch: float = 45) -> Column:
+    """Both angles within their bounds. a: struct<roll, pitch, error>."""
+    roll, pitch = number(a["roll"], 1), number(a["pitch"], 1)
+    good = [F.lit("roll="), roll, F.lit(" pitch="), pitch, F.lit(f" within +/-{most_roll:g}/+/-{most_pitch:g}")]
+    part = lambda name, x, text, most: F.concat(F.lit(f"{name}="), text, F.when(F.abs(x) <= most, " ok").otherwise(f" > {most:g}"))
+    bad = F.concat_ws(" ", part("roll", a["roll"], roll, most_roll), part("pitch", a["pitch"], pitch, most_pitch))
+    return F.when(a["error"].isNotNull(), said(FAIL, a["error"])).otherwise(judged((F.abs(a["roll"]) <= most_roll) & (F.abs(a["pitch"]) <= most_pitch), good, [bad]))
+
+
+def directed_said(a: Column, hand: Column, pose: Column, *, most: float = 45, least: float = 10, neutral: float = 15, off_axis: float = 20) -> Column:
+    """Each pose by its own angle, and the other axis within off_axis. a: struct<roll, pitch, error>."""
+    roll, pitch = number(a["roll"], 1), number(a["pitch"], 1)
+    over = F.concat_ws(", ", *(F.when(F.abs(a[c]) > neutral, F.concat(F.lit(f"{c}="), x, F.lit(f" > +/-{neutral:g}"))) for c, x in (("roll", roll), ("pitch", pitch))))
+    flat = (F.abs(a["roll"]) <= neutral) & (F.abs(a["pitch"]) <= neutral)
+    out = F.when(pose == "N", judged(flat, [F.lit("N ok: roll="), roll, " pitch=", pitch, f" within +/-{neutral:g}"], [F.lit("N not neutral: "), over]))
+    for key in G.POSE_AXIS:
+        axis, low, high = G.band(key, most=most, least=least)
+        other = "pitch" if axis == "roll" else "roll"
+        x, text, rest = a[axis], F.concat(F.lit(f"{axis}="), roll if axis == "roll" else pitch), F.concat(F.lit(f"{other}="), pitch if axis == "roll" else roll)
+        wrong, few = F.lit(f" WRONG DIRECTION (expected [{low:g},{high:g}])"), F.lit(f" not rotated enough (need |{axis}|>={least:g})")
+        why = F.concat(text, F.when((x > 0) if low < 0 else (x < 0), wrong).when(F.abs(x) < least, few).otherwise(F.lit(f" out of [{low:g},{high:g}]")))
+        in_band, near = (x >= low) & (x <= high), F.abs(a[other]) <= off_axis
+        faults = F.concat_ws("; ", F.when(~in_band, why), F.when(~near, F.concat(rest, F.lit(f" off-axis > +/-{off_axis:g}"))))
+        name = F.coalesce(hand, F.lit("None"))
+        out = out.when(pose == key, judged(in_band & near, [name, f"/{key} ok: ", text, f" in [{low:g},{high:g}]; ", rest, f" within +/-{off_axis:g}"], [name, f"/{key} bad: ", faults]))
+    return F.when(a["error"].isNotNull(), said(FAIL, a["error"])).otherwise(out.otherwise(said(FAIL, "unknown pose '", F.coalesce(pose, F.lit("None")), "' (expected N/RL/RR/PU/PD)")))
+
+
 def spread_said(gaps: Column, pose: Column, *, thumb_tip: float = 20, inter_tip: float = 5, thumb_pip: float = 12, inter_pip: float = 3) -> Column:
     """gaps: `geometry.finger_gaps`. N only; what can't be measured is skipped."""
     tip = gaps["source"] == "tip"
@@ -360,6 +388,23 @@ class PalmPolicy:
     least_size: int = 200
     #: The status of a still with several hands.
     many: str = FAIL
+    dark: float = 35
+    bright: float = 220
+    #: Least gaps between fingers, by the joints that are measured; how near the edge a joint may be.
+    thumb_tip: float = 20
+    inter_tip: float = 5
+    thumb_pip: float = 12
+    inter_pip: float = 3
+    margin: float = 0.02
+    #: Of angles: the most, the least that a turned pose must reach, and what counts as neutral.
+    most: float = 45
+    least: float = 10
+    neutral: float = 10
+    #: The label's least confidence for a mismatch to fail, and whether the rig mirrors hands.
+    confident: float = 0.7
+    opposite: bool = False
+    #: Checks that are switched off, with what their rows say.
+    off: tuple[tuple[str, str], ...] = ()
 
 
 PALM = Registry("image")
@@ -375,8 +420,8 @@ def unbroken(verdict: Column) -> Column:
 
 
 def hand_check(name: str) -> callable:
-    """A check on the detected hand: skipped where the hand's model is missing or failed."""
-    return lambda f: PALM.check(name, needs="hand")(lambda p: unbroken(f(p)))
+    """A check on the detected hand: skipped where the hand's model is missing or failed, or where it is switched off."""
+    return lambda f: PALM.check(name, needs="hand")(lambda p: unbroken(said(SKIP, dict(p.off)[name]) if name in dict(p.off) else f(p)))
 
 
 PALM.check("check_container")(lambda p: unbroken(M.check_container(p.limits)))
@@ -392,7 +437,7 @@ def palm_present(p: PalmPolicy) -> Column:
 
 @hand_check("check_palm_handedness")
 def palm_handedness(p: PalmPolicy) -> Column:
-    return F.when(F.col("found") | (F.col("pose") != "N"), handedness_said(F.col("label"), F.col("score"), F.col("hand"), F.col("pose"))).otherwise(said(SKIP, NO_HAND))
+    return F.when(F.col("found") | (F.col("pose") != "N"), handedness_said(F.col("label"), F.col("score"), F.col("hand"), F.col("pose"), opposite=p.opposite, least=p.confident)).otherwise(said(SKIP, NO_HAND))
 
 
 @hand_check("check_palm_size")
@@ -402,12 +447,13 @@ def palm_size(p: PalmPolicy) -> Column:
 
 @hand_check("check_palm_brightness")
 def palm_brightness(p: PalmPolicy) -> Column:
-    return F.when(F.col("found"), brightness_said(F.col("luma"), missing="no_hand")).otherwise(said(SKIP, NO_BOX))
+    return F.when(F.col("found"), brightness_said(F.col("luma"), p.dark, p.bright, missing="no_hand")).otherwise(said(SKIP, NO_BOX))
 
 
 @hand_check("check_palm_spread")
 def palm_spread(p: PalmPolicy) -> Column:
-    return F.when(F.col("found") | (F.col("pose") != "N"), spread_said(F.col("gaps"), F.col("pose"))).otherwise(said(SKIP, "no normalized landmarks (see check_palm_present)"))
+    least = {"thumb_tip": p.thumb_tip, "inter_tip": p.inter_tip, "thumb_pip": p.thumb_pip, "inter_pip": p.inter_pip}
+    return F.when(F.col("found") | (F.col("pose") != "N"), spread_said(F.col("gaps"), F.col("pose"), **least)).otherwise(said(SKIP, "no normalized landmarks (see check_palm_present)"))
 
 
 @hand_check("check_palm_fully")
@@ -417,14 +463,14 @@ def palm_fully(p: PalmPolicy) -> Column:
 
 @hand_check("check_palm_angle")
 def palm_angle(p: PalmPolicy) -> Column:
-    return F.when(F.col("hand").isNotNull() & F.col("pose").isNotNull(), pose_said(F.col("angles"), F.col("hand"), F.col("pose")))
+    return F.when(F.col("hand").isNotNull() & F.col("pose").isNotNull(), pose_said(F.col("angles"), F.col("hand"), F.col("pose"), most=p.most, least=p.least, neutral=p.neutral))
 
 
 def palm_rows(images: DataFrame, p: PalmPolicy = PalmPolicy()) -> DataFrame:
     """Check rows of palm stills. images: FILE, the columns of metadata, hand, pose, ok, message, points (normalised), px (in pixels),
     box_width, box_height, label, score, luma. A still is judged alone, so nothing is shuffled."""
     images = with_columns(by_path(images), error="string", lacks="map<string,string>").withColumn("found", F.coalesce("ok", F.lit(False)))
-    measured = {"gaps": G.finger_gaps(F.col("points")), "angles": F.when(F.col("found"), G.palm_angles(F.col("points"), F.col("hand"))), "fully": G.palm_fully(F.col("px"), F.col("width"), F.col("height"))}
+    measured = {"gaps": G.finger_gaps(F.col("points"), p.margin), "angles": F.when(F.col("found"), G.palm_angles(F.col("points"), F.col("hand"))), "fully": G.palm_fully(F.col("px"), F.col("width"), F.col("height"))}
     return PALM.open(images.withColumns(measured), p, KEYS, seq=F.lit(1).cast("long")).select(*ROW)
 
 

@@ -1,8 +1,8 @@
 """Roll-ups of check rows: per check, per file and over all files.
 
-A file's rows are few, so every roll-up is one hash aggregation on the file's key (partial before the shuffle).
-Row order matters in two places, the level of a check's first row and its first reason; both are `min_by` over
-``row_seq`` and so need no sort.
+Every roll-up is one aggregation on the file's key, partial before the shuffle, so that of the rows of a file and check each task sends
+one. Row order matters in two places, the level of a check's first row and its first reason; both are `min_by` over ``row_seq``. These carry
+texts, so Spark sorts by the key before it aggregates.
 """
 
 from __future__ import annotations

@@ -306,7 +306,7 @@ def turn_verdicts(timeline: DataFrame, p: Protocol = Protocol(), *, bridging: bo
 
 
 def presence_verdicts(timeline: DataFrame, p: Protocol = Protocol()) -> DataFrame:
-    """The presence-first alternative: (filename, check_name, status).
+    """The presence-first alternative: (filename, check_name, status, reason).
 
     A direction passes with enough frames and is for review with too few, or with none if a gap between front frames could
     hide it. Passing directions, by their first sighting, must be a subsequence of an accepted order.
@@ -331,13 +331,29 @@ def presence_verdicts(timeline: DataFrame, p: Protocol = Protocol()) -> DataFram
         turns = F.array(*(F.lit(x) for x in order if x in TURNS))
         place = F.transform("seen", lambda d: F.array_position(turns, d))  # noqa: B023
         fits = fits | ((place == F.array_sort(place)) & ~F.array_contains(place, F.lit(0).cast("long")))
-    none = F.size("seen") == 0
+    none, need = F.size("seen") == 0, p.frames(p.hold)
     order = F.when(none, FAIL).when(fits, PASS).otherwise(p.order_policy)
     all_ = F.array(*(F.col(f"{d}_status") for d in TURNS), F.when(fits, PASS).when(none, FAIL).otherwise(p.order_policy))
     overall = F.when(F.array_contains(all_, FAIL), FAIL).when(F.array_contains(all_, REVIEW), REVIEW).otherwise(PASS)
-    row = lambda name, s: F.struct(F.lit(name).alias("check_name"), s.alias("status"))
-    rows = F.array(row("check_turn_sequence_front_hold", F.when(~F.col("opening"), REVIEW)), *(row(f"check_turn_sequence_{d}", F.col(f"{d}_status")) for d in TURNS), row("check_turn_sequence_order", order), row("check_turn_sequence", overall))
-    only = F.array(row("check_turn_sequence", F.lit(FAIL)))
+    path = F.array_join("seen", " -> ")
+
+    def found(d: str) -> Column:
+        n = F.concat(F.lit(f"{d}: "), F.col(d).cast("string"), F.lit(" detected frames "))
+        return (
+            F.when(F.col(d) >= need, F.concat(n, F.lit(f">= {need}"))).when((F.col(d) == 0) & F.col("hidden"), f"{d}: only a bracketed gap present; cannot confirm without head-pose model (Phase 2)")
+            .when(F.col(d) > 0, F.concat(n, F.lit(f"< {need} (hold too short?)"))).otherwise(f"{d}: not detected (no frames, no bracketed gap)")
+        )
+
+    listed = F.array_compact(F.array(*(F.when(F.col(f"{d}_status") == PASS, f"'{d}'") for d in TURNS)))
+    present = F.when(F.size(listed) == 0, "none").otherwise(F.concat(F.lit("["), F.array_join(listed, ", "), F.lit("]")))
+    ordered = F.when(none, "no turns to order").when(fits, F.concat(F.lit("turn order ok: "), path)).otherwise(F.concat(F.lit("turn order "), path, F.lit(" matches no accepted order")))
+    row = lambda name, s, why: F.struct(F.lit(name).alias("check_name"), s.alias("status"), why.alias("reason"))
+    rows = F.array(
+        row("check_turn_sequence_front_hold", F.when(~F.col("opening"), REVIEW), F.lit("no clear front hold at the start of the video")),
+        *(row(f"check_turn_sequence_{d}", F.col(f"{d}_status"), found(d)) for d in TURNS), row("check_turn_sequence_order", order, ordered),
+        row("check_turn_sequence", overall, F.concat(F.lit("turns present: "), present, F.lit("; order="), F.when(fits, "ok").otherwise("mismatch"))),
+    )
+    only = F.array(row("check_turn_sequence", F.lit(FAIL), F.lit("no front-facing frame anywhere; cannot validate turns")))
     return files.select("filename", F.inline(F.when(F.col("any_front"), rows).otherwise(only))).where("status is not null")
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from veriframe.functions.status import FAIL, PASS, lookup
-from veriframe.operators.filenames import PALM_KEYS
+from veriframe.operators.filenames import PALM_KEYS, palm_pose_key
+from veriframe.sources.store import ResultStore
 
 VIEWS = ("F", "S")
 
@@ -128,3 +129,16 @@ def overlay_spec(det: DataFrame) -> DataFrame:
     """What an overlay shows per box: its label with the confidence, and the colour of its verdict. det: with ``hits``."""
     colour = F.when(F.col("hits").isNull(), "grey").when(F.col("hits"), "red").otherwise("green")
     return det.select("filename", "frame_index", "x", "y", "w", "h", F.concat("cls_name", F.lit(" "), F.bround(F.col("conf") * 100).cast("int").cast("string"), F.lit("%")).alias("label"), colour.alias("colour"))
+
+
+def palm_detail(rows: DataFrame, keys: list[str], check: str = "check_palm_angle") -> DataFrame:
+    """One check's rows of palm stills with ``position``, the place of their pose among the configured keys (those of other files last)."""
+    key = palm_pose_key(F.col("filename"))
+    place = F.array_position(F.array(*map(F.lit, keys)), key)
+    shown = rows.where(F.col("check_name") == check)
+    return shown.select("volunteer_id", "data_type", "filename", "check_name", "status", "reason", F.when(place > 0, place - 1).otherwise(len(keys)).cast("int").alias("position"))
+
+
+def volunteer_results(stores: dict[str, ResultStore], volunteer: str) -> dict[str, DataFrame]:
+    """What each store (overall, result, detail, ...) has of a volunteer; each is read by its one bucket."""
+    return {name: store.lookup(volunteer) for name, store in stores.items()}

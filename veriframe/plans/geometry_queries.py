@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from veriframe.operators import detections as D
 from veriframe.operators import geometry as G
+from veriframe.operators import modalities as X
+from veriframe.operators import service as V
+from veriframe.operators.filenames import PALM_KEYS
 from veriframe.plans.adapters import view, with_views
 
 
@@ -35,6 +38,19 @@ def angles():
     return G.palm_angles(F.col("points"), F.col("hand"))
 
 
+def told(s, d, verdict):
+    """The verdict with its reason on the angles."""
+    return hands(s, d).withColumn("a", angles()).select("vec_id", verdict(F.col("a")).alias("v")).select("vec_id", "v.status", "v.reason")
+
+
+def palm_detail(s, d):
+    """Of stills whose names tell their poses: the rows on angles, in the order of poses."""
+    name = F.concat(F.col("vec_id").cast("string"), F.lit("_palm_"), F.coalesce("hand", F.lit("X")), F.lit("_"), F.col("pose"), F.lit(".jpg"))
+    rows = hands(s, d).withColumn("a", angles()).select(F.floor(F.col("vec_id") / 10).cast("string").alias("volunteer_id"), F.lit("palm").alias("data_type"), name.alias("filename"),
+        F.when(F.col("vec_id") % 5 < 4, "check_palm_angle").otherwise("check_palm_size").alias("check_name"), X.angle_said(F.col("a")).alias("v")).select("*", "v.status", "v.reason")
+    return V.palm_detail(rows, PALM_KEYS[::-1])
+
+
 def flat(f, *names):
     return lambda s, d: hands(s, d).withColumn("a", f()).select("vec_id", *(F.col(f"a.{n}").alias(n) for n in names))
 
@@ -88,8 +104,8 @@ QUERIES = {
     "c28_walk_signals": lambda s, d: det(s, d).select("filename", "frame_index", "det_seq", *(x.alias(n) for n, x in zip(("scale", "centroid"), G.walk_signals({"x": F.col("x"), "w": F.col("w"), "h": F.col("h")}, F.lit(640.0), F.lit(480.0)), strict=True))),
     "c22_occlusion_front": lambda s, d: D.occlusion(det(s, d)), "c22_c24_occlusion_side": lambda s, d: D.occlusion(det(s, d), foot_ratio=0.5), "j7_c23_foreign_overlap": lambda s, d: D.foreign_objects(det(s, d)).select("filename", "frame_index", "det_seq", "hits"), "c25_o6_ranked_classes": lambda s, d: D.ranked_classes(det(s, d), 3), "c26_person_box": c26,
     "c30_handedness": one(status=lambda: G.handedness_verdict(label(), F.col("score"), F.col("hand"), F.col("pose"))), "c32_palm_fully": one(message=lambda: G.palm_fully(F.col("px"), F.lit(640), F.lit(480), margin=150)),
-    "c33_finger_gaps": flat(lambda: G.finger_gaps(F.col("unit")), "source", *(f"{a}_{b}" for a, b in G.NEIGHBOURS)), "c34_palm_spread": one(status=lambda: G.spread_verdict(G.finger_gaps(F.col("unit")), F.col("pose"))), "c35_palm_angles": flat(angles, "roll", "pitch", "error"), "c36_palm_angle_caps": one(status=lambda: G.angle_within(angles())),
-    "c37_j9_pose_bands": lambda s, d: hands(s, d).select("vec_id", F.when(F.col("pose") != "N", F.create_map(*(F.lit(x) for k in G.POSE_AXIS for x in (k, G.band(k)[1])))[F.col("pose")]).alias("low")), "c38_palm_pose": one(status=lambda: G.pose_verdict(angles(), F.col("hand"), F.col("pose"), off_axis=20)), "c39_palm_pose_absolute": one(status=lambda: G.pose_verdict(angles(), F.col("hand"), F.col("pose"), overrides={"R": {"RL": -1}})),
+    "c33_finger_gaps": flat(lambda: G.finger_gaps(F.col("unit")), "source", *(f"{a}_{b}" for a, b in G.NEIGHBOURS)), "c34_palm_spread": one(status=lambda: G.spread_verdict(G.finger_gaps(F.col("unit")), F.col("pose"))), "c35_palm_angles": flat(angles, "roll", "pitch", "error"), "c36_palm_angle_caps": lambda s, d: told(s, d, X.angle_said),
+    "q_palm_detail": palm_detail, "c37_j9_pose_bands": lambda s, d: hands(s, d).select("vec_id", F.when(F.col("pose") != "N", F.create_map(*(F.lit(x) for k in G.POSE_AXIS for x in (k, G.band(k)[1])))[F.col("pose")]).alias("low")), "c38_palm_pose": lambda s, d: told(s, d, lambda a: X.directed_said(a, F.col("hand"), F.col("pose"))), "c39_palm_pose_absolute": one(status=lambda: G.pose_verdict(angles(), F.col("hand"), F.col("pose"), overrides={"R": {"RL": -1}})),
     "c40_palm_tilts": flat(lambda: G.palm_tilts(F.col("points")), "across", "up"), "c41_participant_angles": c41,
 }
 
@@ -141,6 +157,25 @@ def pose_sql(off: str = "", right_rl: int = 1) -> str:
     return st("case " + " ".join(rows) + " else false end")
 
 
+def caps_sql() -> str:
+    r, p = "printf('%.1f', roll)", "printf('%.1f', pitch)"
+    part = lambda name, x: f"'{name}=' || printf('%.1f', {name}) || case when abs({name}) <= 45 then ' ok' else ' > 45' end"
+    return f"{st('abs(roll) <= 45 and abs(pitch) <= 45')} status, case when abs(roll) <= 45 and abs(pitch) <= 45 then 'roll=' || {r} || ' pitch=' || {p} || ' within +/-45/+/-45' else {part('roll', r)} || ' ' || {part('pitch', p)} end reason"
+
+
+def directed_sql() -> str:
+    """The reasons of poses by their direction, pose by pose."""
+    out = """when pose = 'N' and abs(roll) <= 15 and abs(pitch) <= 15 then 'N ok: roll=' || printf('%.1f', roll) || ' pitch=' || printf('%.1f', pitch) || ' within +/-15'
+ when pose = 'N' then 'N not neutral: ' || array_to_string(list_filter([case when abs(roll) > 15 then 'roll=' || printf('%.1f', roll) || ' > +/-15' end, case when abs(pitch) > 15 then 'pitch=' || printf('%.1f', pitch) || ' > +/-15' end], lambda x: x is not null), ', ')"""
+    for pose, axis, other, low, high, wrong in (("RL", "roll", "pitch", 10, 45, "< 0"), ("RR", "roll", "pitch", -45, -10, "> 0"), ("PU", "pitch", "roll", -45, -10, "> 0"), ("PD", "pitch", "roll", 10, 45, "< 0")):
+        x, y, name = f"'{axis}=' || printf('%.1f', {axis})", f"'{other}=' || printf('%.1f', {other})", f"coalesce(hand, 'None') || '/{pose}"
+        why = f"case when {axis} {wrong} then {x} || ' WRONG DIRECTION (expected [{low},{high}])' when abs({axis}) < 10 then {x} || ' not rotated enough (need |{axis}|>=10)' else {x} || ' out of [{low},{high}]' end"
+        out += f"""
+ when pose = '{pose}' and {axis} between {low} and {high} and abs({other}) <= 20 then {name} ok: ' || {x} || ' in [{low},{high}]; ' || {y} || ' within +/-20'
+ when pose = '{pose}' then {name} bad: ' || array_to_string(list_filter([case when not {axis} between {low} and {high} then {why} end, case when abs({other}) > 20 then {y} || ' off-axis > +/-20' end], lambda x: x is not null), '; ')"""
+    return pose_sql(" and abs({}) <= 20") + f" status, case {out} end reason"
+
+
 def gaps_sql() -> str:
     ins = lambda i: f"(u[{i + 1}].x > 0.02::double and u[{i + 1}].x < 0.98::double and u[{i + 1}].y > 0.02::double and u[{i + 1}].y < 0.98::double)"
     alls = lambda j: " and ".join(ins(f[j]) for f in G.FINGERS.values())
@@ -184,7 +219,7 @@ ORACLE_SQL = {
     "c30_handedness": h("case when pose <> 'N' or hand is null or vec_id % 4 >= 3 then 'SKIP' when (vec_id % 4 = 0) = (hand = 'L') then 'PASS' when score < 0.7::double then 'SKIP' else 'FAIL' end status"),
     "c32_palm_fully": h(f"case when {_px(0, 'y')} > 330 and {_px(9, 'y')} < 150 then 'Wrist and upper palm might be cut' when {_px(0, 'y')} > 330 or {_px(0, 'y')} < 150 then 'Wrist might be cut' when {_px(9, 'y')} < 150 or {_px(9, 'y')} > 330 then 'Upper palm might be cut' when {_px(0, 'x')} < 150 or {_px(9, 'x')} < 150 then 'Left side of hand might be cut' when {_px(0, 'x')} > 490 or {_px(9, 'x')} > 490 then 'Right side of hand might be cut' else 'Palm is fully visible' end message"),
     "c33_finger_gaps": h("source, " + ", ".join(f"{a}_{b}" for a, b in G.NEIGHBOURS), gaps_sql(), "g2"), "c34_palm_spread": h("case when pose <> 'N' or source is null then 'SKIP' when " + " and ".join(f"coalesce({a}_{b} >= {15 if a == 'thumb' else 2}, false)" for a, b in G.NEIGHBOURS) + " then 'PASS' else 'FAIL' end status", gaps_sql(), "g2"),
-    "c35_palm_angles": h("roll, pitch, error", PALM, "pa"), "c36_palm_angle_caps": h(st("abs(roll) <= 45 and abs(pitch) <= 45") + " status", PALM, "pa"), "c37_j9_pose_bands": h("case pose when 'RL' then 10 when 'RR' then -45 when 'PU' then -45 when 'PD' then 10 end low"),
-    "c38_palm_pose": h(pose_sql(" and abs({}) <= 20") + " status", PALM, "pa"), "c39_palm_pose_absolute": h(pose_sql(right_rl=-1) + " status", PALM, "pa"), "c40_palm_tilts": h(f"{_tl(sub(mean(vec(13), vec(17)), mean(vec(1), vec(5))))} across, {_tl(sub(mean(vec(5), vec(9), vec(13), vec(17)), vec(0)))} up", "", "pt"),
+    "c35_palm_angles": h("roll, pitch, error", PALM, "pa"), "c36_palm_angle_caps": h(caps_sql(), PALM, "pa"), "q_palm_detail": with_views(BASE + PALM + f" select floor(vec_id / 10)::bigint::varchar volunteer_id, 'palm' data_type, vec_id || '_palm_' || coalesce(hand, 'X') || '_' || pose || '.jpg' filename, 'check_palm_angle' check_name, {caps_sql()}, coalesce(10 - list_position({list(PALM_KEYS)}, 'palm_' || hand || '_' || pose), 10)::int as position from pa where vec_id % 5 < 4", "v_hand"), "c37_j9_pose_bands": h("case pose when 'RL' then 10 when 'RR' then -45 when 'PU' then -45 when 'PD' then 10 end low"),
+    "c38_palm_pose": h(directed_sql(), PALM, "pa"), "c39_palm_pose_absolute": h(pose_sql(right_rl=-1) + " status", PALM, "pa"), "c40_palm_tilts": h(f"{_tl(sub(mean(vec(13), vec(17)), mean(vec(1), vec(5))))} across, {_tl(sub(mean(vec(5), vec(9), vec(13), vec(17)), vec(0)))} up", "", "pt"),
     "c41_participant_angles": with_views(BASE + PALM + f" select vec_id, floor(vec_id / 10)::bigint volunteer, list_position(['L_N', 'L_RL', 'L_RR', 'L_PU', 'L_PD', 'R_N', 'R_RL', 'R_RR', 'R_PU', 'R_PD'], hand || '_' || pose)::bigint as position, {pose_sql()} status from pa where hand is not null", "v_hand"),
 }

@@ -187,8 +187,13 @@ ps as (select *, """ + ", ".join(f"case when n_{d} >= 2 then 'PASS' when n_{d} >
 pd as (select filename, unnest([""" + ", ".join(f"{{'d': '{d}', 'st': s_{d}, 't': t_{d}, 'k': {k}}}" for k, d in enumerate(S.TURNS)) + """], recursive := true) from ps), po as (select filename, coalesce(list(d order by t, k) filter (st = 'PASS'), []) seen from pd group by 1),
 pr as (select ps.*, seen, """ + " or ".join("(list_transform(seen, lambda x: list_position([" + ", ".join(f"'{x}'" for x in o if x in S.TURNS) + "], x)) = list_sort(list_transform(seen, lambda x: list_position([" + ", ".join(f"'{x}'" for x in o if x in S.TURNS) + "], x))))" for o in P.orders.values()) + """ fits from ps join po using (filename)),
 pw as (select *, [s_left, s_right, s_down, s_up, case when fits then 'PASS' when len(seen) = 0 then 'FAIL' else 'REVIEW' end] al from pr),
-px as (select filename, unnest(case when not any_front then [{'check_name': 'check_turn_sequence', 'status': 'FAIL'}] else [{'check_name': 'check_turn_sequence_front_hold', 'status': case when not opening then 'REVIEW' end}, """ + ", ".join(f"{{'check_name': 'check_turn_sequence_{d}', 'status': s_{d}}}" for d in S.TURNS) + """,
- {'check_name': 'check_turn_sequence_order', 'status': case when len(seen) = 0 then 'FAIL' when fits then 'PASS' else 'REVIEW' end}, {'check_name': 'check_turn_sequence', 'status': case when list_contains(al, 'FAIL') then 'FAIL' when list_contains(al, 'REVIEW') then 'REVIEW' else 'PASS' end}] end, recursive := true) from pw)"""
+px as (select filename, unnest(case when not any_front then [{'check_name': 'check_turn_sequence', 'status': 'FAIL', 'reason': 'no front-facing frame anywhere; cannot validate turns'}] else [
+ {'check_name': 'check_turn_sequence_front_hold', 'status': case when not opening then 'REVIEW' end, 'reason': 'no clear front hold at the start of the video'},
+ """ + ", ".join(f"{{'check_name': 'check_turn_sequence_{d}', 'status': s_{d}, 'reason': case when n_{d} >= 2 then '{d}: ' || n_{d} || ' detected frames >= 2' when n_{d} = 0 and hidden then '{d}: only a bracketed gap present; cannot confirm without head-pose model (Phase 2)' when n_{d} > 0 then '{d}: ' || n_{d} || ' detected frames < 2 (hold too short?)' else '{d}: not detected (no frames, no bracketed gap)' end}}" for d in S.TURNS) + """,
+ {'check_name': 'check_turn_sequence_order', 'status': case when len(seen) = 0 then 'FAIL' when fits then 'PASS' else 'REVIEW' end,
+  'reason': case when len(seen) = 0 then 'no turns to order' when fits then 'turn order ok: ' || array_to_string(seen, ' -> ') else 'turn order ' || array_to_string(seen, ' -> ') || ' matches no accepted order' end},
+ {'check_name': 'check_turn_sequence', 'status': case when list_contains(al, 'FAIL') then 'FAIL' when list_contains(al, 'REVIEW') then 'REVIEW' else 'PASS' end,
+  'reason': 'turns present: ' || case when len(seen) = 0 then 'none' else '[' || array_to_string(list_filter([""" + ", ".join(f"case when s_{d} = 'PASS' then '''{d}''' end" for d in S.TURNS) + """], lambda x: x is not null), ', ') || ']' end || '; order=' || case when fits then 'ok' else 'mismatch' end}] end, recursive := true) from pw)"""
 
 
 def walking(value: str) -> str:
