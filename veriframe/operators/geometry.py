@@ -294,3 +294,74 @@ def palm_fully(points: Column, width: Column, height: Column, *, margin: int = 1
         F.when(w_bottom & m_top, "Wrist and upper palm might be cut").when(w_bottom | w_top, "Wrist might be cut").when(m_top | m_bottom, "Upper palm might be cut")
         .when((wx < margin) | (mx < margin), "Left side of hand might be cut").when((wx > width - margin) | (mx > width - margin), "Right side of hand might be cut").otherwise("Palm is fully visible")
     )
+
+
+# A patch of the plane through points, for drawing
+
+
+def eigen3(matrix: Column, sweeps: int = 6) -> Column:
+    """array of struct<value, x, y, z> of a symmetric 3 x 3 matrix (array of nine numbers, row by row), the largest value first.
+
+    Jacobi rotations of one pair of axes after the other, as a fold over their numbers: two steps each, one that finds the angle and
+    one that turns the matrix and the vectors, so that no expression is repeated inside another.
+    """
+    axes = ((0, 1), (0, 2), (1, 2))
+    unit = F.array(*(F.lit(float(i % 4 == 0)) for i in range(9)))
+
+    def angle(state: Column, p: int, q: int) -> Column:
+        a = state["a"]
+        off, span = F.get(a, F.lit(3 * p + q)), F.get(a, F.lit(4 * q)) - F.get(a, F.lit(4 * p))
+        theta = F.try_divide(span, 2 * off)
+        t = F.when(theta.isNull(), 0.0).otherwise(F.when(theta < 0, -1.0).otherwise(1.0) / (F.abs(theta) + F.sqrt(theta * theta + 1)))
+        return F.struct(state["a"].alias("a"), state["v"].alias("v"), t.alias("t"))
+
+    def turned(state: Column, p: int, q: int) -> Column:
+        c = 1 / F.sqrt(1 + state["t"] * state["t"])
+        s = state["t"] * c
+
+        def columns(m: Column) -> Column:
+            """m times the rotation."""
+            at = lambda i, k: F.get(m, F.lit(3 * i + k))
+            new = {p: lambda i: c * at(i, p) - s * at(i, q), q: lambda i: s * at(i, p) + c * at(i, q)}
+            return F.array(*((new[k](i) if k in new else at(i, k)) for i in range(3) for k in range(3)))
+
+        flipped = lambda m: F.array(*(F.get(m, F.lit(3 * k + i)) for i in range(3) for k in range(3)))
+        # of a symmetric matrix: turn the columns, flip, turn the columns again; through arrays of one, so that each is worked out once
+        once = F.transform(F.array(state["a"]), lambda m: columns(m))
+        twice = F.transform(F.transform(once, flipped), lambda m: columns(m))
+        return F.struct(twice[0].alias("a"), columns(state["v"]).alias("v"), state["t"].alias("t"))
+
+    def step(state: Column, k: Column) -> Column:
+        out = state
+        for n, (p, q) in enumerate(axes):
+            out = F.when(k % 6 == 2 * n, angle(state, p, q)).when(k % 6 == 2 * n + 1, turned(state, p, q)).otherwise(out)
+        return out
+
+    start = F.struct(matrix.cast("array<double>").alias("a"), unit.alias("v"), F.lit(0.0).alias("t"))
+    end = F.aggregate(F.sequence(F.lit(0), F.lit(6 * sweeps - 1)), start, step)
+    pair = lambda s, i: F.struct((-F.get(s["a"], F.lit(4 * i))).alias("order"), F.lit(i).alias("i"), *(F.get(s["v"], F.lit(3 * k + i)).alias(n) for k, n in enumerate("xyz")))
+    found = F.transform(F.array(end), lambda s: F.array_sort(F.array(*(pair(s, i) for i in range(3)))))[0]
+    return F.transform(found, lambda e: F.struct((-e["order"]).alias("value"), e["x"], e["y"], e["z"]))
+
+
+def plane_patch(points: Column, scale: float = 1.35, least: float = 0.03) -> Column:
+    """Four corners (struct<x, y, z>) of a square in the plane that fits the points best: around their mean, along the two directions in which
+    they spread most, ``scale`` times as far as the farthest point (``least`` if all are one point). null without points.
+
+    The directions' signs are as the rotations leave them; the square is the same for either.
+    """
+    n = F.size(points)
+    mean = F.struct(*((F.aggregate(points, F.lit(0.0), lambda s, p: s + p[c]) / n).alias(c) for c in "xyz"))
+    around = F.transform(F.array(mean), lambda m: F.struct(m.alias("m"), F.transform(points, lambda p: F.struct(*((p[c] - m[c]).alias(c) for c in "xyz"))).alias("d")))
+
+    def with_axes(a: Column) -> Column:
+        spread = F.array(*(F.aggregate(a["d"], F.lit(0.0), lambda s, p: s + p[x] * p[y]) for x in "xyz" for y in "xyz"))
+        far = F.array_max(F.transform(a["d"], lambda p: F.sqrt(p["x"] * p["x"] + p["y"] * p["y"] + p["z"] * p["z"]))) * scale
+        return F.struct(a["m"].alias("m"), F.when(far > 0, far).otherwise(least).alias("r"), eigen3(spread).alias("e"))
+
+    def corners(a: Column) -> Column:
+        u, v = a["e"][0], a["e"][1]
+        corner = lambda i, k: F.struct(*((a["m"][c] + a["r"] * (i * u[c] + k * v[c])).alias(c) for c in "xyz"))
+        return F.array(*(corner(i, k) for i, k in ((-1, -1), (1, -1), (1, 1), (-1, 1))))
+
+    return F.when(n > 0, F.transform(F.transform(around, with_axes), corners)[0])

@@ -43,6 +43,21 @@ def told(s, d, verdict):
     return hands(s, d).withColumn("a", angles()).select("vec_id", verdict(F.col("a")).alias("v")).select("vec_id", "v.status", "v.reason")
 
 
+#: Joints that a palm's plane is fitted to.
+PLANE = (0, 5, 9, 13, 17)
+
+
+def plane_patch(s, d):
+    """The patch of each palm: its centre, half its diagonal, and that it is a square in the points' plane (their spread beside it is the least)."""
+    some = F.array(*(F.element_at("points", i + 1) for i in PLANE))
+    c = lambda k: F.get("patch", F.lit(k))
+    middle = F.struct(*(((c(0)[x] + c(2)[x]) / 2).alias(x) for x in "xyz"))
+    found = hands(s, d).select("vec_id", G.plane_patch(some).alias("patch")).withColumn("m", middle)
+    length = F.sqrt(sum(((c(0)[x] - F.col("m")[x]) * (c(0)[x] - F.col("m")[x]) for x in "xyz"), F.lit(0.0)))
+    corner = sum(((c(1)[x] - c(0)[x]) * (c(3)[x] - c(0)[x]) for x in "xyz"), F.lit(0.0))
+    return found.select("vec_id", "m.x", "m.y", "m.z", length.alias("half_diagonal"), (F.abs(corner) < 1e-9).alias("square"))
+
+
 def palm_detail(s, d):
     """Of stills whose names tell their poses: the rows on angles, in the order of poses."""
     name = F.concat(F.col("vec_id").cast("string"), F.lit("_palm_"), F.coalesce("hand", F.lit("X")), F.lit("_"), F.col("pose"), F.lit(".jpg"))
@@ -105,7 +120,7 @@ QUERIES = {
     "c22_occlusion_front": lambda s, d: D.occlusion(det(s, d)), "c22_c24_occlusion_side": lambda s, d: D.occlusion(det(s, d), foot_ratio=0.5), "j7_c23_foreign_overlap": lambda s, d: D.foreign_objects(det(s, d)).select("filename", "frame_index", "det_seq", "hits"), "c25_o6_ranked_classes": lambda s, d: D.ranked_classes(det(s, d), 3), "c26_person_box": c26,
     "c30_handedness": one(status=lambda: G.handedness_verdict(label(), F.col("score"), F.col("hand"), F.col("pose"))), "c32_palm_fully": one(message=lambda: G.palm_fully(F.col("px"), F.lit(640), F.lit(480), margin=150)),
     "c33_finger_gaps": flat(lambda: G.finger_gaps(F.col("unit")), "source", *(f"{a}_{b}" for a, b in G.NEIGHBOURS)), "c34_palm_spread": one(status=lambda: G.spread_verdict(G.finger_gaps(F.col("unit")), F.col("pose"))), "c35_palm_angles": flat(angles, "roll", "pitch", "error"), "c36_palm_angle_caps": lambda s, d: told(s, d, X.angle_said),
-    "q_palm_detail": palm_detail, "c37_j9_pose_bands": lambda s, d: hands(s, d).select("vec_id", F.when(F.col("pose") != "N", F.create_map(*(F.lit(x) for k in G.POSE_AXIS for x in (k, G.band(k)[1])))[F.col("pose")]).alias("low")), "c38_palm_pose": lambda s, d: told(s, d, lambda a: X.directed_said(a, F.col("hand"), F.col("pose"))), "c39_palm_pose_absolute": one(status=lambda: G.pose_verdict(angles(), F.col("hand"), F.col("pose"), overrides={"R": {"RL": -1}})),
+    "q_palm_detail": palm_detail, "c42_plane_patch": plane_patch, "c37_j9_pose_bands": lambda s, d: hands(s, d).select("vec_id", F.when(F.col("pose") != "N", F.create_map(*(F.lit(x) for k in G.POSE_AXIS for x in (k, G.band(k)[1])))[F.col("pose")]).alias("low")), "c38_palm_pose": lambda s, d: told(s, d, lambda a: X.directed_said(a, F.col("hand"), F.col("pose"))), "c39_palm_pose_absolute": one(status=lambda: G.pose_verdict(angles(), F.col("hand"), F.col("pose"), overrides={"R": {"RL": -1}})),
     "c40_palm_tilts": flat(lambda: G.palm_tilts(F.col("points")), "across", "up"), "c41_participant_angles": c41,
 }
 
@@ -157,6 +172,10 @@ def pose_sql(off: str = "", right_rl: int = 1) -> str:
     return st("case " + " ".join(rows) + " else false end")
 
 
+PATCH = f""", pl as (select vec_id, unnest([{", ".join(f"p[{i + 1}]" for i in PLANE)}]) t from pt), pm as (select vec_id, avg(t.x) x, avg(t.y) y, avg(t.z) z from pl group by 1)
+ select vec_id, x, y, z, max(sqrt((t.x - x) * (t.x - x) + (t.y - y) * (t.y - y) + (t.z - z) * (t.z - z))) * 1.35::double * sqrt(2.0::double) half_diagonal, true square from pl join pm using (vec_id) group by all"""
+
+
 def caps_sql() -> str:
     r, p = "printf('%.1f', roll)", "printf('%.1f', pitch)"
     part = lambda name, x: f"'{name}=' || printf('%.1f', {name}) || case when abs({name}) <= 45 then ' ok' else ' > 45' end"
@@ -219,7 +238,7 @@ ORACLE_SQL = {
     "c30_handedness": h("case when pose <> 'N' or hand is null or vec_id % 4 >= 3 then 'SKIP' when (vec_id % 4 = 0) = (hand = 'L') then 'PASS' when score < 0.7::double then 'SKIP' else 'FAIL' end status"),
     "c32_palm_fully": h(f"case when {_px(0, 'y')} > 330 and {_px(9, 'y')} < 150 then 'Wrist and upper palm might be cut' when {_px(0, 'y')} > 330 or {_px(0, 'y')} < 150 then 'Wrist might be cut' when {_px(9, 'y')} < 150 or {_px(9, 'y')} > 330 then 'Upper palm might be cut' when {_px(0, 'x')} < 150 or {_px(9, 'x')} < 150 then 'Left side of hand might be cut' when {_px(0, 'x')} > 490 or {_px(9, 'x')} > 490 then 'Right side of hand might be cut' else 'Palm is fully visible' end message"),
     "c33_finger_gaps": h("source, " + ", ".join(f"{a}_{b}" for a, b in G.NEIGHBOURS), gaps_sql(), "g2"), "c34_palm_spread": h("case when pose <> 'N' or source is null then 'SKIP' when " + " and ".join(f"coalesce({a}_{b} >= {15 if a == 'thumb' else 2}, false)" for a, b in G.NEIGHBOURS) + " then 'PASS' else 'FAIL' end status", gaps_sql(), "g2"),
-    "c35_palm_angles": h("roll, pitch, error", PALM, "pa"), "c36_palm_angle_caps": h(caps_sql(), PALM, "pa"), "q_palm_detail": with_views(BASE + PALM + f" select floor(vec_id / 10)::bigint::varchar volunteer_id, 'palm' data_type, vec_id || '_palm_' || coalesce(hand, 'X') || '_' || pose || '.jpg' filename, 'check_palm_angle' check_name, {caps_sql()}, coalesce(10 - list_position({list(PALM_KEYS)}, 'palm_' || hand || '_' || pose), 10)::int as position from pa where vec_id % 5 < 4", "v_hand"), "c37_j9_pose_bands": h("case pose when 'RL' then 10 when 'RR' then -45 when 'PU' then -45 when 'PD' then 10 end low"),
+    "c35_palm_angles": h("roll, pitch, error", PALM, "pa"), "c36_palm_angle_caps": h(caps_sql(), PALM, "pa"), "c42_plane_patch": with_views(BASE + PATCH, "v_hand"), "q_palm_detail": with_views(BASE + PALM + f" select floor(vec_id / 10)::bigint::varchar volunteer_id, 'palm' data_type, vec_id || '_palm_' || coalesce(hand, 'X') || '_' || pose || '.jpg' filename, 'check_palm_angle' check_name, {caps_sql()}, coalesce(10 - list_position({list(PALM_KEYS)}, 'palm_' || hand || '_' || pose), 10)::int as position from pa where vec_id % 5 < 4", "v_hand"), "c37_j9_pose_bands": h("case pose when 'RL' then 10 when 'RR' then -45 when 'PU' then -45 when 'PD' then 10 end low"),
     "c38_palm_pose": h(directed_sql(), PALM, "pa"), "c39_palm_pose_absolute": h(pose_sql(right_rl=-1) + " status", PALM, "pa"), "c40_palm_tilts": h(f"{_tl(sub(mean(vec(13), vec(17)), mean(vec(1), vec(5))))} across, {_tl(sub(mean(vec(5), vec(9), vec(13), vec(17)), vec(0)))} up", "", "pt"),
     "c41_participant_angles": with_views(BASE + PALM + f" select vec_id, floor(vec_id / 10)::bigint volunteer, list_position(['L_N', 'L_RL', 'L_RR', 'L_PU', 'L_PD', 'R_N', 'R_RL', 'R_RR', 'R_PU', 'R_PD'], hand || '_' || pose)::bigint as position, {pose_sql()} status from pa where hand is not null", "v_hand"),
 }
