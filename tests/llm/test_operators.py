@@ -369,6 +369,13 @@ def test_forest_paths():
         assert abs(score - 2 ** (-total / 20 / quality_rules.mean_path(64))) < 1e-12
 
 
+def test_forest_of_nearly_equal_values():
+    """Values one unit in the last place apart: a split may leave one side empty."""
+    x = np.array([[1.0, 2.0], [np.nextafter(1.0, 2), 2.0], [1.0, np.nextafter(2.0, 3)]] * 30)
+    for seed in range(20):
+        assert np.isfinite(quality_rules.grow(x, 20, 64, seed).score(x)).all()
+
+
 @pytest.mark.parametrize("bits", [1, 7, 13, 14, 22, 40])
 def test_simhash_places_lose_no_pair(bits):
     """Two fingerprints within 4 bits agree in a place, whatever the number of bits."""

@@ -126,9 +126,12 @@ def grow(x: np.ndarray, trees: int, sample: int, seed: int) -> Forest:
         todo, free = [(0, x[rng.choice(len(x), sample, replace=False)], 0)], 1
         while todo:
             at, part, depth = todo.pop()
+            if depth >= deepest or len(part) < 2:  # a split between values that nearly agree may leave one side empty
+                path[t, at] = depth + mean_path(len(part))
+                continue
             low, high = part.min(axis=0), part.max(axis=0)
             open_ = np.flatnonzero(high > low)
-            if depth >= deepest or len(part) < 2 or not len(open_):
+            if not len(open_):
                 path[t, at] = depth + mean_path(len(part))
                 continue
             f = int(rng.choice(open_))
