@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from veriframe.operators import metadata as M
 from veriframe.operators import modalities as X
 from veriframe.operators import report as R
 from veriframe.operators import sequence as S
@@ -234,3 +235,14 @@ def test_plan_of_face_rows(spark, tmp_path):
     assert plan.count("FileScan parquet") <= 2
     whole = X.face_rows(media(spark, "a"), spark.read.parquet(f"{tmp_path}/frames"))._jdf.queryExecution().executedPlan().toString()
     assert sum("hashpartitioning(path" in line and "frame" in line for line in whole.split("\n")) <= 2 and "CartesianProduct" not in whole
+
+
+def test_frames_are_dealt_over_tasks_by_their_number(spark):
+    """Spark merges small shuffles into few tasks by their bytes, however much memory their rows then need."""
+    assert X.tasks_for(0) == 1 and X.tasks_for(X.FRAMES_A_TASK) == 1 and X.tasks_for(X.FRAMES_A_TASK + 1) == 2
+    names = [f"v{k}" for k in range(12)]
+    of_all = spark.createDataFrame([(n,) for n in names], "filename string")
+    frames = face_frames(spark, "v0", "FFLLGFF").drop("filename").crossJoin(of_all)
+    files = X.files_of(media(spark, *names), {n: rule(X.FacePolicy().limits) for n, rule in M.RULES.items()}, True)
+    assert X.framed(files, frames, tasks=9).rdd.getNumPartitions() == 9
+    assert found(X.face_rows(media(spark, *names), frames, tasks=9)) == found(X.face_rows(media(spark, *names), frames))

@@ -222,10 +222,24 @@ def files_of(media: DataFrame, rules: dict[str, Column], fail_fast: bool) -> Dat
     return media.withColumn("blocked", ~F.col("read") | F.col("gate").isNotNull() | F.col("error").isNotNull())
 
 
-def framed(files: DataFrame, frames: DataFrame, *columns: str) -> DataFrame:
-    """The frames, or these of their columns, of the files that aren't blocked, with the columns that name the file."""
+#: All steps of so many frames, sorts and windows among them, fit in under 1 GB of a task's memory.
+FRAMES_A_TASK = 100_000
+
+
+def tasks_for(n_frames: int) -> int:
+    """How many tasks to deal so many frames over."""
+    return max(1, -(-n_frames // FRAMES_A_TASK))
+
+
+def framed(files: DataFrame, frames: DataFrame, *columns: str, tasks: int | None = None) -> DataFrame:
+    """The frames, or these of their columns, of the files that aren't blocked, with the columns that name the file. tasks: how many the
+    files are dealt over at least; without it Spark decides by the bytes of a shuffle, and narrow frames, which need far more memory when
+    they are sorted and judged, fill few tasks."""
     frames = with_columns(by_path(frames), error="string", lacks="map<string,string>").drop(*FILE)
     frames = frames.select("path", "frame_index", *columns) if columns else frames
+    spark = frames.sparkSession
+    if tasks and tasks > spark.sparkContext.defaultParallelism:
+        frames = frames.repartition(max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))), "path")  # fewer than Spark's own would be dealt again
     return files.where(~F.col("blocked")).select(*KEYS).join(frames, "path")
 
 
@@ -353,17 +367,17 @@ def face_blur(p: FacePolicy) -> Column:
     return front_only(blur_said(brightness_said(F.col("luma"), p.dark, p.bright), F.col("sharpness"), p.sharp))
 
 
-def face_rows(media: DataFrame, frames: DataFrame, p: FacePolicy = FacePolicy()) -> DataFrame:
+def face_rows(media: DataFrame, frames: DataFrame, p: FacePolicy = FacePolicy(), *, tasks: int | None = None) -> DataFrame:
     """Check rows of face videos. frames: path or filename, frame_index, timestamp_sec, face_detected, message, yaw, pitch, head (message on
     the head's visibility), face_width, face_height, blink_left, blink_right, luma (null: the second detector, which measures it, found no
-    face), sharpness, skin (map<region, ratio>)."""
+    face), sharpness, skin (map<region, ratio>). tasks: see `framed`."""
     files = files_of(media, {n: rule(p.limits) for n, rule in M.RULES.items()}, p.fail_fast)
     many = F.coalesce(F.col("message").startswith("Multiple faces"), F.lit(False)) & ~F.coalesce("face_detected", F.lit(False))
     broken = F.col("error").isNotNull()
 
     def kept(*columns: str) -> DataFrame:
         """The frames that are judged. several: the file has a frame with more than one face, where it ends if failing is fast."""
-        seen = framed(files, frames, *columns).withColumns({"many": many, "broken": broken})
+        seen = framed(files, frames, *columns, tasks=tasks).withColumns({"many": many, "broken": broken})
         of_file = W.Window.partitionBy("path")
         seen = seen.withColumns({"several": F.max("many").over(of_file), "lost": F.max("broken").over(of_file), "passed": F.coalesce(F.max("many").over(so_far()), F.lit(False))})
         return seen.where(~F.col("passed")) if p.fail_fast else seen
@@ -575,16 +589,16 @@ def walk_occlusion(p: WalkPolicy) -> Column:
     return D.occlusion_said(seen, box, side, F.col("foot_y"), conf=p.confidence, foot_ratio=p.foot_ratio or 0.0)
 
 
-def walk_rows(media: DataFrame, frames: DataFrame, p: WalkPolicy = WalkPolicy()) -> DataFrame:
+def walk_rows(media: DataFrame, frames: DataFrame, p: WalkPolicy = WalkPolicy(), *, tasks: int | None = None) -> DataFrame:
     """Check rows of walking videos. frames: path or filename, frame_index, ok, message, box (struct<x, y, w, h> in pixels), missing, outside
     (names of key points), height (of the body over the frame's), luma, sharpness, blur_luma, contrast (of the person's region), objects
-    (array of struct<cls_id, cls_name, conf, x, y, w, h>), foot_y (pixels), body_scale, centroid_x, view."""
+    (array of struct<cls_id, cls_name, conf, x, y, w, h>), foot_y (pixels), body_scale, centroid_x, view. tasks: see `framed`."""
     files = files_of(media, {n: rule(p.limits) for n, rule in M.RULES.items()}, p.fail_fast)
     many = F.coalesce(F.col("message").startswith("Multiple persons"), F.lit(False)) & ~F.coalesce("ok", F.lit(False))
 
     def kept(*columns: str) -> DataFrame:
         """The frames that are judged: up to the first with several people, if failing is fast, and before the first that broke off."""
-        seen = framed(files, frames, *columns).withColumns({"many": many, "broken": F.col("error").isNotNull()})
+        seen = framed(files, frames, *columns, tasks=tasks).withColumns({"many": many, "broken": F.col("error").isNotNull()})
         seen = seen.withColumns({"passed": F.coalesce(F.max("many").over(so_far()), F.lit(False)), "lost": F.max("broken").over(whole_file().rowsBetween(W.Window.unboundedPreceding, 0)), "is_first": F.row_number().over(whole_file()) == 1})
         return seen.where(~F.col("passed")) if p.fail_fast else seen
 

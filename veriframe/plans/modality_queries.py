@@ -23,10 +23,15 @@ def lacks(capability: str, why) -> F.Column:
     return F.when(why.isNotNull(), F.create_map(F.lit(capability), why))
 
 
+def tasks(s, d):
+    """Each event is a frame."""
+    return X.tasks_for(s.read.parquet(f"{d}/events.parquet").count())
+
+
 def face(s, d, p=X.FacePolicy()):
     skin = F.map_from_arrays(F.array(*map(F.lit, X.REGIONS)), F.array(*(F.col(f"skin_{r}") for r in X.REGIONS)))
     frames = view(s, d, "v_face_obs").withColumns({"skin": skin, "lacks": lacks("face_region", F.when(F.col("frame_index") % 17 == 3, "face detection bundle unavailable"))})
-    return X.face_rows(view(s, d, "v_face_media"), frames, p)
+    return X.face_rows(view(s, d, "v_face_media"), frames, p, tasks=tasks(s, d))
 
 
 def palm(s, d):
@@ -55,7 +60,7 @@ def walk(s, d, p=X.WalkPolicy()):
             ((i * 13 + k * 37) % 300).cast("double").alias("x"), ((i * 7 + k * 91) % 400).cast("double").alias("y"), F.lit(60.0).alias("w"), F.lit(80.0).alias("h"))) for k in OBJECTS]
     box = F.when(F.col("ok"), F.struct(*(F.col(f"box_{c}").alias(c) for c in "xywh")))
     frames = view(s, d, "v_walk_obs").withColumns({"missing": some(1), "outside": some(5), "objects": F.array_compact(F.array(*each)), "box": box, "lacks": lacks("objects", F.when(i % 19 == 4, "occlusion detector inactive"))})
-    return X.walk_rows(view(s, d, "v_walk_media"), frames, p)
+    return X.walk_rows(view(s, d, "v_walk_media"), frames, p, tasks=tasks(s, d))
 
 
 def all_rows(s, d):
