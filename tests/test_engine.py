@@ -8,6 +8,8 @@ from veriframe.functions import pixels
 from veriframe.operators import geometry as G
 from veriframe.operators import metadata as M
 from veriframe.operators import report as R
+from veriframe.operators import service
+from veriframe.plans import report_queries
 from veriframe.sources import media, tables
 from veriframe.streaming import incremental
 
@@ -151,3 +153,14 @@ def test_config(tmp_path):
     assert media.required_patterns(media.load_config(str(tmp_path / "c.yml"))) == {"walk_F": r"^([0-9]+)_walk_F\.mp4$"}
     with pytest.raises(ValueError, match="no required"):
         media.required_patterns({})
+
+
+def test_file_statuses_are_those_of_the_summary_without_a_sort(spark):
+    """Verdicts alone are numbers; a volunteer's files are counted without a copy of the rows for each distinct count."""
+    rows = report_queries.rows(spark, "/root/testdata/sf0.001")
+    got = R.file_statuses(rows, report_queries.RULES)
+    want = R.summarize_overall(R.summarize_by_check(rows, report_queries.RULES)).select(*got.columns)
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() > 0
+    overall = service.volunteer_overall(got.withColumnRenamed("final_status", "overall_status"))
+    plan = overall._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Expand" not in plan

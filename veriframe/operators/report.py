@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from veriframe.functions.status import FAIL, PASS, REVIEW, SKIP, rank, report_order
+from veriframe.functions.status import FAIL, PASS, RANK, REVIEW, SKIP, rank, report_order
 
 FILE = ["volunteer_id", "data_type", "filename"]
 
@@ -100,6 +100,19 @@ def summarize_overall(checks: DataFrame) -> DataFrame:
     return grouped.select(*FILE, "final_status", "total", "pass", "fail", "review", "skip", reason.alias("reason"), failed.alias("failed_checks"), detail.alias("failed_checks_detail"))
 
 
+def file_statuses(rows: DataFrame, rules: Aggregation = Aggregation()) -> DataFrame:
+    """The FILE columns and final_status of `summarize_overall`, for those who need no more. What is aggregated is numbers alone, so Spark hashes in
+    both steps and doesn't sort by the keys. Statuses other than the four count as none."""
+    checks = rows.groupBy(*FILE, "check_name").agg(
+        F.min_by(F.col("level") == "frame", "row_seq").alias("is_frame"), F.max(F.when(F.col("status") != "", rank(F.col("status")))).alias("worst"),
+        *(count_of(s).alias(s.lower()) for s in (PASS, FAIL, REVIEW)),
+    )
+    by_ratio = ratio_status(F.col("pass"), F.col("fail"), F.col("review"), limit_of(F.col("check_name"), rules), F.lit(rules.review_ratio))
+    judged = checks.select(*FILE, F.when(F.col("is_frame"), rank(by_ratio)).otherwise(F.greatest("worst", F.lit(0))).alias("worst"))
+    names = F.array(*map(F.lit, sorted(RANK, key=RANK.get)))
+    return judged.groupBy(*FILE).agg(F.max("worst").alias("worst")).select(*FILE, F.get(names, F.col("worst")).alias("final_status"))
+
+
 def summarize_timeline(timeline: DataFrame, *, walk: bool = False) -> DataFrame:
     """Frames, gaps and the ranges of the angles per file. A gap is a frame without a face, or without a body."""
     gap = F.col("body_scale").isNull() if walk else ~F.coalesce("face_detected", F.lit(False))

@@ -26,12 +26,12 @@ def volunteers(summary: DataFrame) -> DataFrame:
 
 
 def volunteer_overall(summary: DataFrame) -> DataFrame:
-    """Per volunteer: FAIL if any file failed, else PASS; modalities, files, and the files that failed."""
-    bad = F.upper("overall_status") == FAIL
-    file = F.struct("data_type", "filename")
-    return summary.groupBy("volunteer_id").agg(
-        F.when(F.max(bad), FAIL).otherwise(PASS).alias("status"), F.array_sort(F.collect_set("data_type")).alias("modalities"),
-        F.count_distinct(file).alias("n_files"), F.count_distinct(F.when(bad, file)).alias("n_failed"), F.array_sort(F.collect_set(F.when(bad, F.col("filename")))).alias("problem_files"),
+    """Per volunteer: FAIL if any file failed, else PASS; modalities, files, and the files that failed. A file's rows become one first, so that
+    nothing is counted as distinct within a volunteer."""
+    files = summary.groupBy("volunteer_id", "data_type", "filename").agg(F.max(F.upper("overall_status") == FAIL).alias("bad"))
+    return files.groupBy("volunteer_id").agg(
+        F.when(F.max("bad"), FAIL).otherwise(PASS).alias("status"), F.array_sort(F.collect_set("data_type")).alias("modalities"),
+        F.count("*").alias("n_files"), F.count_if("bad").alias("n_failed"), F.array_sort(F.collect_set(F.when(F.col("bad"), F.col("filename")))).alias("problem_files"),
     )
 
 
