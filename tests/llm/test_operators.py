@@ -430,3 +430,12 @@ def test_line_dedup_very_long_lines(spark):
     rows = [(k, "s", "x" * 200_000 + "\n" + " ".join(f"z{n}" for n in range(20_000)) + f"\nown {k}") for k in range(3)]
     got = [r.text for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, source string, text string")).orderBy("doc_id").collect()]
     assert got[1:] == [f"{'x' * 200_000}\nown {k}" for k in (1, 2)]  # one word isn't a long line: 3 pages of it are too few
+
+
+def test_line_dedup_lookups_stay_small_however_many_lines_a_host_has(spark):
+    n = 2000
+    found = spark.range(n).selectExpr("if(id < 10, null, 'h') host", "xxhash64(id) line", "false long", "id first_id")
+    lists = {r.h: r.m for r in line_dedup.slotted(found, F.struct("line", F.struct("long", "first_id"))).toDF("h", "m").collect()}
+    assert set(lists) == {None, "h"} and sum(len(m or {}) for maps in lists.values() for m in maps) == n
+    assert max(len(m or {}) for m in lists["h"]) < 30  # a map is searched from end to end
+    assert all(line % len(maps) == k for maps in lists.values() for k, m in enumerate(maps) for line in m or {})
